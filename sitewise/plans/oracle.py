@@ -366,8 +366,8 @@ VIEWS["z1_kept"] = f"""
 SELECT * FROM b1_produits r WHERE NOT {_at('z1', 'dropped', 'id_produit')} OR {_at('w1', 'lignes', 'id_produit')}"""
 VIEWS["z1_pulled"] = _parents("produits", "w1_lignes", "id_produit")
 VIEWS["z1_produits"] = "SELECT * FROM z1_kept UNION SELECT * FROM z1_pulled"
-VIEWS["z1_fournisseurs"] = "SELECT * FROM b1_fournisseurs UNION " + _parents("fournisseurs", "z1_pulled", "id_fournisseur")
-VIEWS["z1_categories"] = "SELECT * FROM b1_categories UNION " + _parents("categories", "z1_pulled", "id_categorie")
+VIEWS["z1_fournisseurs"] = "SELECT * FROM b1_fournisseurs UNION (" + _parents("fournisseurs", "z1_pulled", "id_fournisseur") + ")"
+VIEWS["z1_categories"] = "SELECT * FROM b1_categories UNION (" + _parents("categories", "z1_pulled", "id_categorie") + ")"
 
 # ---------------------------------------------------------------- whole feed, by volume: one change after the other
 
