@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from sitewise.functions.columns import units, year_extract, year_range
 from sitewise.functions.relations import sort_desc
 from sitewise.operators.fragments import union_sites
-from sitewise.rules import SITES
 from sitewise.sources.snapshots import Frags
 from sitewise.sources.tables import Tables
 
@@ -68,11 +67,11 @@ def sum_two_level(parts: list[DataFrame], keys: Sequence[str], column: str) -> D
     return union_sites(partial).groupBy(*keys).agg(F.sum(column).alias(column))
 
 
-def _dated_lines(frags: Frags, site: int, year: int, test) -> DataFrame:
-    on_site = F.col("site") == site
-    orders = frags["commandes"].where(on_site).where(test(F.col("date_commande"), year)).select("id_commande")
-    lines = frags["lignes_commandes"].where(on_site).select("id_commande", "id_produit", "quantite", "remise")
-    return lines.join(orders, "id_commande")
+def _dated_lines(lines: DataFrame, orders: DataFrame, test: Column) -> DataFrame:
+    """Lines of the orders of a year; each line meets its own site's copy of the order."""
+    on = ["site", "id_commande"] if "site" in orders.columns else ["id_commande"]
+    kept = lines.select("site", "id_commande", "id_produit", "quantite", "remise")
+    return kept.join(orders.where(test).select(*on), on)
 
 
 def revenue_by_category(frags: Frags, tables: Tables, year: int, discount: str = "rate") -> DataFrame:
@@ -80,32 +79,38 @@ def revenue_by_category(frags: Frags, tables: Tables, year: int, discount: str =
 
     ``absolute``: discount is an amount, summed per site with the site's products, no
     rounding. ``rate``: discount is a rate, all sites' lines with the global products,
-    two decimals.
+    two decimals. Orders and products without a ``site`` column stand for all sites.
 
     Lines are totalled per product before they meet the products: price is a factor of
     all lines of a product, so the decimal result is the same, and a product sold very
     often is one row by then. Terms with a missing part stay out of the sum.
     """
+    lines, orders = frags["lignes_commandes"], frags["commandes"]
+    quantity, off, price = F.col("quantite"), F.col("remise"), F.col("prix_unitaire")
+    date = F.col("date_commande")
     if discount == "absolute":
-        whole = F.col("quantite").isNotNull() & F.col("remise").isNotNull()
-        parts = []
-        for site in SITES:
-            sold = _dated_lines(frags, site, year, year_extract).groupBy("id_produit").agg(
-                F.sum(F.when(whole, units(F.col("quantite")))).cast("decimal(20,0)").alias("sold"),
-                F.sum(F.when(whole, F.col("remise"))).cast("decimal(24,4)").alias("off"),
-            )
-            products = frags["produits"].where(F.col("site") == site).select("id_produit", "id_categorie", "prix_unitaire")
-            term = (F.col("sold") * F.col("prix_unitaire") - F.col("off")).cast("decimal(38,4)")
-            parts.append(line_product(sold, products).select("id_categorie", term.alias("chiffre_affaires")))
-        total = sum_two_level(parts, ["id_categorie"], "chiffre_affaires")
+        whole = quantity.isNotNull() & off.isNotNull()
+        sold = _dated_lines(lines, orders, year_extract(date, year)).groupBy("site", "id_produit").agg(
+            F.sum(F.when(whole, units(quantity))).cast("decimal(20,0)").alias("sold"),
+            F.sum(F.when(whole, off)).cast("decimal(24,4)").alias("off"),
+        )
+        products = frags["produits"]
+        on = ["site", "id_produit"] if "site" in products.columns else ["id_produit"]
+        term = (F.col("sold") * price - F.col("off")).cast("decimal(38,4)")
+        per_site = (
+            sold.join(products.select(*on, "id_categorie", "prix_unitaire"), on)
+            .groupBy("site", "id_categorie")
+            .agg(F.sum(term).alias("chiffre_affaires"))
+        )
+        total = per_site.groupBy("id_categorie").agg(F.sum("chiffre_affaires").alias("chiffre_affaires"))
     else:
-        net = units(F.col("quantite")) * (F.lit(1).cast("decimal(1,0)") - F.col("remise"))
-        dated = union_sites([_dated_lines(frags, site, year, year_range) for site in SITES])
-        sold = dated.groupBy("id_produit").agg(F.sum(net).cast("decimal(22,4)").alias("sold"))
+        net = units(quantity) * (F.lit(1).cast("decimal(1,0)") - off)
+        sold = _dated_lines(lines, orders, year_range(date, year)).groupBy("id_produit").agg(
+            F.sum(net).cast("decimal(22,4)").alias("sold")
+        )
         products = tables["produits"].select("id_produit", "id_categorie", "prix_unitaire")
-        term = F.col("sold") * F.col("prix_unitaire")
         total = line_product(sold, products).groupBy("id_categorie").agg(
-            F.round(F.sum(term), 2).alias("chiffre_affaires")
+            F.round(F.sum(F.col("sold") * price), 2).alias("chiffre_affaires")
         )
     named = with_category_name(total, tables["categories"])
     return sort_desc(named.select("id_categorie", "nom_categorie", "chiffre_affaires"), "chiffre_affaires")

@@ -145,13 +145,14 @@ def compact(changes: DataFrame) -> DataFrame:
     )
 
 
-def apply_changes_global(lines: DataFrame, accepted: DataFrame) -> DataFrame:
-    """The global line table after the accepted changes."""
-    # Changes are the small side as a rule; Spark broadcasts their ids where they are.
-    kept = lines.join(
-        accepted.where(F.col("op") != "I").select("id_ligne_commande").distinct(), "id_ligne_commande", "left_anti"
-    )
-    written = accepted.where(F.col("op") != "D").select(
+def written_lines(accepted: DataFrame) -> DataFrame:
+    """Line rows that inserts and updates write."""
+    return accepted.where(F.col("op") != "D").select(
         "id_ligne_commande", "id_commande", *[F.col(f"new_{c}").alias(c) for c in _VALUES]
     )
-    return kept.unionByName(written)
+
+
+def apply_changes_global(lines: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The global line table after the accepted changes."""
+    replaced = accepted.where(F.col("op") != "I").select("id_ligne_commande")
+    return lines.join(replaced, "id_ligne_commande", "left_anti").unionByName(written_lines(accepted))

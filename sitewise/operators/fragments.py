@@ -1,13 +1,15 @@
 """Site fragments derived from the global tables, and back.
 
 Parents follow their children bottom-up: lines, orders, clients and employees; products,
-suppliers and categories. Each step reduces the children to distinct (site, parent key)
-pairs first, so a parent named by very many lines still arrives as one pair per map task.
+suppliers and categories. Each step reduces the children to one row per parent key
+first, so a parent named by very many lines still arrives as one row per map task.
 Nothing is shuffled by site or category alone.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,20 @@ from sitewise.functions.relations import anti
 from sitewise.operators.routing import placed
 from sitewise.rules import SITES, ByQuery, Rule
 from sitewise.schema import KEYS, SCHEMAS
-from sitewise.sources.snapshots import Frags
+from sitewise.session import together
+from sitewise.sources.snapshots import Frags, commit_whole, write_table
 from sitewise.sources.tables import Tables
 
 
-def _named_by(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
-    """Parents with each site on which a child names them."""
-    return parents.join(children.select("site", key).distinct(), key).select(*parents.columns, "site")
+def named_by(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """Parents with each site on which a child names them.
+
+    The children become one row per key, with a flag per site, so they are shuffled by
+    the key alone and meet the parents without a second exchange.
+    """
+    on_sites = children.groupBy(key).agg(*[F.max(F.col("site") == s).alias(f"_on{s}") for s in SITES])
+    sites = F.array_compact(F.array(*[F.when(F.col(f"_on{s}"), F.lit(s)) for s in SITES]))
+    return parents.join(on_sites, key).select(*parents.columns, F.explode(sites).alias("site"))
 
 
 def _replicated(rows: DataFrame, rule: ByQuery) -> DataFrame:
@@ -41,30 +50,54 @@ def lines(tables: Tables, rule: Rule) -> DataFrame:
     return sited.join(client_of, "id_commande").select(*SCHEMAS["lignes_commandes"].names, "id_client", "site")
 
 
-def derive(tables: Tables, rule: Rule) -> Frags:
-    """All seven tables of all sites. By query, products (with their suppliers) come by
-    category, whether ordered or not; by volume, only those that a line names."""
+def _line_parents(tables: Tables, rule: Rule, sited: DataFrame) -> Frags:
+    """Orders by line. By query, products come by category, whether ordered or not; by
+    volume, only those that a line names."""
     by_category = isinstance(rule, ByQuery)
-    sited = placed(tables["lignes_commandes"], tables["produits"], rule)
-    orders = _named_by(tables["commandes"], sited, "id_commande")
-    products = (
-        _replicated(tables["produits"], rule) if by_category else _named_by(tables["produits"], sited, "id_produit")
-    )
+    products = tables["produits"]
+    return {
+        "commandes": named_by(tables["commandes"], sited, "id_commande"),
+        "produits": _replicated(products, rule) if by_category else named_by(products, sited, "id_produit"),
+    }
+
+
+def _upper_parents(tables: Tables, rule: Rule, orders: DataFrame, products: DataFrame) -> Frags:
+    by_category = isinstance(rule, ByQuery)
+    categories = tables["categories"]
     return {
-        "fournisseurs": _named_by(tables["fournisseurs"], products, "id_fournisseur"),
-        "categories": (
-            _replicated(tables["categories"], rule)
-            if by_category
-            else _named_by(tables["categories"], products, "id_categorie")
-        ),
-        "employes": _named_by(tables["employes"], orders, "id_employe"),
-        "clients": _named_by(tables["clients"], orders, "id_client"),
-        "produits": products,
-        "commandes": orders,
-        "lignes_commandes": lines(tables, rule),
+        "fournisseurs": named_by(tables["fournisseurs"], products, "id_fournisseur"),
+        "categories": _replicated(categories, rule) if by_category else named_by(categories, products, "id_categorie"),
+        "employes": named_by(tables["employes"], orders, "id_employe"),
+        "clients": named_by(tables["clients"], orders, "id_client"),
     }
 
 
+def derive(tables: Tables, rule: Rule) -> Frags:
+    """All seven tables of all sites, lazily."""
+    # The parents need no more of a line than its keys; its client is joined only where it is read.
+    sited = placed(tables["lignes_commandes"], tables["produits"], rule)
+    middle = _line_parents(tables, rule, sited)
+    upper = _upper_parents(tables, rule, middle["commandes"], middle["produits"])
+    return {**upper, **middle, "lignes_commandes": lines(tables, rule)}
+
+
+def load_sites(tables: Tables, rule: Rule, root: str, version: int = 0) -> Frags:
+    """Derive all sites and store them, bottom-up: lines are placed once and stored, their
+    parents are found from the stored lines, and those of the orders and products from
+    the stored orders and products."""
+    sited = write_table(lines(tables, rule), root, "lignes_commandes", version)
+
+    def stored(parents: Frags) -> Frags:
+        written = together([partial(write_table, df, root, name, version) for name, df in parents.items()])
+        return dict(zip(parents, written))
+
+    middle = stored(_line_parents(tables, rule, sited))
+    upper = stored(_upper_parents(tables, rule, middle["commandes"], middle["produits"]))
+    frags = {**upper, **middle, "lignes_commandes": sited}
+    commit_whole(frags, root, version)
+    return frags
+
+
 def missing_rows(frag: DataFrame, existing: DataFrame, table: str) -> DataFrame:
     """Derived rows that the site does not hold yet; makes a load re-runnable."""
     return anti(frag, existing, ["site", KEYS[table]])

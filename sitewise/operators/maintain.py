@@ -30,10 +30,10 @@ from sitewise.functions.columns import error_message
 from sitewise.functions.prefix import HOT_ROWS, running_sums
 from sitewise.functions.relations import anti, exists_flag, lookup, semi
 from sitewise.operators.changes import apply_changes_global, classify, compact
-from sitewise.operators.fragments import _named_by
+from sitewise.operators.fragments import named_by
 from sitewise.rules import NOWHERE, SITES, STRICT, Rule
 from sitewise.session import settle
-from sitewise.sources.snapshots import Frags
+from sitewise.sources.snapshots import Delta, Deltas, Frags, apply_deltas
 from sitewise.sources.tables import Tables
 
 QUARANTINE = "quarantine"
@@ -50,13 +50,22 @@ class RejectedChanges(Exception):
 
 @dataclass
 class Outcome:
-    """New fragments, the refused changes, and every change with its verdict."""
+    """What a batch does to the sites' tables, what it refuses, and every change with its verdict."""
 
-    frags: Frags
+    deltas: Deltas
     rejected: DataFrame
     decided: DataFrame
 
 
+@dataclass
+class BatchOutcome:
+    """What a feed does to the sites and to the global line table, and what it refuses."""
+
+    deltas: Deltas
+    accepted: DataFrame
+    rejected: DataFrame
+
+
 def _holds(condition: Column) -> Column:
     """A comparison with a missing value does not hold."""
     return F.coalesce(condition, F.lit(False))
@@ -319,53 +328,53 @@ def _pulled(table: DataFrame, have: DataFrame, wanted: DataFrame, key: str) -> D
     """Global rows for the wanted (site, key) pairs that a site does not hold."""
     pairs = wanted.select("site", key).where(F.col(key).isNotNull()).distinct()
     known = semi(have.select("site", key), pairs, ["site", key])
-    return _named_by(table, pairs.join(known, ["site", key], "left_anti"), key)
+    return named_by(table, pairs.join(known, ["site", key], "left_anti"), key)
 
 
-def _applied(frags: Frags, tables: Tables, decided: DataFrame, policy: str) -> Frags:
-    """The fragments after the accepted changes."""
+def _deltas(frags: Frags, tables: Tables, decided: DataFrame, policy: str) -> Deltas:
+    """What the accepted changes take out of each table and put in."""
     ok = decided.where(F.col("error_code").isNull())
     lines = frags["lignes_commandes"]
     touched = ok.where(F.col("kind").isin("D", "M", "U") & F.col("at_from")).select(
-        _LINE, F.col("site_from").alias("site")
+        F.col("site_from").alias("site"), _LINE
     )
-    new_lines = lines.join(touched, [_LINE, "site"], "left_anti").unionByName(_written(ok, lines))
+    deltas = {"lignes_commandes": Delta(touched, _written(ok, lines))}
 
     emptied, gained = _order_moves(ok)
-    pulled_orders = _named_by(tables["commandes"], gained, "id_commande")
-    new_orders = anti(frags["commandes"], emptied, ["site", "id_commande"])
-    if policy != STRICT:
-        new_orders = new_orders.unionByName(pulled_orders)
-
-    candidates = emptied.where(F.col("id_client").isNotNull()).select("site", "id_client").distinct()
-    new_clients = anti(frags["clients"], _unused(candidates, new_orders, "id_client"), ["site", "id_client"])
-
-    new = {**frags, "lignes_commandes": new_lines, "commandes": new_orders, "clients": new_clients}
+    pulled_orders = named_by(tables["commandes"], gained, "id_commande")
     if policy == STRICT:
-        return new
+        pulled_orders = pulled_orders.where(F.lit(False))
+    deltas["commandes"] = Delta(emptied.select("site", "id_commande"), pulled_orders)
+    after = apply_deltas(frags, deltas)
 
-    new["clients"] = new_clients.unionByName(
-        _pulled(tables["clients"], frags["clients"], pulled_orders, "id_client")
-    )
-    new["employes"] = frags["employes"].unionByName(
-        _pulled(tables["employes"], frags["employes"], pulled_orders, "id_employe")
+    candidates = emptied.where(F.col("id_client").isNotNull()).select("site", "id_client").distinct()
+    deltas["clients"] = Delta(
+        _unused(candidates, after["commandes"], "id_client"),
+        _pulled(tables["clients"], frags["clients"], pulled_orders, "id_client"),
     )
+    if policy == STRICT:
+        return deltas
 
     # A product goes when a same-site update takes its last line off it. A delete leaves it.
-    took = ok.where(
-        F.col("at_from")
-        & (F.col("kind").isin("D", "M") | ((F.col("kind") == "U") & _holds(F.col("id_produit") != F.col("cur_id_produit"))))
-    )
+    moved_off = (F.col("kind") == "U") & _holds(F.col("id_produit") != F.col("cur_id_produit"))
+    took = ok.where(F.col("at_from") & (F.col("kind").isin("D", "M") | moved_off))
     last = took.groupBy(F.col("site_from").alias("site"), F.col("cur_id_produit").alias("id_produit")).agg(
         F.max_by("kind", "seq").alias("by")
     )
-    dropped = _unused(last.where(F.col("by") == "U").select("site", "id_produit"), new_lines, "id_produit")
+    dropped = _unused(
+        last.where(F.col("by") == "U").select("site", "id_produit"), after["lignes_commandes"], "id_produit"
+    )
     wanted = ok.where(F.col("kind").isin("I", "M", "U")).select(F.col("site_to").alias("site"), "id_produit")
     pulled_products = _pulled(tables["produits"], frags["produits"], wanted, "id_produit")
-    new["produits"] = anti(frags["produits"], dropped, ["site", "id_produit"]).unionByName(pulled_products)
-    for parent, key in (("fournisseurs", "id_fournisseur"), ("categories", "id_categorie")):
-        new[parent] = frags[parent].unionByName(_pulled(tables[parent], frags[parent], pulled_products, key))
-    return new
+    deltas["produits"] = Delta(dropped, pulled_products)
+    for parent, key, children in (
+        ("employes", "id_employe", pulled_orders),
+        ("fournisseurs", "id_fournisseur", pulled_products),
+        ("categories", "id_categorie", pulled_products),
+    ):
+        added = _pulled(tables[parent], frags[parent], children, key)
+        deltas[parent] = Delta(added.select("site", key).where(F.lit(False)), added)
+    return deltas
 
 
 def _rejected(decided: DataFrame, policy: str) -> DataFrame:
@@ -387,7 +396,7 @@ def _run(
         if code not in rows.columns:
             rows = rows.withColumn(code, F.lit(None).cast("int"))
     decided = _decide(frags, tables, rows, policy, repeats, hot_rows)
-    return Outcome(_applied(frags, tables, decided, policy), _rejected(decided, policy), decided)
+    return Outcome(_deltas(frags, tables, decided, policy), _rejected(decided, policy), decided)
 
 
 def insert_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> tuple[Frags, DataFrame]:
@@ -397,7 +406,7 @@ def insert_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) ->
     """
     calls = rows.withColumns({"kind": F.lit("I"), "site_from": F.lit(NOWHERE)}).withColumnRenamed("site", "site_to")
     outcome = _run(frags, tables, calls, policy, repeats=True)
-    return outcome.frags, outcome.rejected
+    return apply_deltas(frags, outcome.deltas), outcome.rejected
 
 
 def update_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> tuple[Frags, DataFrame]:
@@ -407,7 +416,7 @@ def update_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) ->
         {"kind": F.lit("U"), "site_from": F.col("site"), "id_commande": F.lit(None).cast("bigint")}
     ).withColumnRenamed("site", "site_to")
     outcome = _run(frags, tables, calls, policy)
-    return outcome.frags, outcome.rejected
+    return apply_deltas(frags, outcome.deltas), outcome.rejected
 
 
 def delete_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> tuple[Frags, DataFrame]:
@@ -418,7 +427,7 @@ def delete_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) ->
         {"kind": F.lit("D"), "site_to": F.lit(NOWHERE), **empty, "remise": F.lit(None).cast(S.RATE)}
     ).withColumnRenamed("site", "site_from")
     outcome = _run(frags, tables, calls, policy)
-    return outcome.frags, outcome.rejected
+    return apply_deltas(frags, outcome.deltas), outcome.rejected
 
 
 def _against_global(changes: DataFrame, tables: Tables) -> DataFrame:
@@ -442,15 +451,15 @@ def _against_global(changes: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
-def apply_batch(
+def decide_batch(
     tables: Tables,
     frags: Frags,
     changes: DataFrame,
     rule: Rule,
     on_reject: str = QUARANTINE,
     hot_rows: int = HOT_ROWS,
-) -> tuple[Tables, Frags, DataFrame]:
-    """Apply a feed of changes to the global line table and to the sites, as if row by row in ``seq`` order.
+) -> BatchOutcome:
+    """What a feed of changes does, as if row by row in ``seq`` order.
 
     A refused change is undone everywhere and reported. A line may change once per
     batch; by query, where no change depends on another line, several changes of a line
@@ -460,6 +469,7 @@ def apply_batch(
         if rule.policy == STRICT:
             raise ValueError("a line changes more than once in this batch; cut the feed into several batches")
         changes = compact(changes)
+    changes = settle(changes)
     named = classify(_against_global(changes, tables), tables["produits"], rule, keep_all=True)
     rows = settle(
         named.withColumnsRenamed({"old_site": "site_from", "new_site": "site_to"}).withColumns(
@@ -477,9 +487,23 @@ def apply_batch(
         outcome.decided.select(*written, "error_code")
         .unionByName(unsited.select(*written, "error_code"))
         .where(F.col("error_code").isNull())
+        .drop("error_code")
     )
-    new_tables = {**tables, "lignes_commandes": apply_changes_global(tables["lignes_commandes"], accepted)}
-    return new_tables, outcome.frags, rejected
+    return BatchOutcome(outcome.deltas, accepted, rejected)
+
+
+def apply_batch(
+    tables: Tables,
+    frags: Frags,
+    changes: DataFrame,
+    rule: Rule,
+    on_reject: str = QUARANTINE,
+    hot_rows: int = HOT_ROWS,
+) -> tuple[Tables, Frags, DataFrame]:
+    """Global tables, fragments and refused changes after a feed; see ``decide_batch``."""
+    outcome = decide_batch(tables, frags, changes, rule, on_reject, hot_rows)
+    lines = apply_changes_global(tables["lignes_commandes"], outcome.accepted)
+    return {**tables, "lignes_commandes": lines}, apply_deltas(frags, outcome.deltas), outcome.rejected
 
 
 def replicate_parents(frags: Frags, tables: Tables, keys: dict[str, DataFrame]) -> Frags:

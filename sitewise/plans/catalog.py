@@ -16,7 +16,7 @@ from sitewise.operators import changes as CH
 from sitewise.operators import fragments as FR
 from sitewise.operators import maintain as M
 from sitewise.operators import quality as Q
-from sitewise.operators.routing import route
+from sitewise.operators.routing import placed, route
 from sitewise.plans import feed as FD
 from sitewise.rules import SITES, STRICT, by_query, by_volume
 from sitewise.session import workdir
@@ -196,7 +196,7 @@ QUERIES["assign_surrogate_key"] = QUERIES.pop("assign_surrogate_key_")
 @query
 def fragment_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workdir(spark, "sites")
-    snapshots.fragment_write(FR.derive(load_test_tables(spark, sf_dir), BY_QUERY), root)
+    FR.load_sites(load_test_tables(spark, sf_dir), BY_QUERY, root)
     return _digest(snapshots.read_version(spark, root))
 
 
@@ -204,7 +204,7 @@ def fragment_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fragment_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One site's tables under their local names."""
     root = workdir(spark, "sites")
-    snapshots.fragment_write(FR.derive(load_test_tables(spark, sf_dir), BY_VOLUME), root)
+    FR.load_sites(load_test_tables(spark, sf_dir), BY_VOLUME, root)
     return _digest(snapshots.fragment_read(spark, root, site=1, views=True))
 
 
@@ -406,7 +406,9 @@ def orders_per_client_named(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _revenue(rule, discount: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = load_test_tables(spark, sf_dir)
-        total = A.revenue_by_category(FR.derive(t, rule), t, YEAR, discount)
+        # A placed line's order and product are on its site by construction, so the global rows serve.
+        placed_lines = {**t, "lignes_commandes": placed(t["lignes_commandes"], t["produits"], rule)}
+        total = A.revenue_by_category(placed_lines, t, YEAR, discount)
         return total.withColumn("chiffre_affaires", F.col("chiffre_affaires").cast("double"))
 
     return run
@@ -557,9 +559,7 @@ def compact_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _before(spark: SparkSession, sf_dir: str, rule) -> tuple[Tables, Frags]:
     """Tables and fragments as they stand before the feed, the fragments stored."""
     tables = FD.tables_before(spark, sf_dir)
-    root = workdir(spark, "sites")
-    snapshots.fragment_write(FR.derive(tables, rule), root)
-    return tables, snapshots.read_version(spark, root)
+    return tables, FR.load_sites(tables, rule, workdir(spark, "sites"))
 
 
 @query
@@ -797,7 +797,7 @@ def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed applied in four micro-batches, each a new version of all tables."""
     tables = FD.tables_before(spark, sf_dir)
     root = workdir(spark, "store")
-    ST.begin(root, tables, FR.derive(tables, BY_QUERY))
+    ST.begin(root, tables, BY_QUERY)
     stream = ST.read_feed(spark, _feed_files(spark, sf_dir))
     ST.drain(ST.stream_apply(stream, root, tables, BY_QUERY, workdir(spark, "offsets")))
     _, frags = ST.state(spark, root, tables)

@@ -1,10 +1,13 @@
-"""Session settings, checkpoints and working folders."""
+"""Session settings, settled intermediate results and working folders."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs rely on. Join strategy is left to Catalyst and AQE:
@@ -38,8 +41,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
-        # Checkpoints of this session only; a cluster keeps its own cleaning policy.
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
@@ -67,13 +68,19 @@ def workdir(spark: SparkSession, purpose: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so that every later use sees the same rows.
+    """Cut lineage: write the rows to the shared folder and go on from the files.
 
     Used where a result feeds many outputs, or where its partitioning must not be
-    computed twice (range bounds come from a sample).
+    computed twice (range bounds come from a sample). The files survive the loss of
+    executors, and their size is known when what follows is planned: a small batch of
+    changes is broadcast to the large tables, a large one is not.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(spark))
-    return df.checkpoint()
+    path = workdir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(jobs: Sequence[Callable[[], object]]) -> list:
+    """Run independent jobs side by side, so that small ones do not wait for large ones."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]]

@@ -1,47 +1,110 @@
-"""Fragments on shared storage: versioned snapshots, one folder per table and version.
+"""Fragments on shared storage: whole versions, and versions that hold only what changed.
 
-A version counts once its commit row is written, after all its tables. A version is
-never written while it is read: the reader takes the last committed one and the
-writer makes the next. Writing the same version again replaces it, so a batch that
-failed half-way is simply run again.
+``full/<table>/v=<n>`` is a whole table. ``gone/<table>/v=<n>`` and ``added/<table>/v=<n>``
+are the keys a version took out and the rows it put in. Reading a version takes the last
+whole one before it, leaves out every key that changed since (an anti join with the
+changes, the small side) and adds the last state of those keys; no whole table is
+shuffled, sorted or rewritten for a batch of changes.
+
+A version counts once its commit row is written, after all its tables. It is never
+written while it is read, and writing it again replaces it, so a batch that failed
+half-way is simply run again.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import partial
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
-from sitewise.schema import SCHEMAS
+from sitewise.schema import KEYS, SCHEMAS
+from sitewise.session import together
 
 Frags = dict[str, DataFrame]
 
+
+@dataclass
+class Delta:
+    """What a batch takes out of a table, as (site, key), and the rows it puts in. An
+    updated row is in both."""
+
+    gone: DataFrame
+    added: DataFrame
+
+
+Deltas = dict[str, Delta]
+
 _COMMITS = T.StructType(
-    [T.StructField("version", T.LongType()), T.StructField("line_names_client", T.BooleanType())]
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("whole", T.BooleanType()),
+        T.StructField("line_names_client", T.BooleanType()),
+        T.StructField("tables", T.StringType()),
+    ]
 )
+_VERSION = "_version"
 
 
-def _table_path(root: str, table: str, version: int) -> str:
-    return f"{root}/{table}/v={version}"
+def apply_deltas(frags: Frags, deltas: Deltas) -> Frags:
+    """The tables after the changes; a table without changes is passed through."""
+    new = dict(frags)
+    for name, delta in deltas.items():
+        on = ["site", KEYS[name]]
+        new[name] = frags[name].join(delta.gone.select(*on), on, "left_anti").unionByName(delta.added)
+    return new
 
 
-def fragment_write(frags: Frags, root: str, version: int = 0) -> int:
-    """Write every table of all sites, partitioned by site, then commit the version."""
-    for name, df in frags.items():
-        df.write.mode("overwrite").partitionBy("site").parquet(_table_path(root, name, version))
-    spark = next(iter(frags.values())).sparkSession
-    commit = spark.range(1).select(
+def _commit(spark: SparkSession, root: str, version: int, whole: bool, with_client: bool, tables: list[str]) -> None:
+    row = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
-        F.lit("id_client" in frags["lignes_commandes"].columns).alias("line_names_client"),
+        F.lit(whole).alias("whole"),
+        F.lit(with_client).alias("line_names_client"),
+        F.lit(",".join(sorted(tables))).alias("tables"),
     )
-    commit.write.mode("overwrite").parquet(f"{root}/_versions/v={version}")
+    row.write.mode("overwrite").parquet(f"{root}/commits/v={version}")
+
+
+def write_table(df: DataFrame, root: str, table: str, version: int = 0) -> DataFrame:
+    """One whole table, partitioned by site; gives the stored table. Not visible before the commit."""
+    path = f"{root}/full/{table}/v={version}"
+    df.write.mode("overwrite").partitionBy("site").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def commit_whole(frags: Frags, root: str, version: int = 0) -> None:
+    lines = frags["lignes_commandes"]
+    _commit(lines.sparkSession, root, version, True, "id_client" in lines.columns, list(frags))
+
+
+def fragment_write(frags: Frags, root: str, version: int = 0) -> int:
+    """Write every table of all sites whole, then commit the version."""
+    together([partial(write_table, df, root, name, version) for name, df in frags.items()])
+    commit_whole(frags, root, version)
+    return version
+
+
+def write_deltas(frags: Frags, deltas: Deltas, root: str, version: int) -> int:
+    """Write only what a batch changed (``frags`` are the tables it changed), then commit."""
+    jobs = []
+    for name, delta in deltas.items():
+        jobs += [
+            delta.gone.select("site", KEYS[name]).write.mode("overwrite").parquet,
+            delta.added.write.mode("overwrite").parquet,
+        ]
+    paths = [f"{root}/{part}/{name}/v={version}" for name in deltas for part in ("gone", "added")]
+    together([partial(job, path) for job, path in zip(jobs, paths)])
+    lines = frags["lignes_commandes"]
+    _commit(lines.sparkSession, root, version, False, "id_client" in lines.columns, list(frags))
     return version
 
 
 def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.schema(_COMMITS).option("recursiveFileLookup", True).parquet(f"{root}/_versions")
+        return spark.read.schema(_COMMITS).option("recursiveFileLookup", True).parquet(f"{root}/commits")
     except AnalysisException:
         return None
 
@@ -52,22 +115,50 @@ def last_version(spark: SparkSession, root: str) -> int | None:
     return None if commits is None else commits.agg(F.max("version")).first()[0]
 
 
+def _changes(spark: SparkSession, root: str, part: str, table: str, fields: list, base: int, version: int) -> DataFrame | None:
+    schema = T.StructType([*fields, T.StructField("v", T.LongType())])
+    try:
+        stored = spark.read.schema(schema).parquet(f"{root}/{part}/{table}")
+    except AnalysisException:
+        return None
+    return stored.where((F.col("v") > base) & (F.col("v") <= version)).withColumnRenamed("v", _VERSION)
+
+
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> Frags:
     """All sites of a version (the last one by default)."""
     if version is None:
         version = last_version(spark, root)
-    if version is None:
+    commits = _commits(spark, root)
+    if commits is None or version is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    commit = _commits(spark, root).where(F.col("version") == version).first()
-    if commit is None:
+    found = commits.where(F.col("version") <= version).agg(
+        F.max("version").alias("version"),
+        F.max(F.when(F.col("whole"), F.col("version"))).alias("base"),
+        F.max_by("line_names_client", "version").alias("line_names_client"),
+        F.max_by("tables", "version").alias("tables"),
+    ).first()
+    if found["version"] != version:
         raise FileNotFoundError(f"version {version} under {root} is not committed")
+
     frags = {}
-    for name, schema in SCHEMAS.items():
-        fields = list(schema.fields)
-        if name == "lignes_commandes" and commit["line_names_client"]:
+    for name in found["tables"].split(","):
+        fields = list(SCHEMAS[name].fields)
+        if name == "lignes_commandes" and found["line_names_client"]:
             fields.append(T.StructField("id_client", T.LongType()))
-        fields.append(T.StructField("site", T.IntegerType()))
-        frags[name] = spark.read.schema(T.StructType(fields)).parquet(_table_path(root, name, version))
+        site = T.StructField("site", T.IntegerType())
+        columns = [*fields, site]
+        table = spark.read.schema(T.StructType(columns)).parquet(f"{root}/full/{name}/v={found['base']}")
+        if version > found["base"]:
+            on = ["site", KEYS[name]]
+            key = T.StructField(KEYS[name], T.LongType())
+            gone = _changes(spark, root, "gone", name, [site, key], found["base"], version)
+            added = _changes(spark, root, "added", name, columns, found["base"], version)
+            if gone is not None and added is not None:
+                touched = gone.unionByName(added.select(*gone.columns))
+                last = touched.groupBy(*on).agg(F.max(_VERSION).alias(_VERSION))
+                live = added.join(last, [*on, _VERSION], "left_semi").drop(_VERSION)
+                table = table.join(last.select(*on), on, "left_anti").unionByName(live)
+        frags[name] = table
     return frags
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sitewise.functions.prefix import find_hot, row_numbers
-from sitewise.schema import SCHEMAS
 from sitewise.functions.relations import conform, lookup
+from sitewise.schema import SCHEMAS
+from sitewise.session import together
 
 Tables = dict[str, DataFrame]
 
@@ -19,8 +21,12 @@ def load_global(spark: SparkSession, root: str) -> Tables:
 
 
 def save_global(tables: Tables, root: str) -> None:
-    for name, schema in SCHEMAS.items():
-        conform(tables[name], schema).write.mode("overwrite").parquet(f"{root}/{name}")
+    together(
+        [
+            partial(conform(tables[name], schema).write.mode("overwrite").parquet, f"{root}/{name}")
+            for name, schema in SCHEMAS.items()
+        ]
+    )
 
 
 # Schemas of the test tables that have a counterpart in the order store.

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sitewise.operators.changes import route_changes
-from sitewise.operators.maintain import QUARANTINE, apply_batch
-from sitewise.rules import Rule
-from sitewise.schema import CHANGES, SCHEMAS
-from sitewise.sources.snapshots import Frags, fragment_write, last_version, read_version
+from sitewise.operators.changes import route_changes, written_lines
+from sitewise.operators.fragments import load_sites
+from sitewise.operators.maintain import QUARANTINE, decide_batch
+from sitewise.rules import NOWHERE, Rule
+from sitewise.schema import CHANGES, KEYS
+from sitewise.sources.snapshots import Delta, Frags, fragment_write, last_version, read_version, write_deltas
 from sitewise.sources.tables import Tables
 
 _GLOBAL = "global"
 _SITES = "sites"
 _REJECTED = "rejected"
+_LINES = "lignes_commandes"
 
 
 def read_feed(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -35,22 +39,18 @@ def stream_route(stream: DataFrame, products: DataFrame, rule: Rule, sink: str,
     )
 
 
-def _line_path(root: str, version: int) -> str:
-    return f"{root}/{_GLOBAL}/lignes_commandes/v={version}"
-
-
-def begin(root: str, tables: Tables, frags: Frags) -> None:
-    """Version 0 of the global lines and of the fragments."""
-    tables["lignes_commandes"].write.mode("overwrite").parquet(_line_path(root, 0))
-    fragment_write(frags, f"{root}/{_SITES}", 0)
+def begin(root: str, tables: Tables, rule: Rule) -> None:
+    """Version 0: the global lines and the fragments derived from them, both whole."""
+    fragment_write({_LINES: tables[_LINES].withColumn("site", F.lit(NOWHERE))}, f"{root}/{_GLOBAL}", 0)
+    load_sites(tables, rule, f"{root}/{_SITES}", 0)
 
 
 def state(spark: SparkSession, root: str, tables: Tables, version: int | None = None) -> tuple[Tables, Frags]:
     """Global tables and fragments as of a version (the last one by default)."""
     if version is None:
         version = last_version(spark, f"{root}/{_SITES}")
-    lines = spark.read.schema(SCHEMAS["lignes_commandes"]).parquet(_line_path(root, version))
-    return {**tables, "lignes_commandes": lines}, read_version(spark, f"{root}/{_SITES}", version)
+    lines = read_version(spark, f"{root}/{_GLOBAL}", version)[_LINES].drop("site")
+    return {**tables, _LINES: lines}, read_version(spark, f"{root}/{_SITES}", version)
 
 
 def rejected_changes(spark: SparkSession, root: str) -> DataFrame:
@@ -58,24 +58,56 @@ def rejected_changes(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{_REJECTED}")
 
 
+def apply_version(
+    changes: DataFrame, root: str, tables: Tables, rule: Rule, version: int, on_reject: str = QUARANTINE
+) -> None:
+    """Read a version, apply the changes, write the next one as what they changed."""
+    spark = changes.sparkSession
+    before, sites = state(spark, root, tables, version)
+    outcome = decide_batch(before, sites, changes, rule, on_reject)
+    accepted = outcome.accepted
+    lines = Delta(
+        accepted.where(F.col("op") != "I").select(F.lit(NOWHERE).alias("site"), KEYS[_LINES]),
+        written_lines(accepted).withColumn("site", F.lit(NOWHERE)),
+    )
+    outcome.rejected.write.mode("overwrite").parquet(f"{root}/{_REJECTED}/v={version + 1}")
+    write_deltas({_LINES: before[_LINES]}, {_LINES: lines}, f"{root}/{_GLOBAL}", version + 1)
+    write_deltas(sites, outcome.deltas, f"{root}/{_SITES}", version + 1)
+
+
+def make_whole(spark: SparkSession, root: str, tables: Tables) -> int:
+    """Write the last version as whole tables, the next version, so that later reads start from it."""
+    version = last_version(spark, f"{root}/{_SITES}")
+    now, sites = state(spark, root, tables, version)
+    fragment_write({_LINES: now[_LINES].withColumn("site", F.lit(NOWHERE))}, f"{root}/{_GLOBAL}", version + 1)
+    return fragment_write(sites, f"{root}/{_SITES}", version + 1)
+
+
+def _first_version(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The version a stream began from, noted beside its checkpoint."""
+    note = f"{checkpoint}-first"
+    try:
+        return spark.read.schema("first bigint").parquet(note).first()["first"]
+    except AnalysisException:
+        first = last_version(spark, f"{root}/{_SITES}")
+        spark.range(1).select(F.lit(first).cast("bigint").alias("first")).write.parquet(note)
+        return first
+
+
 def stream_apply(
     stream: DataFrame, root: str, tables: Tables, rule: Rule, checkpoint: str, on_reject: str = QUARANTINE
 ) -> StreamingQuery:
-    """Apply each micro-batch to the last version and write the next.
+    """Apply each micro-batch to a version and write the next.
 
-    Batch ``n`` always reads version ``n`` and writes version ``n + 1``, so a batch that is
-    run again after a failure writes the same version again. The sites' commit row is
-    written last; until then readers see the version before. A version is a whole copy,
-    so feeds are best taken in few, large batches (``files_per_batch``).
+    Batch ``n`` reads version ``first + n`` and writes the one after, ``first`` being the last
+    version when the stream's checkpoint was new; so a batch that is run again after a
+    failure writes the same version again. The sites' commit row is written last, and
+    until then readers see the version before.
     """
+    first = _first_version(stream.sparkSession, root, checkpoint)
 
     def apply(changes: DataFrame, batch_id: int) -> None:
-        spark = changes.sparkSession
-        before, sites = state(spark, root, tables, batch_id)
-        after, new_sites, rejected = apply_batch(before, sites, changes, rule, on_reject)
-        after["lignes_commandes"].write.mode("overwrite").parquet(_line_path(root, batch_id + 1))
-        rejected.write.mode("overwrite").parquet(f"{root}/{_REJECTED}/v={batch_id + 1}")
-        fragment_write(new_sites, f"{root}/{_SITES}", batch_id + 1)
+        apply_version(changes, root, tables, rule, first + batch_id, on_reject)
 
     return (
         stream.writeStream.foreachBatch(apply)
