@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,9 +62,9 @@ def tagged(df: DataFrame, tag: str, cols: Sequence[str], name: str = "db") -> Da
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of a schema; those the input lacks are NULL."""
     have = set(df.columns)
-
-    def field(f: T.StructField) -> Column:
-        source = F.col(f.name) if f.name in have else F.lit(None)
-        return source.cast(f.dataType).alias(f.name)
-
-    return df.select(*[field(f) for f in schema.fields])
+    return df.selectExpr(
+        *[
+            f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in schema.fields
+        ]
+    )
