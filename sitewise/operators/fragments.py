@@ -88,7 +88,7 @@ def load_sites(tables: Tables, rule: Rule, root: str, version: int = 0) -> Frags
     sited = write_table(lines(tables, rule), root, "lignes_commandes", version)
 
     def stored(parents: Frags) -> Frags:
-        written = together([partial(write_table, df, root, name, version) for name, df in parents.items()])
+        written = together(sited.sparkSession, [partial(write_table, df, root, name, version) for name, df in parents.items()])
         return dict(zip(parents, written))
 
     middle = stored(_line_parents(tables, rule, sited))

@@ -32,7 +32,7 @@ from sitewise.functions.relations import anti, exists_flag, lookup, semi
 from sitewise.operators.changes import apply_changes_global, classify, compact
 from sitewise.operators.fragments import named_by
 from sitewise.rules import NOWHERE, SITES, STRICT, Rule
-from sitewise.session import settle
+from sitewise.session import settle, together
 from sitewise.sources.snapshots import Delta, Deltas, Frags, apply_deltas
 from sitewise.sources.tables import Tables
 
@@ -287,8 +287,8 @@ def _written(ok: DataFrame, lines: DataFrame) -> DataFrame:
     return updates.unionByName(inserts)
 
 
-def _order_moves(ok: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Orders that lose their last line at a site, and orders that a site gains."""
+def _order_moves(ok: DataFrame) -> DataFrame:
+    """Orders that lose their last line at a site, and (``gained``) orders that come to a site."""
     lost, won = (F.col("kind").isin("D", "M") & F.col("at_from")), F.col("kind").isin("I", "M")
     totals = ok.groupBy("id_commande").agg(
         *[F.count_if(lost & (F.col("site_from") == s)).alias(f"lost{s}") for s in SITES],
@@ -310,12 +310,10 @@ def _order_moves(ok: DataFrame) -> tuple[DataFrame, DataFrame]:
         ).alias("at"),
     ).select("id_commande", "at.*")
     left = F.col("n") + F.col("won") - F.col("lost")
-    emptied = per_site.where(F.col("here") & (F.col("lost") > 0) & (left == 0))
-    gained = per_site.where(~F.col("here") & (F.col("won") > 0) & (left > 0))
-    return (
-        emptied.select("site", "id_commande", F.col("client").alias("id_client")),
-        gained.select("site", "id_commande"),
-    )
+    emptied = F.col("here") & (F.col("lost") > 0) & (left == 0)
+    gained = ~F.col("here") & (F.col("won") > 0) & (left > 0)
+    moved = per_site.where(emptied | gained)
+    return moved.select("site", "id_commande", F.col("client").alias("id_client"), gained.alias("gained"))
 
 
 def _unused(candidates: DataFrame, children: DataFrame, key: str) -> DataFrame:
@@ -340,10 +338,22 @@ def _deltas(frags: Frags, tables: Tables, decided: DataFrame, policy: str) -> De
     )
     deltas = {"lignes_commandes": Delta(touched, _written(ok, lines))}
 
-    emptied, gained = _order_moves(ok)
-    pulled_orders = named_by(tables["commandes"], gained, "id_commande")
+    moves = settle(_order_moves(ok))
+    emptied = moves.where(~F.col("gained")).select("site", "id_commande", "id_client")
+    wanted = ok.where(F.col("kind").isin("I", "M", "U")).select(F.col("site_to").alias("site"), "id_produit")
+    # What is pulled in is the size of the batch and names further parents: found once, in
+    # one pass over the global orders and products.
     if policy == STRICT:
-        pulled_orders = pulled_orders.where(F.lit(False))
+        pulled_orders = named_by(tables["commandes"], moves.where(F.lit(False)), "id_commande")
+    else:
+        gained = moves.where(F.col("gained"))
+        pulled_orders, pulled_products = together(
+            lines.sparkSession,
+            [
+                lambda: settle(named_by(tables["commandes"], gained, "id_commande")),
+                lambda: settle(_pulled(tables["produits"], frags["produits"], wanted, "id_produit")),
+            ],
+        )
     deltas["commandes"] = Delta(emptied.select("site", "id_commande"), pulled_orders)
     after = apply_deltas(frags, deltas)
 
@@ -364,8 +374,6 @@ def _deltas(frags: Frags, tables: Tables, decided: DataFrame, policy: str) -> De
     dropped = _unused(
         last.where(F.col("by") == "U").select("site", "id_produit"), after["lignes_commandes"], "id_produit"
     )
-    wanted = ok.where(F.col("kind").isin("I", "M", "U")).select(F.col("site_to").alias("site"), "id_produit")
-    pulled_products = _pulled(tables["produits"], frags["produits"], wanted, "id_produit")
     deltas["produits"] = Delta(dropped, pulled_products)
     for parent, key, children in (
         ("employes", "id_employe", pulled_orders),

@@ -80,7 +80,8 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def together(jobs: Sequence[Callable[[], object]]) -> list:
+def together(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:
     """Run independent jobs side by side, so that small ones do not wait for large ones."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        return [done.result() for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+        return [done.result() for done in [pool.submit(inherit(job)) for job in jobs]]

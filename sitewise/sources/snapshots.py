@@ -82,7 +82,8 @@ def commit_whole(frags: Frags, root: str, version: int = 0) -> None:
 
 def fragment_write(frags: Frags, root: str, version: int = 0) -> int:
     """Write every table of all sites whole, then commit the version."""
-    together([partial(write_table, df, root, name, version) for name, df in frags.items()])
+    spark = frags["lignes_commandes"].sparkSession
+    together(spark, [partial(write_table, df, root, name, version) for name, df in frags.items()])
     commit_whole(frags, root, version)
     return version
 
@@ -96,8 +97,8 @@ def write_deltas(frags: Frags, deltas: Deltas, root: str, version: int) -> int:
             delta.added.write.mode("overwrite").parquet,
         ]
     paths = [f"{root}/{part}/{name}/v={version}" for name in deltas for part in ("gone", "added")]
-    together([partial(job, path) for job, path in zip(jobs, paths)])
     lines = frags["lignes_commandes"]
+    together(lines.sparkSession, [partial(job, path) for job, path in zip(jobs, paths)])
     _commit(lines.sparkSession, root, version, False, "id_client" in lines.columns, list(frags))
     return version
 

@@ -22,10 +22,11 @@ def load_global(spark: SparkSession, root: str) -> Tables:
 
 def save_global(tables: Tables, root: str) -> None:
     together(
+        tables["lignes_commandes"].sparkSession,
         [
             partial(conform(tables[name], schema).write.mode("overwrite").parquet, f"{root}/{name}")
             for name, schema in SCHEMAS.items()
-        ]
+        ],
     )
 
 

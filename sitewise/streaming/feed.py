@@ -100,14 +100,16 @@ def stream_apply(
     """Apply each micro-batch to a version and write the next.
 
     Batch ``n`` reads version ``first + n`` and writes the one after, ``first`` being the last
-    version when the stream's checkpoint was new; so a batch that is run again after a
-    failure writes the same version again. The sites' commit row is written last, and
-    until then readers see the version before.
+    version when the stream's checkpoint was new. The sites' commit row is written last;
+    until then readers see the version before. A batch that failed before it is run again
+    and replaces what it had written; one that got that far is not applied twice.
     """
     first = _first_version(stream.sparkSession, root, checkpoint)
 
     def apply(changes: DataFrame, batch_id: int) -> None:
-        apply_version(changes, root, tables, rule, first + batch_id, on_reject)
+        version = first + batch_id
+        if last_version(changes.sparkSession, f"{root}/{_SITES}") == version:
+            apply_version(changes, root, tables, rule, version, on_reject)
 
     return (
         stream.writeStream.foreachBatch(apply)

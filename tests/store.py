@@ -6,19 +6,19 @@ import copy
 import datetime as dt
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from sitewise.functions.relations import conform
 from sitewise.schema import CHANGES, KEYS, SCHEMAS
 
 DAY = dt.datetime(2026, 3, 1)
 
 
 def frame(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
-    data = [tuple(row.get(name) for name in schema.names) for row in rows]
-    return spark.createDataFrame(data, schema)
+    columns = {name: [row.get(name) for row in rows] for name in schema.names}
+    return spark.createDataFrame(pa.table(columns, schema=to_arrow_schema(schema)), schema)
 
 
 def make_tables(spark: SparkSession, **rows: list[dict]) -> dict[str, DataFrame]:
