@@ -9,9 +9,9 @@ and both add up to the exact running total.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,31 +22,50 @@ HOT_ROWS = 5_000_000
 
 _CHUNK = "_chunk"
 _TIE = "_tie"
+_POSITION = "_position"
 _LOCAL = "_local_"
 
 
-def _chunked(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str], rows: int, hot_rows: int) -> DataFrame:
-    spark = df.sparkSession
-    chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * rows // hot_rows))
+def _ranged(df: DataFrame, keys: list[str], order: list[str], rows: int, hot_rows: int) -> DataFrame:
+    """The rows ranged by (key, order) and sorted, with their chunk and position, settled.
+
+    The bounds are sampled, so the chunk of a row is settled before it is used twice.
+    """
+    chunks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * rows // hot_rows))
     # Equal rows must be able to fall into different chunks, hence the tie breaker.
-    # The bounds are sampled, so the chunk of a row is settled before it is used twice.
-    ranged = settle(
+    return settle(
         df.withColumn(_TIE, F.monotonically_increasing_id())
         .repartitionByRange(chunks, *keys, *order, _TIE)
+        .sortWithinPartitions(*keys, *order, _TIE)
         .withColumn(_CHUNK, F.spark_partition_id())
+        .withColumn(_POSITION, F.monotonically_increasing_id())
     )
-    within = W.partitionBy(*keys, _CHUNK).orderBy(*order, _TIE).rowsBetween(W.unboundedPreceding, W.currentRow)
+
+
+def _before(keys: list[str], name: str) -> Column:
+    """Total of a key's earlier chunks; a key has at most one row per chunk here."""
+    earlier = W.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum(name).over(earlier), F.lit(0))
+
+
+def _chunked_sums(ranged: DataFrame, keys: list[str], sums: dict[str, str], columns: list[str]) -> DataFrame:
+    within = W.partitionBy(*keys, _CHUNK).orderBy(_POSITION).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = ranged.select("*", *[F.sum(source).over(within).alias(_LOCAL + name) for name, source in sums.items()])
-    before = W.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
     totals = ranged.groupBy(*keys, _CHUNK).agg(*[F.sum(source).alias(name) for name, source in sums.items()])
-    offsets = totals.select(
-        *keys, _CHUNK, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums]
-    )
+    offsets = totals.select(*keys, _CHUNK, *[_before(keys, name).alias(name) for name in sums])
     return local.join(offsets, [*keys, _CHUNK]).select(
-        *df.columns, *[(F.col(name) + F.col(_LOCAL + name)).alias(name) for name in sums]
+        *columns, *[(F.col(name) + F.col(_LOCAL + name)).alias(name) for name in sums]
     )
 
 
+def _chunked_numbers(ranged: DataFrame, keys: list[str], name: str, columns: list[str]) -> DataFrame:
+    """Row numbers need no second shuffle of the rows: a position within a chunk is one already."""
+    totals = ranged.groupBy(*keys, _CHUNK).agg(F.min(_POSITION).alias("_start"), F.count(F.lit(1)).alias("_n"))
+    offsets = totals.select(*keys, _CHUNK, "_start", _before(keys, "_n").alias("_offset"))
+    number = F.col("_offset") + F.col(_POSITION) - F.col("_start") + 1
+    return ranged.join(offsets, [*keys, _CHUNK]).select(*columns, number.alias(name))
+
+
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -61,22 +80,38 @@ def running_sums(
     summed column. Key columns must not be NULL. A caller that has already checked that
     no group is above ``hot_rows`` says so with ``known_small``.
     """
-    keys, order = list(keys), list(order)
-    if not keys:
-        return _chunked(df, keys, order, sums, df.count(), hot_rows)
-    hot_groups = find_hot(df, keys, hot_rows)
-    hot_total = 0 if known_small else hot_groups.agg(F.sum("n")).first()[0] or 0
     window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
 
     def plain(rows: DataFrame) -> DataFrame:
         return rows.select("*", *[F.sum(source).over(window).alias(name) for name, source in sums.items()])
 
+    def chunked(ranged: DataFrame) -> DataFrame:
+        return _chunked_sums(ranged, list(keys), sums, df.columns)
+
+    return _by_size(df, list(keys), list(order), plain, chunked, hot_rows, known_small)
+
+
+def _by_size(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    plain: Callable[[DataFrame], DataFrame],
+    chunked: Callable[[DataFrame], DataFrame],
+    hot_rows: int,
+    known_small: bool,
+) -> DataFrame:
+    """Small groups one way, hot groups the other."""
+    if not keys:
+        return chunked(_ranged(df, keys, order, df.count(), hot_rows))
+    if known_small:
+        return plain(df)
+    hot_groups = find_hot(df, keys, hot_rows)
+    hot_total = hot_groups.agg(F.sum("n")).first()[0]
     if not hot_total:
         return plain(df)
     hot_groups = settle(hot_groups)
-    return plain(anti(df, hot_groups, keys)).unionByName(
-        _chunked(semi(df, hot_groups, keys), keys, order, sums, hot_total, hot_rows)
-    )
+    hot = chunked(_ranged(semi(df, hot_groups, keys), keys, order, hot_total, hot_rows))
+    return plain(anti(df, hot_groups, keys)).unionByName(hot)
 
 
 def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -93,6 +128,12 @@ def row_numbers(
     known_small: bool = False,
 ) -> DataFrame:
     """Adds 1, 2, 3 … per key (over all rows where there is no key)."""
-    one = "_one"
-    numbered = running_sums(df.withColumn(one, F.lit(1).cast("bigint")), keys, order, {name: one}, hot_rows, known_small)
-    return numbered.drop(one)
+    window = W.partitionBy(*keys).orderBy(*order)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+    def chunked(ranged: DataFrame) -> DataFrame:
+        return _chunked_numbers(ranged, list(keys), name, df.columns)
+
+    return _by_size(df, list(keys), list(order), plain, chunked, hot_rows, known_small)

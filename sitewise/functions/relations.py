@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,9 +54,10 @@ def sort_desc(df: DataFrame, column: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_first(column))
 
 
-def tagged(df: DataFrame, tag: str, cols: Sequence[str], name: str = "db") -> DataFrame:
-    """Some columns and a literal that names the origin."""
-    return df.select(F.lit(tag).alias(name), *cols)
+def tagged(df: DataFrame, tag: str | Column, cols: Sequence[str], name: str = "db") -> DataFrame:
+    """Some columns and a tag that names the origin."""
+    tag = F.lit(tag) if isinstance(tag, str) else tag
+    return df.select(tag.alias(name), *cols)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sitewise.functions.columns import units, year_extract, year_range
 from sitewise.functions.relations import sort_desc
-from sitewise.operators.fragments import union_sites
 from sitewise.sources.snapshots import Frags
 from sitewise.sources.tables import Tables
 
@@ -61,10 +60,10 @@ def orders_per_client(tables: Tables, year: int, named: bool = False, extract: b
     return sort_desc(order_client(counted, companies).select("id_client", "societe", "nb_commandes"), "nb_commandes")
 
 
-def sum_two_level(parts: list[DataFrame], keys: Sequence[str], column: str) -> DataFrame:
-    """Sum per part, then over the parts."""
-    partial = [df.groupBy(*keys).agg(F.sum(column).alias(column)) for df in parts]
-    return union_sites(partial).groupBy(*keys).agg(F.sum(column).alias(column))
+def sum_two_level(sited: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Sum per site, then over the sites, in one pass."""
+    per_site = sited.groupBy("site", *keys).agg(F.sum(column).alias(column))
+    return per_site.groupBy(*keys).agg(F.sum(column).alias(column))
 
 
 def _dated_lines(lines: DataFrame, orders: DataFrame, test: Column) -> DataFrame:
@@ -97,12 +96,10 @@ def revenue_by_category(frags: Frags, tables: Tables, year: int, discount: str =
         products = frags["produits"]
         on = ["site", "id_produit"] if "site" in products.columns else ["id_produit"]
         term = (F.col("sold") * price - F.col("off")).cast("decimal(38,4)")
-        per_site = (
-            sold.join(products.select(*on, "id_categorie", "prix_unitaire"), on)
-            .groupBy("site", "id_categorie")
-            .agg(F.sum(term).alias("chiffre_affaires"))
+        terms = sold.join(products.select(*on, "id_categorie", "prix_unitaire"), on).select(
+            "site", "id_categorie", term.alias("chiffre_affaires")
         )
-        total = per_site.groupBy("id_categorie").agg(F.sum("chiffre_affaires").alias("chiffre_affaires"))
+        total = sum_two_level(terms, ["id_categorie"], "chiffre_affaires")
     else:
         net = units(quantity) * (F.lit(1).cast("decimal(1,0)") - off)
         sold = _dated_lines(lines, orders, year_range(date, year)).groupBy("id_produit").agg(

@@ -125,15 +125,23 @@ def full_replica_load(tables: Tables, rule: ByQuery) -> Frags:
     return frags
 
 
-def union_sites(local: list[DataFrame]) -> DataFrame:
-    """All rows of all sites, duplicates kept."""
-    united = local[0]
-    for df in local[1:]:
+def union_sites(parts: list[DataFrame]) -> DataFrame:
+    """All rows of all parts, duplicates kept."""
+    united = parts[0]
+    for df in parts[1:]:
         united = united.unionByName(df)
     return united
 
 
 def reconstruct(frags: Frags) -> DataFrame:
-    """The global line set as the sites hold it."""
-    sited = frags["lignes_commandes"]
-    return union_sites([sited.where(F.col("site") == s).select(*SCHEMAS["lignes_commandes"].names) for s in SITES])
+    """The global line set as the sites hold it: the rows of all sites are one table here,
+    so their union is that table without its site."""
+    return frags["lignes_commandes"].select(*SCHEMAS["lignes_commandes"].names)
+
+
+def on_sites(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """Parents with a flag per site, ``on_site_1`` and ``on_site_2``: whether a child is there."""
+    flags = [f"on_site_{s}" for s in SITES]
+    found = children.groupBy(key).agg(*[F.max(F.col("site") == s).alias(f"on_site_{s}") for s in SITES])
+    joined = parents.join(found, key, "left")
+    return joined.select(*parents.columns, *[F.coalesce(f, F.lit(False)).alias(f) for f in flags])

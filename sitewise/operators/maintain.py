@@ -20,7 +20,9 @@ while they are small); what follows is the size of the batch.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +31,11 @@ from sitewise import schema as S
 from sitewise.functions.columns import error_message
 from sitewise.functions.prefix import HOT_ROWS, running_sums
 from sitewise.functions.relations import anti, exists_flag, lookup, semi
-from sitewise.operators.changes import apply_changes_global, classify, compact
+from sitewise.operators.changes import classify, compact, written_lines
 from sitewise.operators.fragments import named_by
 from sitewise.rules import NOWHERE, SITES, STRICT, Rule
 from sitewise.session import settle, together
-from sitewise.sources.snapshots import Delta, Deltas, Frags, apply_deltas
+from sitewise.sources.snapshots import Delta, Deltas, Frags, apply_deltas, merge
 from sitewise.sources.tables import Tables
 
 QUARANTINE = "quarantine"
@@ -62,7 +64,7 @@ class BatchOutcome:
     """What a feed does to the sites and to the global line table, and what it refuses."""
 
     deltas: Deltas
-    accepted: DataFrame
+    lines: Delta
     rejected: DataFrame
 
 
@@ -439,12 +441,15 @@ def delete_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) ->
 
 
 def _against_global(changes: DataFrame, tables: Tables) -> DataFrame:
-    """Changes that reach a row, with the codes of the global table's own constraints."""
-    known = semi(tables["lignes_commandes"].select(_LINE), changes, _LINE)
-    found = exists_flag(changes, known, _LINE, "_known", unique=True)
+    """Changes that reach a row, with the row as it is now for the side before, and the codes
+    of the global table's own constraints."""
+    now = semi(tables["lignes_commandes"], changes, _LINE).select(
+        _LINE, *[F.col(c).alias(f"old_{c}") for c in _VALUES], F.lit(True).alias("_known")
+    )
+    found = changes.drop(*[f"old_{c}" for c in _VALUES]).join(now, _LINE, "left")
     insert, delete = F.col("op") == "I", F.col("op") == "D"
     found = found.where(insert | F.col("_known")).withColumn(
-        "pre_code", F.when(insert & F.col("_known"), F.lit(S.UNIQUE_VIOLATED))
+        "pre_code", F.when(insert & _holds(F.col("_known")), F.lit(S.UNIQUE_VIOLATED))
     )
     orders = semi(tables["commandes"].select("id_commande"), changes, "id_commande")
     products = tables["produits"].select(F.col("id_produit").alias("new_id_produit"))
@@ -459,25 +464,9 @@ def _against_global(changes: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
-def decide_batch(
-    tables: Tables,
-    frags: Frags,
-    changes: DataFrame,
-    rule: Rule,
-    on_reject: str = QUARANTINE,
-    hot_rows: int = HOT_ROWS,
+def _one_change_per_line(
+    tables: Tables, frags: Frags, changes: DataFrame, rule: Rule, hot_rows: int
 ) -> BatchOutcome:
-    """What a feed of changes does, as if row by row in ``seq`` order.
-
-    A refused change is undone everywhere and reported. A line may change once per
-    batch; by query, where no change depends on another line, several changes of a line
-    are folded first, and by volume such a feed must be cut into several batches.
-    """
-    if not changes.groupBy(_LINE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).isEmpty():
-        if rule.policy == STRICT:
-            raise ValueError("a line changes more than once in this batch; cut the feed into several batches")
-        changes = compact(changes)
-    changes = settle(changes)
     named = classify(_against_global(changes, tables), tables["produits"], rule, keep_all=True)
     rows = settle(
         named.withColumnsRenamed({"old_site": "site_from", "new_site": "site_to"}).withColumns(
@@ -487,17 +476,100 @@ def decide_batch(
     unsited = rows.where(F.col("kind") == "N").withColumn("error_code", F.coalesce("pre_code", "post_code"))
     outcome = _run(frags, tables, rows.where(F.col("kind") != "N"), rule.policy, hot_rows=hot_rows)
 
-    rejected = outcome.rejected.unionByName(_rejected(unsited, rule.policy))
-    if on_reject == FAIL and not rejected.isEmpty():
-        raise RejectedChanges(f"{rejected.count()} changes refused")
     written = ["op", _LINE, "id_commande", *[f"new_{c}" for c in _VALUES]]
     accepted = (
         outcome.decided.select(*written, "error_code")
         .unionByName(unsited.select(*written, "error_code"))
         .where(F.col("error_code").isNull())
-        .drop("error_code")
     )
-    return BatchOutcome(outcome.deltas, accepted, rejected)
+    return BatchOutcome(
+        outcome.deltas, global_delta(accepted), outcome.rejected.unionByName(_rejected(unsited, rule.policy))
+    )
+
+
+def global_delta(accepted: DataFrame) -> Delta:
+    """What accepted changes take out of the global line table and put in (its site is 0)."""
+    nowhere = F.lit(NOWHERE).alias("site")
+    return Delta(
+        accepted.where(F.col("op") != "I").select(nowhere, _LINE), written_lines(accepted).select("*", nowhere)
+    )
+
+
+def _repeats(changes: DataFrame) -> DataFrame:
+    """Lines that change more than once, with their first change."""
+    counted = changes.groupBy(_LINE).agg(F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    return counted.where(F.col("_n") > 1)
+
+
+def turns(changes: DataFrame) -> Iterator[DataFrame]:
+    """A feed cut into consecutive parts, none of which changes a line twice."""
+    rest = changes
+    while True:
+        again = rest.join(_repeats(rest), _LINE).where(F.col("seq") > F.col("_first"))
+        cut = again.agg(F.min("seq")).first()[0]
+        if cut is None:
+            yield rest
+            return
+        yield rest.where(F.col("seq") < cut)
+        rest = rest.where(F.col("seq") >= cut)
+
+
+def _global_after(lines: DataFrame, delta: Delta) -> DataFrame:
+    return lines.join(delta.gone.select(_LINE), _LINE, "left_anti").unionByName(delta.added.drop("site"))
+
+
+def decide_batch(
+    tables: Tables,
+    frags: Frags,
+    changes: DataFrame,
+    rule: Rule,
+    on_reject: str = QUARANTINE,
+    fold: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> BatchOutcome:
+    """What a feed of changes does, as if row by row in ``seq`` order.
+
+    The row before a change is the one the global table holds then; the feed's own ``old_``
+    values are not used. A refused change is undone everywhere and reported.
+
+    Where lines change more than once the feed is taken in turns, each with at most one
+    change per line: exact, with as many turns as a line has changes, at most. ``fold``
+    takes the short way of folding each line's changes into one; the lines then end the
+    same if no change is refused, but parents that only a passing state named are not
+    pulled in.
+    """
+    changes = settle(changes)
+    total = None
+    if _repeats(changes).isEmpty():
+        parts = [changes]
+    else:
+        parts = [compact(changes)] if fold else turns(changes)
+    for part in parts:
+        if total is None:
+            total = _one_change_per_line(tables, frags, part, rule, hot_rows)
+            continue
+        total = _settled(total)
+        now = {**tables, "lignes_commandes": _global_after(tables["lignes_commandes"], total.lines)}
+        more = _one_change_per_line(now, apply_deltas(frags, total.deltas), part, rule, hot_rows)
+        total = BatchOutcome(
+            {name: merge(total.deltas[name], more.deltas[name]) for name in total.deltas},
+            merge(total.lines, more.lines),
+            total.rejected.unionByName(more.rejected),
+        )
+    if on_reject == FAIL and not total.rejected.isEmpty():
+        raise RejectedChanges(f"{total.rejected.count()} changes refused")
+    return total
+
+
+def _settled(outcome: BatchOutcome) -> BatchOutcome:
+    """Between turns: the changes so far, written down, so that plans do not grow with the turns."""
+
+    def down(delta: Delta) -> Delta:
+        return Delta(settle(delta.gone), settle(delta.added))
+
+    jobs = [partial(down, delta) for delta in [*outcome.deltas.values(), outcome.lines]]
+    *deltas, lines = together(outcome.rejected.sparkSession, jobs)
+    return BatchOutcome(dict(zip(outcome.deltas, deltas)), lines, settle(outcome.rejected))
 
 
 def apply_batch(
@@ -506,11 +578,12 @@ def apply_batch(
     changes: DataFrame,
     rule: Rule,
     on_reject: str = QUARANTINE,
+    fold: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> tuple[Tables, Frags, DataFrame]:
     """Global tables, fragments and refused changes after a feed; see ``decide_batch``."""
-    outcome = decide_batch(tables, frags, changes, rule, on_reject, hot_rows)
-    lines = apply_changes_global(tables["lignes_commandes"], outcome.accepted)
+    outcome = decide_batch(tables, frags, changes, rule, on_reject, fold, hot_rows)
+    lines = _global_after(tables["lignes_commandes"], outcome.lines)
     return {**tables, "lignes_commandes": lines}, apply_deltas(frags, outcome.deltas), outcome.rejected
 
 

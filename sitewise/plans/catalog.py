@@ -252,8 +252,8 @@ def project_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_test_tables(spark, sf_dir)
     lines = FR.lines(t, BY_VOLUME)
     cols = [_LINE, "id_produit", "quantite"]
-    parts = [R.tagged(lines.where(F.col("site") == s), f"SITE_{s}", cols) for s in SITES]
-    return FR.union_sites([R.tagged(t["lignes_commandes"], "GLOBAL", cols), *parts])
+    by_site = F.concat(F.lit("SITE_"), F.col("site").cast("string"))
+    return FR.union_sites([R.tagged(t["lignes_commandes"], "GLOBAL", cols), R.tagged(lines, by_site, cols)])
 
 
 @query
@@ -422,19 +422,14 @@ _add("revenue_by_category_rate", _revenue(BY_VOLUME, "rate"))
 def sum_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces per product: per site, then over the sites."""
     sited = FR.lines(load_test_tables(spark, sf_dir), BY_VOLUME)
-    parts = [sited.where(F.col("site") == s) for s in SITES]
-    return A.sum_two_level(parts, ["id_produit"], "quantite")
+    return A.sum_two_level(sited, ["id_produit"], "quantite")
 
 
 @query
 def count_existence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every order, whether a line of it is on each site."""
     t = load_test_tables(spark, sf_dir)
-    sited = FR.lines(t, BY_VOLUME)
-    orders = t["commandes"].select("id_commande")
-    for s in SITES:
-        orders = R.exists_flag(orders, sited.where(F.col("site") == s), "id_commande", f"on_site_{s}")
-    return orders
+    return FR.on_sites(t["commandes"].select("id_commande"), FR.lines(t, BY_VOLUME), "id_commande")
 
 
 @query
@@ -445,9 +440,12 @@ def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def union_all_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sited = FR.lines(load_test_tables(spark, sf_dir), BY_QUERY)
-    parts = [sited.where(F.col("site") == s).select(_LINE, "id_produit", "quantite", _double("remise")) for s in SITES]
-    return FR.union_sites(parts)
+    """Both sites' stored line tables, each read from its own files."""
+    root = workdir(spark, "sites")
+    t = load_test_tables(spark, sf_dir)
+    lines = snapshots.write_table(FR.lines(t, BY_QUERY), root, "lignes_commandes")
+    parts = [lines.where(F.col("site") == s) for s in SITES]
+    return FR.union_sites([p.select(_LINE, "id_produit", "quantite", _double("remise")) for p in parts])
 
 
 @query

@@ -58,6 +58,13 @@ def apply_deltas(frags: Frags, deltas: Deltas) -> Frags:
     return new
 
 
+def merge(earlier: Delta, later: Delta) -> Delta:
+    """Two batches after each other as one."""
+    on = later.gone.columns
+    kept = earlier.added.join(later.gone, on, "left_anti")
+    return Delta(earlier.gone.select(*on).unionByName(later.gone), kept.unionByName(later.added))
+
+
 def _commit(spark: SparkSession, root: str, version: int, whole: bool, with_client: bool, tables: list[str]) -> None:
     row = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),

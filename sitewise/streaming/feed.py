@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sitewise.operators.changes import route_changes, written_lines
+from sitewise.operators.changes import route_changes
 from sitewise.operators.fragments import load_sites
 from sitewise.operators.maintain import QUARANTINE, decide_batch
 from sitewise.rules import NOWHERE, Rule
-from sitewise.schema import CHANGES, KEYS
-from sitewise.sources.snapshots import Delta, Frags, fragment_write, last_version, read_version, write_deltas
+from sitewise.schema import CHANGES
+from sitewise.sources.snapshots import Frags, fragment_write, last_version, read_version, write_deltas
 from sitewise.sources.tables import Tables
 
 _GLOBAL = "global"
@@ -65,13 +65,8 @@ def apply_version(
     spark = changes.sparkSession
     before, sites = state(spark, root, tables, version)
     outcome = decide_batch(before, sites, changes, rule, on_reject)
-    accepted = outcome.accepted
-    lines = Delta(
-        accepted.where(F.col("op") != "I").select(F.lit(NOWHERE).alias("site"), KEYS[_LINES]),
-        written_lines(accepted).withColumn("site", F.lit(NOWHERE)),
-    )
     outcome.rejected.write.mode("overwrite").parquet(f"{root}/{_REJECTED}/v={version + 1}")
-    write_deltas({_LINES: before[_LINES]}, {_LINES: lines}, f"{root}/{_GLOBAL}", version + 1)
+    write_deltas({_LINES: before[_LINES]}, {_LINES: outcome.lines}, f"{root}/{_GLOBAL}", version + 1)
     write_deltas(sites, outcome.deltas, f"{root}/{_SITES}", version + 1)
 
 

@@ -188,12 +188,15 @@ def test_batch_may_fail_as_a_whole(spark, strict_store):
         M.apply_batch(tables, frags, bad, by_volume(), on_reject=M.FAIL)
 
 
-def test_strict_batch_refuses_two_changes_to_a_line(spark, strict_store):
+def test_turns_and_folding(spark, strict_store):
     tables, frags = strict_store
+    tables = {**tables, "lignes_commandes": frags["lignes_commandes"].drop("site")}
     a, b = line(10, 9999, 1, 150, "0.05"), line(10, 9999, 1, 160, "0.05")
-    twice = feed(spark, [change(1, "U", a, b), change(2, "D", b, None)])
-    with pytest.raises(ValueError):
-        M.apply_batch(tables, frags, twice, by_volume())
+    twice = feed(spark, [change(1, "U", a, b), change(2, "D", line(11, 9999, 1, 150, "0.05"), None), change(3, "D", b, None)])
+    assert [sorted(r.seq for r in part.collect()) for part in M.turns(twice)] == [[1, 2], [3]]
+    for fold in (False, True):
+        _, after, rejected = M.apply_batch(tables, frags, twice, by_volume(), fold=fold)
+        assert rejected.isEmpty() and keys_at(after)["lignes_commandes"] == set() and keys_at(after)["commandes"] == set()
 
 
 def test_replicate_and_purge(spark, strict_store):
