@@ -31,7 +31,7 @@ from sitewise import schema as S
 from sitewise.functions.columns import error_message
 from sitewise.functions.prefix import HOT_ROWS, running_sums
 from sitewise.functions.relations import anti, exists_flag, lookup, semi
-from sitewise.operators.changes import classify, compact, written_lines
+from sitewise.operators.changes import classify, compact
 from sitewise.operators.fragments import named_by
 from sitewise.rules import NOWHERE, SITES, STRICT, Rule
 from sitewise.session import settle, together
@@ -103,9 +103,9 @@ def _pick(site: Column, name: str) -> Column:
     return chosen
 
 
-def _order_states(frags: Frags, tables: Tables, rows: DataFrame, strict: bool) -> DataFrame:
-    """Per order: presence, line count and client at each site, and what the global row says."""
-    wanted = rows.select("id_commande").distinct()
+def _order_states(frags: Frags, tables: Tables, named: DataFrame, strict: bool) -> DataFrame:
+    """Per order named: presence, line count and client at each site, and what the global row says."""
+    wanted = named.distinct()
     at = F.col("site")
     present = (
         semi(frags["commandes"], wanted, "id_commande")
@@ -143,7 +143,7 @@ def _order_states(frags: Frags, tables: Tables, rows: DataFrame, strict: bool) -
 def _stage(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> DataFrame:
     """Every change with the state it meets and the code that no other change can alter."""
     strict = policy == STRICT
-    held = semi(frags["lignes_commandes"], rows, _LINE)
+    held = settle(semi(frags["lignes_commandes"], rows, _LINE))
     current = held.select(
         _LINE,
         F.col("site").alias("site_from"),
@@ -152,19 +152,21 @@ def _stage(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> DataFr
         (F.col("id_client") if "id_client" in held.columns else F.lit(None).cast("bigint")).alias("cur_client"),
         F.lit(True).alias("at_from"),
     )
+    taken = held.select(_LINE, F.col("site").alias("site_to"))
     met = rows.join(current, [_LINE, "site_from"], "left").withColumn("at_from", _holds(F.col("at_from")))
-    met = exists_flag(met, held.withColumnRenamed("site", "site_to"), [_LINE, "site_to"], "at_to", unique=True)
-    met = settle(met.withColumn("id_commande", F.coalesce("cur_commande", "id_commande")).drop("cur_commande"))
+    met = exists_flag(met, taken, [_LINE, "site_to"], "at_to", unique=True)
+    met = met.withColumn("id_commande", F.coalesce("cur_commande", "id_commande")).drop("cur_commande")
 
-    met = met.join(_order_states(frags, tables, met, strict), "id_commande", "left")
+    wanted = rows.select("id_commande").unionByName(held.select("id_commande")).where(F.col("id_commande").isNotNull())
+    met = met.join(_order_states(frags, tables, wanted, strict), "id_commande", "left")
     met = met.withColumn("here_to", _holds(_pick(F.col("site_to"), "here")))
-    products_at = semi(frags["produits"], met, "id_produit").withColumnRenamed("site", "site_to")
+    products_at = semi(frags["produits"], rows, "id_produit").withColumnRenamed("site", "site_to")
     met = exists_flag(met, products_at, ["id_produit", "site_to"], "product_to", unique=True)
     if strict:
         met = met.withColumn("product_g", F.lit(False))
     else:
         whole = tables["produits"].where(F.col("id_fournisseur").isNotNull() & F.col("id_categorie").isNotNull())
-        met = exists_flag(met, semi(whole, met, "id_produit"), "id_produit", "product_g", unique=True)
+        met = exists_flag(met, semi(whole, rows, "id_produit"), "id_produit", "product_g", unique=True)
 
     product_known = F.col("product_to") | F.col("product_g")
     insert = (
@@ -469,14 +471,23 @@ def _one_change_per_line(
 ) -> BatchOutcome:
     named = classify(_against_global(changes, tables), tables["produits"], rule, keep_all=True)
     rows = settle(
-        named.withColumnsRenamed({"old_site": "site_from", "new_site": "site_to"}).withColumns(
-            {c: F.col(f"new_{c}") for c in _VALUES}
+        named.select(
+            "seq",
+            "op",
+            _LINE,
+            "id_commande",
+            *[F.col(f"new_{c}").alias(c) for c in _VALUES],
+            F.col("old_site").alias("site_from"),
+            F.col("new_site").alias("site_to"),
+            "kind",
+            "pre_code",
+            "post_code",
         )
     )
     unsited = rows.where(F.col("kind") == "N").withColumn("error_code", F.coalesce("pre_code", "post_code"))
     outcome = _run(frags, tables, rows.where(F.col("kind") != "N"), rule.policy, hot_rows=hot_rows)
 
-    written = ["op", _LINE, "id_commande", *[f"new_{c}" for c in _VALUES]]
+    written = ["op", _LINE, "id_commande", *_VALUES]
     accepted = (
         outcome.decided.select(*written, "error_code")
         .unionByName(unsited.select(*written, "error_code"))
@@ -491,7 +502,8 @@ def global_delta(accepted: DataFrame) -> Delta:
     """What accepted changes take out of the global line table and put in (its site is 0)."""
     nowhere = F.lit(NOWHERE).alias("site")
     return Delta(
-        accepted.where(F.col("op") != "I").select(nowhere, _LINE), written_lines(accepted).select("*", nowhere)
+        accepted.where(F.col("op") != "I").select(nowhere, _LINE),
+        accepted.where(F.col("op") != "D").select(_LINE, "id_commande", *_VALUES, nowhere),
     )
 
 
