@@ -11,6 +11,9 @@ from sitewise.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, shuffle_partitions=4, app="sitewise-tests")
+    session = local_session(8, shuffle_partitions=2, app="sitewise-tests")
+    # A handful of rows per plan: compiling each plan would take longer than running it.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()
