@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from sitewise import schema as S
 from sitewise.functions.columns import error_message
 from sitewise.functions.prefix import HOT_ROWS, running_sums
-from sitewise.functions.relations import anti, exists_flag, lookup, semi
+from sitewise.functions.relations import anti, exists_flag, semi
 from sitewise.operators.changes import classify, compact
 from sitewise.operators.fragments import named_by
 from sitewise.rules import NOWHERE, SITES, STRICT, Rule

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sitewise.functions.relations import semi
 from sitewise.operators.fragments import union_sites
 from sitewise.operators.routing import placed
 from sitewise.rules import NOWHERE, Rule
@@ -111,8 +110,3 @@ def site_counts(frags: Frags) -> DataFrame:
             for name, df in frags.items()
         ]
     )
-
-
-def existing_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is there: the whole-batch form of counting one key at a time."""
-    return semi(df, other, key)
