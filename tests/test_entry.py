@@ -5,13 +5,14 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sitewise.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_flagship(spark):
