@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from sitewise.llm.chat import OP4_SQL, op4_chat
+from sitewise.llm.decontaminate import op6_decontaminate
 from sitewise.llm.packing import op9_packing
+from sitewise.llm.pii import op8_pii
 from sitewise.llm.quality import OP5_SQL, op5_quality
 from sitewise.llm.sharding import op10_sharding
 from sitewise.llm.simhash import op7_simhash
+from sitewise.llm.suffixes import op1_suffix_dedup
+from sitewise.llm.toxicity import op2_toxicity
 from sitewise.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_warc": op3_warc,
     "op4_chat": op4_chat,
     "op5_quality": op5_quality,
+    "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
+    "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }

@@ -19,6 +19,7 @@ difference over the other pivots discards most of these, and the rest is verifie
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -104,23 +105,22 @@ def _stars(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _linked(group: np.ndarray, fp: np.ndarray, bits: int, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links between rows of one group that are within ``bits``; group ids are sorted."""
-    far = np.bitwise_count(fp[:, None] ^ pivots[None, :]).astype(np.int8)
+    """Row numbers (root, member) that span the links within ``bits`` in each group; fp is (rows, 64-bit words)."""
+    far = np.stack([np.bitwise_count(fp ^ p).sum(axis=1, dtype=np.int32) for p in pivots], axis=1)
     order = np.lexsort((far[:, 0], group))
     group, fp, far = group[order], fp[order], far[order]
-    first = group.astype(np.int64)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     held = 0
     active, ahead = np.arange(len(fp) - 1), 1
     while len(active):
         other = active + ahead
-        near = (first[other] == first[active]) & (far[other, 0] - far[active, 0] <= bits)
-        active, other = active[near], other[near]  # rows are ordered by the first pivot: the others lie farther
+        near = (group[other] == group[active]) & (far[other, 0] - far[active, 0] <= bits)
+        active, other = active[near], other[near]  # rows are ordered by the first pivot: later ones lie farther
         left, right = active, other
         for k in range(1, far.shape[1]):
             close = np.abs(far[left, k] - far[right, k]) <= bits
             left, right = left[close], right[close]
-        true = np.bitwise_count(fp[left] ^ fp[right]) <= bits
+        true = np.bitwise_count(fp[left] ^ fp[right]).sum(axis=1, dtype=np.int32) <= bits
         if true.any():
             found.append((left[true], right[true]))
             held += int(true.sum())
@@ -130,58 +130,64 @@ def _linked(group: np.ndarray, fp: np.ndarray, bits: int, pivots: np.ndarray) ->
         ahead += 1
         active = active[active + ahead < len(fp)]
     if not found:
-        return fp[:0], fp[:0]
+        return order[:0], order[:0]
     root, member = _stars(*map(np.concatenate, zip(*found, strict=True)), len(fp))
-    return fp[root], fp[member]
+    return order[root], order[member]
 
 
-def pivot_fingerprints(n: int) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(str(i), SEED) for i in range(n)], dtype=np.uint64)
+def pivot_fingerprints(n: int, words: int = 1) -> np.ndarray:
+    return np.array([[xxhash.xxh64_intdigest(f"{i} {k}", SEED) for k in range(words)] for i in range(n)], dtype=np.uint64)
 
 
-def near_links(marks: DataFrame, bits: int = BITS, n_pivots: int = PIVOTS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Links ``a, b`` between distinct values of fp that span all groups of values within ``bits`` (at most 3)."""
-    if not 0 <= bits <= 3:
-        raise ValueError("five blocks find values that differ in 3 bits at most")
-    dealt = marks.select("fp", F.explode(_buckets()).alias("bucket"))
+def _in_buckets(dealt: DataFrame, bits: int, pivots: np.ndarray, bucket_rows: int, schema: str) -> DataFrame:
+    """Links ``a, b`` between nodes of ``bucket, node, fp`` rows (fp: 64-bit words as bytes) within ``bits`` in some bucket."""
     hot = settle(dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows))
     none = F.lit(0).cast("int")
     if hot.isEmpty():
-        dealt = dealt.select("bucket", none.alias("i"), none.alias("j"), "fp")
+        dealt = dealt.select("bucket", none.alias("i"), none.alias("j"), "node", "fp")
     else:
-        chunks = F.ceil(F.col("n") * 2 / bucket_rows).cast("int")
-        dealt = dealt.join(hot, "bucket", "left").withColumn("chunks", F.coalesce(chunks, F.lit(1)))
-        own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-        dealt = dealt.select("bucket", own.alias("own"), F.explode(F.sequence(none, F.col("chunks") - 1)).alias("to"), "fp")
-        dealt = dealt.select("bucket", F.least("own", "to").alias("i"), F.greatest("own", "to").alias("j"), "fp")
-    pivots = pivot_fingerprints(n_pivots)
+        # Chunks of a large bucket meet in pairs, each pair a group of its own.
+        chunks = F.coalesce(F.ceil(F.col("n") * 2 / bucket_rows).cast("int"), F.lit(1))
+        dealt = dealt.join(hot, "bucket", "left").withColumn("chunks", chunks)
+        own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+        dealt = dealt.select("bucket", own.alias("own"), F.explode(F.sequence(none, F.col("chunks") - 1)).alias("to"), "node", "fp")
+        dealt = dealt.select("bucket", F.least("own", "to").alias("i"), F.greatest("own", "to").alias("j"), "node", "fp")
+
+    def links(new: np.ndarray, node: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        pair = np.zeros(len(node), dtype=bool)
+        pair[1:] |= ~new[1:]
+        pair[:-1] |= ~new[1:]
+        group, node, fp = np.cumsum(new)[pair], node[pair], fp[pair]
+        root, member = _linked(group, fp, bits, pivots) if len(node) else (group, group)
+        return pa.RecordBatch.from_arrays([pa.array(node[root]), pa.array(node[member])], ["a", "b"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            columns.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype="<u8").reshape(batch.num_rows, -1))
             if rest is not None:
                 columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
-            new = np.ones(len(columns[0]), dtype=bool)
-            if len(new) > 1:
-                new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:3]])
-            cut = np.flatnonzero(new)[-1] if len(new) else 0
+            new = np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:3]])]
+            cut = int(np.flatnonzero(new)[-1])  # the last group may go on in the next batch
             rest = [c[cut:] for c in columns]
             if cut:
-                yield _links(new[:cut], columns[3][:cut])
-        if rest is not None and len(rest[0]) > 1:
-            yield _links(np.arange(len(rest[0])) == 0, rest[3])
-
-    def _links(new: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        group = np.cumsum(new)
-        pair = np.zeros(len(fp), dtype=bool)
-        pair[1:] |= ~new[1:]
-        pair[:-1] |= ~new[1:]
-        a, b = _linked(group[pair], fp[pair].view(np.uint64), bits, pivots) if pair.any() else (fp[:0], fp[:0])
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+                yield links(new[:cut], columns[3][:cut], columns[4][:cut])
+        if rest is not None:
+            yield links(np.arange(len(rest[0])) == 0, rest[3], rest[4])
 
     grouped = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return grouped.mapInArrow(link, "a long, b long")
+    return grouped.mapInArrow(link, schema)
+
+
+def near_links(marks: DataFrame, bits: int = BITS, n_pivots: int = PIVOTS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Links ``a, b`` between distinct values of fp that span all groups of values within ``bits`` (at most 3)."""
+    if not 0 <= bits <= 3:
+        raise ValueError("five blocks find values that differ in 3 bits at most")
+    dealt = marks.select(F.explode(_buckets()).alias("bucket"), F.col("fp").alias("node"), F.unhex(F.lpad(F.hex("fp"), 16, "0")).alias("fp"))
+    return _in_buckets(dealt, bits, pivot_fingerprints(n_pivots), bucket_rows, "a long, b long")
 
 
 def near_groups(docs: DataFrame, words: int = 3, bits: int = BITS) -> DataFrame:
@@ -194,6 +200,81 @@ def near_groups(docs: DataFrame, words: int = 3, bits: int = BITS) -> DataFrame:
     return marks.join(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp")
 
 
+# Copies by similarity: wide fingerprints of 5-word shingles.
+WIDE_BITS = 512
+WIDE_WORDS = 5
+BANDS, BAND_BITS = 40, 16
+SIMILARITY = 0.8
+
+
+def _projection() -> np.ndarray:
+    """For each of the 8 bytes of a shingle's hash and each of its values, +1 or -1 for each bit."""
+    return np.random.default_rng(SEED).choice(np.array([-1, 1], dtype=np.float32), (8 * 256, WIDE_BITS))
+
+
+def _wide(tokens: list[bytes], words: int) -> np.ndarray:
+    """How often each value occurs in each byte of the distinct shingles' hashes."""
+    own = np.fromiter(map(_hash, tokens), dtype=np.uint64, count=len(tokens))
+    n = max(1, len(own) - words + 1) if len(own) else 0
+    mixed = np.zeros(n, dtype=np.uint64)
+    for k in range(min(words, len(own))):
+        mixed = (mixed ^ own[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    flat = np.unique(mixed).view(np.uint8).reshape(-1, 8) + np.arange(8) * 256
+    return np.bincount(flat.ravel(), minlength=8 * 256)
+
+
+def wide_marks(rows: DataFrame, words: int = WIDE_WORDS) -> DataFrame:
+    """The rows (text last) with the text's wide fingerprint and band keys in its place."""
+    project = _projection()
+    chosen = np.random.default_rng(SEED + 1).permuted(np.tile(np.arange(WIDE_BITS), (BANDS, 1)), axis=1)[:, :BAND_BITS]
+    weight = 1 << np.arange(BAND_BITS)
+    keep = rows.schema.fields[:-1]
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                texts = batch.column(len(keep)).to_pylist()
+                counts = np.array([_wide((t or "").encode().translate(_LOWER).split(), words) for t in texts], dtype=np.float32)
+                on = counts @ project > 0
+                fp = [x.tobytes() for x in np.packbits(on, axis=1, bitorder="little")]
+                bands = (on[:, chosen] * weight).sum(axis=2) + (np.arange(BANDS) << 32)
+                columns = [*batch.columns[:-1], pa.array(fp, pa.binary()), pa.array(bands.tolist(), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, [*[f.name for f in keep], "fp", "bands"])
+
+    fields = [*keep, T.StructField("fp", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]
+    return rows.mapInArrow(mark, T.StructType(fields))
+
+
+def similar_bits(similarity: float) -> int:
+    """Differing bits up to which sets of that Jaccard similarity are taken: what is expected and a standard deviation less a quarter."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(WIDE_BITS * share + 0.75 * math.sqrt(WIDE_BITS * share * (1 - share)))
+
+
+def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of one document of each group of near copies: that of the smallest doc_id.
+
+    Similarity is that of sets of 5-word shingles, estimated from 512 bits; two texts are
+    compared if they agree in one of 40 bands of 16 bits. Texts without words are no copies of
+    each other unless equal. Equal texts are always one group (told apart by a 64-bit hash).
+    Null ids come last; of rows equal in id and text one stays.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text).cast("binary"))
+    marks = settle(wide_marks(docs.select(key.alias("_key"), "doc_id", F.xxhash64(text).alias("node"), "text")))
+    nodes = marks.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    worded = nodes.where(F.col("fp") != F.lit(bytes(WIDE_BITS // 8)))
+    dealt = worded.select(F.explode("bands").alias("bucket"), "node", "fp")
+    links = _in_buckets(settle(dealt), similar_bits(similarity), pivot_fingerprints(4, WIDE_BITS // 64), BUCKET_ROWS, "a long, b long")
+    roots = components(links).withColumnRenamed("u", "node")
+    owner = marks.select("_key", "doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = owner.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_key"))).alias("one"))
+    kept = settle(first.select(F.col("one._key").alias("_key")))
+    return docs.withColumn("_key", key).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
