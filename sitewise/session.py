@@ -80,6 +80,19 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Remove the files of a settled result that nothing will read any more.
+
+    Call it only after everything derived from it has been settled or written itself.
+    """
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if "/settled-" not in folder:
+            raise ValueError(f"{folder} was not made by settle()")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def together(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:
     """Run independent jobs side by side, so that small ones do not wait for large ones."""
     inherit = inheritable_thread_target(spark)
