@@ -6,14 +6,14 @@ The plan is that of a difference-cover suffix sort, cut off at ``LENGTH`` bytes:
 1. *Sample.* A cover of positions such that any two equal strings of ``LENGTH`` bytes hold a
    sampled position at the same offset. A fixed difference cover modulo 3 would put two thirds
    of all positions into the sort; this one is chosen by content (the position of the least
-   hash of ``GRAM`` bytes in each window), so that about one position in 75 is sampled.
+   hash of ``GRAM`` bytes in each window), so that about one position in 85 is sampled.
 2. *Name.* Each sampled position gets two names: of the ``GRAM`` bytes at it, and of its stretch
    (everything that the windows it was chosen for cover). They are sorted and counted:
    a stretch found twice is repeated in whole, a sampled name found once is in no repeat.
 3. *Recurse.* Only positions whose name is repeated while their stretches differ go on: the edges of
    repeats. One occurrence of each different stretch is taken.
 4. *Merge.* The remaining starts of these stretches are named by sampled name, offset to it and
-   their ``LENGTH`` bytes, and neighbours of equal name are repeats.
+   their ``LENGTH`` bytes, sorted, and neighbours of equal name are repeats.
 
 Names are 64-bit hashes, compared only among equal other names (128 bits together), in
 place of ranks: equality decides, the order of different suffixes does not matter here.
@@ -32,16 +32,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitewise.llm.common import table, whole
-from sitewise.session import settle
+from sitewise.session import release, settle
 
 LENGTH = 200
-GRAM = 48
+GRAM = 32
 STEP = 1 << 22
+HOT_NAME = 20_000  # different stretches of one name that a task takes together; beyond, starts are dealt out singly
 BATCH_ROWS = 256
 
 _random = np.random.default_rng(20240229)
@@ -123,8 +124,23 @@ def _steps(data: bytes, length: int) -> Iterator[tuple[int, bytes]]:
         yield start, data[start : start + STEP + length - 1]
 
 
-def runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """key (of the text), first, last, at, name, stretch of every sampled position of ``key, text`` rows."""
+def _place(first: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """first, last - first and at - first in one number."""
+    return (first << 20) | ((last - first) << 10) | (at - first)
+
+
+def _first(place: Column) -> Column:
+    return F.shiftright(place, 20)
+
+
+def _last(place: Column) -> Column:
+    return F.shiftright(place, 20) + F.shiftright(place, 10).bitwiseAND(F.lit(1023))
+
+
+def runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """key, place, name and stretch of every sampled position of ``key, text`` rows."""
+    if length > 1_000:
+        raise ValueError("places hold stretches of up to 1,000 starts")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,54 +148,123 @@ def runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             for i, text in enumerate(batch.column(1)):
                 for start, data in _steps((text.as_py() or "").encode(), length):
                     first, last, at, name, stretch = sampled(data, length)
-                    found.append((first + start, last + start, at + start, name.view(np.int64), stretch.view(np.int64)))
+                    found.append((_place(first + start, last + start, at + start), name.view(np.int64), stretch.view(np.int64)))
                     owner.append(np.full(len(first), i))
-            columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 5
+            columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 3
             rows = pa.array(np.concatenate(owner) if owner else np.zeros(0, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), *columns], ["key", "first", "last", "at", "name", "stretch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), *columns], ["key", "place", "name", "stretch"])
 
-    return docs.select("key", "text").mapInArrow(sample, "key binary, first long, last long, at long, name long, stretch long")
+    return texts.select("key", "text").mapInArrow(sample, "key binary, place long, name long, stretch long")
 
 
-def edge_names(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The starts of the asked stretches: ``key, packed, asked`` rows in, key, start, name, offset, own out."""
+def stretch_bytes(asked: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The bytes of the asked stretches: ``key, packed, asked`` rows in, name, key, place, data out."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                out: list[list] = [[], [], [], [], []]
-                for key, packed, asked in zip(*[c.to_pylist() for c in batch.slice(at, 64).columns], strict=True):
-                    data = zlib.decompress(packed)
-                    for ask in asked:
-                        first, last = ask["first"], ask["last"]
-                        text = Bytes(data[first : last + length])
-                        own = text.all_names(length)
-                        start = np.arange(first, last + 1)
-                        for column, value in zip(out, ([key] * len(start), start, np.full(len(start), ask["name"]), ask["at"] - start, own.view(np.int64)), strict=True):
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                out: list[list] = [[], [], [], []]
+                for key, packed, asks in zip(*[c.to_pylist() for c in batch.slice(at, BATCH_ROWS).columns], strict=True):
+                    text = zlib.decompress(packed)
+                    for ask in asks:
+                        first, more = ask["place"] >> 20, ask["place"] >> 10 & 1023
+                        for column, value in zip(out, (ask["name"], key, ask["place"], text[first : first + more + length]), strict=True):
                             column.append(value)
-                keys = pa.array([k for some in out[0] for k in some], pa.binary())
-                rest = [pa.array(np.concatenate(c) if c else np.zeros(0, dtype=np.int64)) for c in out[1:]]
-                yield pa.RecordBatch.from_arrays([keys, *rest], ["key", "start", "name", "offset", "own"])
+                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["name", "key", "place", "data"])
+
+    return asked.select("key", "packed", "asked").mapInArrow(spell, "name long, key binary, place long, data binary")
+
+
+def _starts(name: np.ndarray, place: np.ndarray, data: list[bytes], length: int):
+    """All starts of the stretches: number of the stretch, start, and sort key (name, offset, own bytes)."""
+    joined = Bytes(b"".join(data))
+    more = (place >> 10 & 1023) + 1
+    row = np.repeat(np.arange(len(data)), more)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(more) - more, more)
+    base = np.cumsum([0] + [len(d) for d in data[:-1]])
+    at = base[row] + within
+    own = joined.names(at, at + length)
+    offset = (place & 1023)[row] - within
+    sort = _mixed(own + offset.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + name.view(np.uint64)[row] * MIX)
+    return row, (place >> 20)[row] + within, sort
+
+
+def edge_repeats(stretches: DataFrame, length: int = LENGTH) -> DataFrame:
+    """key, first, last of starts that two different stretches of one name share; groups by name."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            name = rows.column(0).to_numpy()
+            cut = int(np.searchsorted(name, name[-1]))  # the last name may go on in the next batch
+            rest = rows.slice(cut)
+            if cut:
+                yield from repeated(rows.slice(0, cut))
+        if rest is not None:
+            yield from repeated(rest)
+
+    def repeated(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        name, place = rows.column(0).to_numpy(), rows.column(2).to_numpy()
+        row, start, sort = _starts(name, place, rows.column(3).to_pylist(), length)
+        order = np.argsort(sort, kind="stable")
+        same = sort[order][1:] == sort[order][:-1]
+        twice = np.zeros(len(row), dtype=bool)
+        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        row, start = row[twice], start[twice]
+        head = np.r_[True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)] if len(row) else np.zeros(0, dtype=bool)
+        first = np.flatnonzero(head)
+        last = np.r_[first[1:], len(row)] - 1 if len(first) else first
+        keys = rows.column(1).combine_chunks().take(pa.array(row[first]))
+        yield pa.RecordBatch.from_arrays([keys, pa.array(start[first]), pa.array(start[last])], ["key", "first", "last"])
+
+    together = stretches.select("name", "key", "place", "data").repartition("name").sortWithinPartitions("name")
+    return together.mapInArrow(compare, "key binary, first long, last long")
+
+
+def hot_edge_repeats(stretches: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The same for names with very many stretches: their starts are dealt out by sort key."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name, place = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            if len(name):
+                row, start, sort = _starts(name, place, batch.column(3).to_pylist(), length)
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row)), pa.array(start), pa.array(sort.view(np.int64))], ["key", "first", "sort"])
 
-    return texts.select("key", "packed", "asked").mapInArrow(spell, "key binary, start long, name long, offset long, own long")
+    starts = settle(stretches.select("name", "key", "place", "data").mapInArrow(spread, "key binary, first long, sort long"))
+    twice = starts.groupBy("sort").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sort")
+    return starts.join(twice, "sort", "left_semi").select("key", "first", F.col("first").alias("last"))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``key, spans``: for each text (by md5) with a repeat, the starts (first, last) of repeated strings."""
     texts = docs.select(F.unhex(F.md5(whole(F.col("text")).cast("binary"))).alias("key"), "text")
     found = settle(runs(texts, length))
-    stretches = found.groupBy("name", "stretch").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "last", "at")).alias("one"))
-    stretches = settle(stretches.where(F.col("name").isNotNull()))
-    names = stretches.groupBy("name").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("all"))
-    twice = stretches.where("n > 1").select("name", "stretch")
-    entire = found.join(twice, ["name", "stretch"]).select("key", "first", "last")
-    edges = stretches.join(names.where("different > 1").select("name"), "name").select("name", "one.*")
-    asked = settle(edges.groupBy("key").agg(F.collect_list(F.struct("first", "last", "at", "name")).alias("asked")))
-    packed = packed_texts(texts).dropDuplicates(["key"])  # copies meet on the way, before the shuffle
-    spelt = settle(edge_names(packed.join(asked, "key"), length))
-    same = spelt.groupBy("name", "offset", "own").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "offset", "own")
-    partly = spelt.join(same, ["name", "offset", "own"]).select("key", F.col("start").alias("first"), F.col("start").alias("last"))
-    return settle(entire.unionByName(partly).groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("spans")))
+    again = settle(found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"))
+    named = settle(found.join(again, "name", "left_semi"))
+    release(found)
+    stretches = settle(named.groupBy("name", "stretch").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("one")))
+    different = stretches.groupBy("name").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
+    entire = named.join(stretches.where("n > 1").select("name", "stretch"), ["name", "stretch"], "left_semi")
+    edges = stretches.join(different, "name").select("name", "one.*", (F.col("different") > HOT_NAME).alias("hot"))
+    asked = settle(edges.groupBy("key").agg(F.collect_list(F.struct("place", "name")).alias("asked"), F.max("hot").alias("hot")))
+    packed = packed_texts(texts).dropDuplicates(["key"])  # copies meet before the shuffle
+    spelt = settle(stretch_bytes(packed.join(asked, "key"), length))
+    if asked.where("hot").isEmpty():
+        partly = edge_repeats(spelt, length)
+    else:
+        hot = settle(different.where(F.col("different") > HOT_NAME).select("name"))
+        partly = edge_repeats(spelt.join(hot, "name", "left_anti"), length)
+        partly = partly.unionByName(hot_edge_repeats(spelt.join(hot, "name", "left_semi"), length))
+    ranges = entire.select("key", _first(F.col("place")).alias("first"), _last(F.col("place")).alias("last")).unionByName(partly)
+    spans = settle(ranges.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("spans")))
+    for done in (named, stretches, asked, spelt):
+        release(done)
+    return spans
 
 
 def packed_texts(texts: DataFrame) -> DataFrame:
