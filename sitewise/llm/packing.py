@@ -14,6 +14,7 @@ with the input; each leaves a few windows that are not full.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -29,37 +30,63 @@ from sitewise.session import settle
 
 WINDOW = 4096
 PIECES_PER_PART = 50_000
-WORDS_KEPT = 400_000  # per worker; only speed depends on it
+WORDS_KEPT = 600_000  # per worker; only speed depends on it
 SHORT = 64
 
 
 class Encoder:
-    """Token ids as little-endian bytes. The tokenizer drops white space and treats what lies
-    between spaces alone, so each such string is encoded once and looked up afterwards."""
+    """Token ids as little-endian bytes. The tokenizer lower-cases, drops white space and treats runs of
+    letters alone, so each such word is encoded once and looked up afterwards."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # tokens that end a run
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
 
-    def _fill(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {w: np.asarray(e.ids, dtype="<u4").tobytes() for w, e in zip(words, found, strict=True)}
+    def _fill(self, words: list[str]) -> None:
+        """Encode unknown words: those of letters in one go, which the ends of runs cut apart again."""
+        letters = [w for w in words if w.isalpha()]
+        ids = np.asarray(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, dtype="<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        rest = [w for w in words if not w.isalpha()]
+        if len(stops) == len(letters):
+            data, at = ids.tobytes(), (4 * np.r_[0, stops]).tolist()
+            self.known.update((w, data[at[i] : at[i + 1]]) for i, w in enumerate(letters))
+        else:
+            rest = words
+        if rest:
+            found = self.tokenizer.encode_batch(rest, add_special_tokens=False)
+            self.known.update((w, np.asarray(e.ids, dtype="<u4").tobytes()) for w, e in zip(rest, found, strict=True))
 
     def encode(self, text: str) -> bytes:
+        if not ("<|" in text or "\u03a3" in text) and unicodedata.is_normalized("NFC", text):
+            # Elsewhere lower() could make a special token, or differ from the tokenizer's own (sigma).
+            text = text.lower()
         words = text.replace("\n", " ").split(" ")
         known = self.known
-        new = [w for w in set(words) if w not in known]
+        new = set(words).difference(known)
         if new:
             if len(known) > WORDS_KEPT:
                 known.clear()
                 known[""] = b""
-                new = [w for w in set(words) if w]
-            fresh = self._fill(new)
-            known.update((w, ids) for w, ids in fresh.items() if len(w) <= SHORT)
-            return b"".join([known[w] if w in known else fresh[w] for w in words])
+                new = set(words) - {""}
+            # A stop or comma behind a letter is a run of its own.
+            marked = {w for w in new if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
+            ask = ((new - marked) | {w[:-1] for w in marked} | {w[-1] for w in marked}).difference(known)
+            if ask:
+                self._fill(list(ask))
+            for w in marked:
+                known[w] = known[w[:-1]] + known[w[-1]]
+            out = b"".join([known[w] for w in words])
+            for w in new:
+                if len(w) > SHORT:
+                    del known[w]
+            return out
         return b"".join([known[w] for w in words])
 
 
