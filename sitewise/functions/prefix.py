@@ -45,8 +45,8 @@ def _ranged(df: DataFrame, keys: list[str], order: list[str], rows: int, hot_row
 def _before(keys: list[str], name: str) -> Column:
     """Total of a key's earlier chunks; a key has at most one row per chunk here.
 
-    The offsets are broadcast: as rows are ranged by key, (key, chunk) pairs are at most
-    the chunks and the hot keys together, a handful for every ``hot_rows`` rows.
+    As rows are ranged by key, (key, chunk) pairs are at most the chunks and the hot keys
+    together, a handful for every ``hot_rows`` rows; how they are joined is left to Spark.
     """
     earlier = W.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
     return F.coalesce(F.sum(name).over(earlier), F.lit(0))
@@ -57,7 +57,7 @@ def _chunked_sums(ranged: DataFrame, keys: list[str], sums: dict[str, str], colu
     local = ranged.select("*", *[F.sum(source).over(within).alias(_LOCAL + name) for name, source in sums.items()])
     totals = ranged.groupBy(*keys, _CHUNK).agg(*[F.sum(source).alias(name) for name, source in sums.items()])
     offsets = totals.select(*keys, _CHUNK, *[_before(keys, name).alias(name) for name in sums])
-    return local.join(F.broadcast(offsets), [*keys, _CHUNK]).select(
+    return local.join(offsets, [*keys, _CHUNK]).select(
         *columns, *[(F.col(name) + F.col(_LOCAL + name)).alias(name) for name in sums]
     )
 
@@ -67,7 +67,7 @@ def _chunked_numbers(ranged: DataFrame, keys: list[str], name: str, columns: lis
     totals = ranged.groupBy(*keys, _CHUNK).agg(F.min(_POSITION).alias("_start"), F.count(F.lit(1)).alias("_n"))
     offsets = totals.select(*keys, _CHUNK, "_start", _before(keys, "_n").alias("_offset"))
     number = F.col("_offset") + F.col(_POSITION) - F.col("_start") + 1
-    return ranged.join(F.broadcast(offsets), [*keys, _CHUNK]).select(*columns, number.alias(name))
+    return ranged.join(offsets, [*keys, _CHUNK]).select(*columns, number.alias(name))
 
 
 def running_sums(

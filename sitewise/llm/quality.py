@@ -98,23 +98,23 @@ def order_rules(sample: DataFrame, rules: Mapping[str, Column]) -> list[str]:
     return sorted(rules, key=lambda name: (-rate[name], name))
 
 
-def cascade(rows: DataFrame, rules: Mapping[str, Column], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows with ``rejected_by``: the first rule, in measured order, that rejects; null if kept.
+def cascade(docs: DataFrame, rules: Mapping[str, Column], prepare=features, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``prepare(docs)`` with ``rejected_by``: the first rule, in measured order, that rejects; null if kept.
 
-    ``rows`` must hold the columns the rules use. The sample, about ``sample_rows`` rows of
-    the whole table, only sets the order.
+    ``prepare`` adds the columns the rules use. The sample, about ``sample_rows`` rows of the
+    whole table, only sets the order.
     """
-    n = rows.count()
-    sample = settle(rows.sample(fraction=min(1.0, sample_rows / max(1, n)), seed=5))
+    n = docs.count()
+    sample = settle(prepare(docs.sample(fraction=min(1.0, sample_rows / max(1, n)), seed=5)))
     verdict = F.lit(None).cast("string")
     for name in reversed(order_rules(sample, rules)):
         verdict = F.when(rules[name], F.lit(name)).otherwise(verdict)
-    return rows.withColumn("rejected_by", verdict)
+    return prepare(docs).withColumn("rejected_by", verdict)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = features(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    judged = cascade(rows, default_rules()).withColumn("base_failed", base_failed())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = cascade(docs, default_rules()).withColumn("base_failed", base_failed())
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"),

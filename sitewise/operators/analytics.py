@@ -89,7 +89,7 @@ def revenue_by_category(frags: Frags, tables: Tables, year: int, discount: str =
     date = F.col("date_commande")
     if discount == "absolute":
         whole = quantity.isNotNull() & off.isNotNull()
-        sold = _dated_lines(lines, orders, year_extract(date, year)).groupBy("site", "id_produit").agg(
+        sold = _dated_lines(lines, orders, year_range(date, year)).groupBy("site", "id_produit").agg(
             F.sum(F.when(whole, units(quantity))).cast("decimal(20,0)").alias("sold"),
             F.sum(F.when(whole, off)).cast("decimal(24,4)").alias("off"),
         )

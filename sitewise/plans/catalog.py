@@ -19,7 +19,7 @@ from sitewise.operators import quality as Q
 from sitewise.operators.routing import placed, route
 from sitewise.plans import feed as FD
 from sitewise.rules import SITES, STRICT, by_query, by_volume
-from sitewise.session import workdir
+from sitewise.session import settle, workdir
 from sitewise.sources import ingest, layout, snapshots
 from sitewise.sources.keys import assign_surrogate_key
 from sitewise.sources.snapshots import Frags
@@ -770,9 +770,13 @@ _add("site_counts", _both(_counts))
 
 
 def _feed_files(spark: SparkSession, sf_dir: str) -> str:
-    """The feed as four files by ``seq`` range."""
+    """The feed as four files by ``seq`` range, written in that order: the file source goes by time."""
     path = workdir(spark, "feed")
-    FD.change_feed(spark, sf_dir).repartitionByRange(4, "seq").write.parquet(path)
+    changes = settle(FD.change_feed(spark, sf_dir))
+    low, high = changes.agg(F.min("seq"), F.max("seq")).first()
+    cuts = [low + (high + 1 - low) * k // 4 for k in range(5)] if low is not None else [0, 0]
+    for start, stop in zip(cuts, cuts[1:]):
+        changes.where((F.col("seq") >= start) & (F.col("seq") < stop)).coalesce(1).write.mode("append").parquet(path)
     return path
 
 

@@ -16,13 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitewise.schema import KEYS, SCHEMAS
-from sitewise.session import together
+from sitewise.session import exists, together
 
 Frags = dict[str, DataFrame]
 
@@ -38,12 +37,26 @@ class Delta:
 
 Deltas = dict[str, Delta]
 
+
+@dataclass(frozen=True)
+class Note:
+    """What a commit row says of the micro-batch it applied: stream, batch, highest ``seq``."""
+
+    stream: str | None = None
+    batch: int | None = None
+    seq: int | None = None
+
+
 _COMMITS = T.StructType(
     [
         T.StructField("version", T.LongType()),
         T.StructField("whole", T.BooleanType()),
         T.StructField("line_names_client", T.BooleanType()),
         T.StructField("tables", T.StringType()),
+        T.StructField("changed", T.StringType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("seq", T.LongType()),
     ]
 )
 _VERSION = "_version"
@@ -65,12 +78,19 @@ def merge(earlier: Delta, later: Delta) -> Delta:
     return Delta(earlier.gone.select(*on).unionByName(later.gone), kept.unionByName(later.added))
 
 
-def _commit(spark: SparkSession, root: str, version: int, whole: bool, with_client: bool, tables: list[str]) -> None:
+def _commit(
+    spark: SparkSession, root: str, version: int, whole: bool, with_client: bool, tables: list[str], changed: list[str], note: Note | None = None
+) -> None:
+    note = note or Note()
     row = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.lit(whole).alias("whole"),
         F.lit(with_client).alias("line_names_client"),
         F.lit(",".join(sorted(tables))).alias("tables"),
+        F.lit(",".join(sorted(changed))).alias("changed"),
+        F.lit(note.stream).cast("string").alias("stream"),
+        F.lit(note.batch).cast("bigint").alias("batch"),
+        F.lit(note.seq).cast("bigint").alias("seq"),
     )
     row.write.mode("overwrite").parquet(f"{root}/commits/v={version}")
 
@@ -84,7 +104,7 @@ def write_table(df: DataFrame, root: str, table: str, version: int = 0) -> DataF
 
 def commit_whole(frags: Frags, root: str, version: int = 0) -> None:
     lines = frags["lignes_commandes"]
-    _commit(lines.sparkSession, root, version, True, "id_client" in lines.columns, list(frags))
+    _commit(lines.sparkSession, root, version, True, "id_client" in lines.columns, list(frags), [])
 
 
 def fragment_write(frags: Frags, root: str, version: int = 0) -> int:
@@ -95,8 +115,8 @@ def fragment_write(frags: Frags, root: str, version: int = 0) -> int:
     return version
 
 
-def write_deltas(frags: Frags, deltas: Deltas, root: str, version: int) -> int:
-    """Write only what a batch changed (``frags`` are the tables it changed), then commit."""
+def write_deltas(frags: Frags, deltas: Deltas, root: str, version: int, note: Note | None = None) -> int:
+    """Write only what a batch changed (``frags`` are the tables it changed), then commit, with the batch's note."""
     jobs = []
     for name, delta in deltas.items():
         jobs += [
@@ -106,15 +126,26 @@ def write_deltas(frags: Frags, deltas: Deltas, root: str, version: int) -> int:
     paths = [f"{root}/{part}/{name}/v={version}" for name in deltas for part in ("gone", "added")]
     lines = frags["lignes_commandes"]
     together(lines.sparkSession, [partial(job, path) for job, path in zip(jobs, paths)])
-    _commit(lines.sparkSession, root, version, False, "id_client" in lines.columns, list(frags))
+    _commit(lines.sparkSession, root, version, False, "id_client" in lines.columns, list(frags), list(deltas), note)
     return version
 
 
 def _commits(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(_COMMITS).option("recursiveFileLookup", True).parquet(f"{root}/commits")
-    except AnalysisException:
+    if not exists(spark, f"{root}/commits"):
         return None
+    return spark.read.schema(_COMMITS).option("recursiveFileLookup", True).parquet(f"{root}/commits")
+
+
+def applied(spark: SparkSession, root: str, stream: str, batch: int) -> bool:
+    """Whether a version holds that batch of that stream."""
+    commits = _commits(spark, root)
+    return commits is not None and not commits.where((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
+
+
+def last_seq(spark: SparkSession, root: str) -> int | None:
+    """The highest ``seq`` that a noted batch has applied."""
+    commits = _commits(spark, root)
+    return None if commits is None else commits.agg(F.max("seq")).first()[0]
 
 
 def last_version(spark: SparkSession, root: str) -> int | None:
@@ -123,13 +154,12 @@ def last_version(spark: SparkSession, root: str) -> int | None:
     return None if commits is None else commits.agg(F.max("version")).first()[0]
 
 
-def _changes(spark: SparkSession, root: str, part: str, table: str, fields: list, base: int, version: int) -> DataFrame | None:
+def _changes(spark: SparkSession, root: str, part: str, table: str, fields: list, versions: list[int]) -> DataFrame:
+    """What those versions hold of a table; one that is missing is an error."""
     schema = T.StructType([*fields, T.StructField("v", T.LongType())])
-    try:
-        stored = spark.read.schema(schema).parquet(f"{root}/{part}/{table}")
-    except AnalysisException:
-        return None
-    return stored.where((F.col("v") > base) & (F.col("v") <= version)).withColumnRenamed("v", _VERSION)
+    home = f"{root}/{part}/{table}"
+    stored = spark.read.schema(schema).option("basePath", home).parquet(*[f"{home}/v={v}" for v in versions])
+    return stored.withColumnRenamed("v", _VERSION)
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> Frags:
@@ -148,6 +178,7 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     if found["version"] != version:
         raise FileNotFoundError(f"version {version} under {root} is not committed")
 
+    later = commits.where((F.col("version") > found["base"]) & (F.col("version") <= version)).select("version", "changed").collect()
     frags = {}
     for name in found["tables"].split(","):
         fields = list(SCHEMAS[name].fields)
@@ -156,16 +187,16 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
         site = T.StructField("site", T.IntegerType())
         columns = [*fields, site]
         table = spark.read.schema(T.StructType(columns)).parquet(f"{root}/full/{name}/v={found['base']}")
-        if version > found["base"]:
+        versions = sorted(row["version"] for row in later if name in (row["changed"] or "").split(","))
+        if versions:
             on = ["site", KEYS[name]]
             key = T.StructField(KEYS[name], T.LongType())
-            gone = _changes(spark, root, "gone", name, [site, key], found["base"], version)
-            added = _changes(spark, root, "added", name, columns, found["base"], version)
-            if gone is not None and added is not None:
-                touched = gone.unionByName(added.select(*gone.columns))
-                last = touched.groupBy(*on).agg(F.max(_VERSION).alias(_VERSION))
-                live = added.join(last, [*on, _VERSION], "left_semi").drop(_VERSION)
-                table = table.join(last.select(*on), on, "left_anti").unionByName(live)
+            gone = _changes(spark, root, "gone", name, [site, key], versions)
+            added = _changes(spark, root, "added", name, columns, versions)
+            touched = gone.unionByName(added.select(*gone.columns))
+            last = touched.groupBy(*on).agg(F.max(_VERSION).alias(_VERSION))
+            live = added.join(last, [*on, _VERSION], "left_semi").drop(_VERSION)
+            table = table.join(last.select(*on), on, "left_anti").unionByName(live)
         frags[name] = table
     return frags
 

@@ -57,9 +57,6 @@ _LINE_ORDER = [
     "l_linestatus",
 ]
 
-# Whether an input has an order too large for one task; asked once per input.
-_no_hot_order: dict[str, bool] = {}
-
 
 def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(_RAW[table]).parquet(f"{sf_dir}/{table}.parquet")
@@ -68,9 +65,7 @@ def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test lines with the derived line id, which numbers the lines within their order."""
     lines = raw(spark, sf_dir, "lineitem")
-    if sf_dir not in _no_hot_order:
-        _no_hot_order[sf_dir] = find_hot(lines, ["l_orderkey"]).isEmpty()
-    numbered = row_numbers(lines, ["l_orderkey"], _LINE_ORDER, "rn", known_small=_no_hot_order[sf_dir])
+    numbered = row_numbers(lines, ["l_orderkey"], _LINE_ORDER, "rn", known_small=find_hot(lines, ["l_orderkey"]).isEmpty())
     return numbered.withColumn("id_ligne_commande", (F.col("l_orderkey") + 1) * 1000 + F.col("rn")).drop("rn")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +13,8 @@ from sitewise.operators.fragments import load_sites
 from sitewise.operators.maintain import QUARANTINE, decide_batch
 from sitewise.rules import NOWHERE, Rule
 from sitewise.schema import CHANGES
-from sitewise.sources.snapshots import Frags, fragment_write, last_version, read_version, write_deltas
+from sitewise.sources.snapshots import Frags, Note, applied, fragment_write, last_seq, last_version, read_version, write_deltas
+from sitewise.session import exists
 from sitewise.sources.tables import Tables
 
 _GLOBAL = "global"
@@ -54,12 +56,13 @@ def state(spark: SparkSession, root: str, tables: Tables, version: int | None =
 
 
 def rejected_changes(spark: SparkSession, root: str) -> DataFrame:
-    """What all batches refused."""
-    return spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{_REJECTED}")
+    """What all committed batches refused."""
+    stored = spark.read.parquet(f"{root}/{_REJECTED}")
+    return stored.where(F.col("v") <= last_version(spark, f"{root}/{_SITES}")).drop("v")
 
 
 def apply_version(
-    changes: DataFrame, root: str, tables: Tables, rule: Rule, version: int, on_reject: str = QUARANTINE
+    changes: DataFrame, root: str, tables: Tables, rule: Rule, version: int, on_reject: str = QUARANTINE, note: Note | None = None
 ) -> None:
     """Read a version, apply the changes, write the next one as what they changed."""
     spark = changes.sparkSession
@@ -67,7 +70,7 @@ def apply_version(
     outcome = decide_batch(before, sites, changes, rule, on_reject)
     outcome.rejected.write.mode("overwrite").parquet(f"{root}/{_REJECTED}/v={version + 1}")
     write_deltas({_LINES: before[_LINES]}, {_LINES: outcome.lines}, f"{root}/{_GLOBAL}", version + 1)
-    write_deltas(sites, outcome.deltas, f"{root}/{_SITES}", version + 1)
+    write_deltas(sites, outcome.deltas, f"{root}/{_SITES}", version + 1, note)
 
 
 def make_whole(spark: SparkSession, root: str, tables: Tables) -> int:
@@ -78,33 +81,40 @@ def make_whole(spark: SparkSession, root: str, tables: Tables) -> int:
     return fragment_write(sites, f"{root}/{_SITES}", version + 1)
 
 
-def _first_version(spark: SparkSession, root: str, checkpoint: str) -> int:
-    """The version a stream began from, noted beside its checkpoint."""
-    note = f"{checkpoint}-first"
-    try:
-        return spark.read.schema("first bigint").parquet(note).first()["first"]
-    except AnalysisException:
-        first = last_version(spark, f"{root}/{_SITES}")
-        spark.range(1).select(F.lit(first).cast("bigint").alias("first")).write.parquet(note)
-        return first
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the stream of a checkpoint, noted beside it."""
+    note = f"{checkpoint}-stream"
+    if not exists(spark, note):
+        spark.range(1).select(F.lit(uuid.uuid4().hex).alias("stream")).write.parquet(note)
+    return spark.read.schema("stream string").parquet(note).first()["stream"]
 
 
 def stream_apply(
-    stream: DataFrame, root: str, tables: Tables, rule: Rule, checkpoint: str, on_reject: str = QUARANTINE
+    stream: DataFrame, root: str, tables: Tables, rule: Rule, checkpoint: str, on_reject: str = QUARANTINE, whole_every: int = 50
 ) -> StreamingQuery:
-    """Apply each micro-batch to a version and write the next.
+    """Apply each micro-batch to the last version and write the next.
 
-    Batch ``n`` reads version ``first + n`` and writes the one after, ``first`` being the last
-    version when the stream's checkpoint was new. The sites' commit row is written last;
-    until then readers see the version before. A batch that failed before it is run again
-    and replaces what it had written; one that got that far is not applied twice.
+    The sites' commit row is written last and names the stream, the batch and the highest
+    ``seq`` applied. A batch whose row is there is not applied again; one that failed before it
+    is run again and replaces what it had written. Changes act in the order of ``seq``: a batch
+    that reaches below what has been applied fails. After every ``whole_every`` versions the
+    tables are written whole, so that reads do not go through ever more changes.
     """
-    first = _first_version(stream.sparkSession, root, checkpoint)
+    name = _stream_id(stream.sparkSession, checkpoint)
+    sites = f"{root}/{_SITES}"
 
     def apply(changes: DataFrame, batch_id: int) -> None:
-        version = first + batch_id
-        if last_version(changes.sparkSession, f"{root}/{_SITES}") == version:
-            apply_version(changes, root, tables, rule, version, on_reject)
+        spark = changes.sparkSession
+        if applied(spark, sites, name, batch_id):
+            return
+        low, high = changes.agg(F.min("seq"), F.max("seq")).first()
+        done = last_seq(spark, sites)
+        if low is not None and done is not None and low <= done:
+            raise ValueError(f"batch {batch_id} begins at seq {low}, but seq {done} has been applied")
+        version = last_version(spark, sites)
+        apply_version(changes, root, tables, rule, version, on_reject, Note(name, batch_id, high))
+        if (version + 1) % whole_every == 0:
+            make_whole(spark, root, tables)
 
     return (
         stream.writeStream.foreachBatch(apply)

@@ -1,6 +1,11 @@
 """Change feeds as streams."""
 
+import os
+import shutil
+from pathlib import Path
+
 import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
 from store import change, feed, keys_at, line
 from test_parts import small_store
 
@@ -8,6 +13,7 @@ from sitewise.operators import fragments as FR
 from sitewise.operators.changes import route_changes
 from sitewise.operators.maintain import apply_batch
 from sitewise.rules import by_query
+from sitewise.sources.snapshots import last_version
 from sitewise.streaming import feed as ST
 
 RULE = by_query()
@@ -71,3 +77,37 @@ def test_applied_stream_equals_batch(spark, tmp_path, feed_dir):
     feed(spark, [change(8, "I", None, line(10, 2, 1, 120, "0.00"))]).write.parquet(more)
     ST.drain(ST.stream_apply(ST.read_feed(spark, more), root, tables, RULE, str(tmp_path / "cp2")))
     assert (1, 10) in {row[:2] for row in keys_at(ST.state(spark, root, tables)[1])["lignes_commandes"]}
+
+    # So does the first stream itself, on its own checkpoint: nothing is skipped.
+    version = ST.make_whole(spark, root, tables)
+    feed(spark, [change(9, "I", None, line(11, 2, 1, 130, "0.00"))]).coalesce(1).write.mode("append").parquet(feed_dir)
+    for _ in range(2):
+        ST.drain(ST.stream_apply(ST.read_feed(spark, feed_dir), root, tables, RULE, checkpoint))
+    assert last_version(spark, f"{root}/sites") == version + 1
+    assert (1, 11) in {row[:2] for row in keys_at(ST.state(spark, root, tables)[1])["lignes_commandes"]}
+
+    # A part of a version that is gone is an error, not an older table.
+    shutil.rmtree(f"{root}/sites/added/lignes_commandes/v={version + 1}")
+    with pytest.raises(AnalysisException):
+        ST.state(spark, root, tables)
+
+
+def test_a_feed_out_of_order_fails(spark, tmp_path, feed_dir):
+    files = sorted(Path(feed_dir).glob("*.parquet"), key=lambda f: f.stat().st_mtime)
+    for age, file in enumerate(files):
+        os.utime(file, (1_700_000_000 - 60 * age,) * 2)
+    tables, root = small_store(spark), str(tmp_path / "store")
+    ST.begin(root, tables, RULE)
+    with pytest.raises(StreamingQueryException, match="has been applied"):
+        ST.drain(ST.stream_apply(ST.read_feed(spark, feed_dir), root, tables, RULE, str(tmp_path / "cp")))
+
+
+def test_whole_versions_in_between(spark, tmp_path, feed_dir):
+    tables = small_store(spark)
+    ends = []
+    for every in (1, 50):
+        root = str(tmp_path / f"store{every}")
+        ST.begin(root, tables, RULE)
+        ST.drain(ST.stream_apply(ST.read_feed(spark, feed_dir), root, tables, RULE, str(tmp_path / f"cp{every}"), whole_every=every))
+        ends.append(keys_at(ST.state(spark, root, tables)[1]))
+    assert ends[0] == ends[1]
