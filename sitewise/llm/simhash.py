@@ -208,8 +208,15 @@ SIMILARITY = 0.8
 
 
 def _projection() -> np.ndarray:
-    """For each of the 8 bytes of a shingle's hash and each of its values, +1 or -1 for each bit."""
-    return np.random.default_rng(SEED).choice(np.array([-1, 1], dtype=np.float32), (8 * 256, WIDE_BITS))
+    """For each of the 8 bytes of a shingle's hash and each of its values, +1 or -1 for each bit.
+
+    Each byte has as many +1 as -1 over its values: else long texts, which hold all values alike,
+    would lean to the same side whatever their words.
+    """
+    halves = np.repeat(np.array([-1, 1], dtype=np.float32), 128)
+    columns = np.tile(halves[:, None], (1, 8 * WIDE_BITS))
+    mixed = np.random.default_rng(SEED).permuted(columns, axis=0)
+    return mixed.reshape(256, 8, WIDE_BITS).transpose(1, 0, 2).reshape(8 * 256, WIDE_BITS)
 
 
 def _wide(tokens: list[bytes], words: int) -> np.ndarray:
