@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sitewise.functions.relations import anti, semi
 from sitewise.session import settle
 
 HOT_ROWS = 5_000_000
@@ -49,7 +48,15 @@ def _before(keys: list[str], name: str) -> Column:
     together, a handful for every ``hot_rows`` rows; how they are joined is left to Spark.
     """
     earlier = W.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    return F.coalesce(F.sum(name).over(earlier), F.lit(0))
+    return F.sum(name).over(earlier)
+
+
+def _same(left: str, right: str, keys: list[str]) -> Column:
+    """Equal keys; NULL is a key like any other."""
+    equal = F.lit(True)
+    for key in keys:
+        equal = equal & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return equal
 
 
 def _chunked_sums(ranged: DataFrame, keys: list[str], sums: dict[str, str], columns: list[str]) -> DataFrame:
@@ -57,17 +64,23 @@ def _chunked_sums(ranged: DataFrame, keys: list[str], sums: dict[str, str], colu
     local = ranged.select("*", *[F.sum(source).over(within).alias(_LOCAL + name) for name, source in sums.items()])
     totals = ranged.groupBy(*keys, _CHUNK).agg(*[F.sum(source).alias(name) for name, source in sums.items()])
     offsets = totals.select(*keys, _CHUNK, *[_before(keys, name).alias(name) for name in sums])
-    return local.join(offsets, [*keys, _CHUNK]).select(
-        *columns, *[(F.col(name) + F.col(_LOCAL + name)).alias(name) for name in sums]
-    )
+    met = local.alias("l").join(offsets.alias("o"), _same("l", "o", [*keys, _CHUNK]))
+
+    def total(name: str) -> Column:
+        """NULL until the first value, as over a plain window."""
+        before, within = F.col(f"o.{name}"), F.col(f"l.{_LOCAL}{name}")
+        return F.coalesce(before + within, before, within).alias(name)
+
+    return met.select(*[F.col(f"l.{c}") for c in columns], *[total(name) for name in sums])
 
 
 def _chunked_numbers(ranged: DataFrame, keys: list[str], name: str, columns: list[str]) -> DataFrame:
     """Row numbers need no second shuffle of the rows: a position within a chunk is one already."""
     totals = ranged.groupBy(*keys, _CHUNK).agg(F.min(_POSITION).alias("_start"), F.count(F.lit(1)).alias("_n"))
-    offsets = totals.select(*keys, _CHUNK, "_start", _before(keys, "_n").alias("_offset"))
-    number = F.col("_offset") + F.col(_POSITION) - F.col("_start") + 1
-    return ranged.join(offsets, [*keys, _CHUNK]).select(*columns, number.alias(name))
+    offsets = totals.select(*keys, _CHUNK, "_start", F.coalesce(_before(keys, "_n"), F.lit(0)).alias("_offset"))
+    number = F.col("o._offset") + F.col(f"l.{_POSITION}") - F.col("o._start") + 1
+    met = ranged.alias("l").join(offsets.alias("o"), _same("l", "o", [*keys, _CHUNK]))
+    return met.select(*[F.col(f"l.{c}") for c in columns], number.alias(name))
 
 
 def running_sums(
@@ -81,7 +94,7 @@ def running_sums(
     """Adds inclusive running totals ``{new column: summed column}`` per key, in order.
 
     ``order`` must rank the rows of a key fully, up to rows that are equal in every
-    summed column. Key columns must not be NULL. A caller that has already checked that
+    summed column. NULL is a key like any other, and a NULL value adds nothing. A caller that has already checked that
     no group is above ``hot_rows`` says so with ``known_small``.
     """
     window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -114,8 +127,10 @@ def _by_size(
     if not hot_total:
         return plain(df)
     hot_groups = settle(hot_groups)
-    hot = chunked(_ranged(semi(df, hot_groups, keys), keys, order, hot_total, hot_rows))
-    return plain(anti(df, hot_groups, keys)).unionByName(hot)
+    rows, found = df.alias("l"), hot_groups.alias("o")
+    hot = rows.join(found, _same("l", "o", keys), "left_semi")
+    rest = rows.join(found, _same("l", "o", keys), "left_anti")
+    return plain(rest).unionByName(chunked(_ranged(hot, keys, order, hot_total, hot_rows)))
 
 
 def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
