@@ -20,7 +20,7 @@ while they are small); what follows is the size of the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -31,7 +31,7 @@ from sitewise import schema as S
 from sitewise.functions.columns import error_message
 from sitewise.functions.prefix import HOT_ROWS, running_sums
 from sitewise.functions.relations import anti, exists_flag, semi
-from sitewise.operators.changes import classify, compact
+from sitewise.operators.changes import classify
 from sitewise.operators.fragments import named_by
 from sitewise.rules import NOWHERE, SITES, STRICT, Rule
 from sitewise.session import settle, together
@@ -42,6 +42,7 @@ QUARANTINE = "quarantine"
 FAIL = "fail"
 
 _LINE = "id_ligne_commande"
+_GROUP = "_group"
 _VALUES = ("id_produit", "quantite", "remise")
 _REJECTED = ["seq", "kind", _LINE, "id_commande", "id_produit", "site", "error_code"]
 
@@ -52,11 +53,13 @@ class RejectedChanges(Exception):
 
 @dataclass
 class Outcome:
-    """What a batch does to the sites' tables, what it refuses, and every change with its verdict."""
+    """What a batch does to the sites' tables, what it refuses, every change with its verdict,
+    and the last change that took a line off a product (None where products are never removed)."""
 
     deltas: Deltas
     rejected: DataFrame
     decided: DataFrame
+    taken: DataFrame | None
 
 
 @dataclass
@@ -64,8 +67,9 @@ class BatchOutcome:
     """What a feed does to the sites and to the global line table, and what it refuses."""
 
     deltas: Deltas
-    lines: Delta
+    lines: Delta | None
     rejected: DataFrame
+    taken: DataFrame | None
 
 
 def _holds(condition: Column) -> Column:
@@ -334,7 +338,8 @@ def _pulled(table: DataFrame, have: DataFrame, wanted: DataFrame, key: str) -> D
 
 
 def _deltas(frags: Frags, tables: Tables, decided: DataFrame, policy: str) -> Deltas:
-    """What the accepted changes take out of each table and put in."""
+    """What the accepted changes take out of each table and put in. Products only come here;
+    ``_without_unused`` takes out those that no line names any more."""
     ok = decided.where(F.col("error_code").isNull())
     lines = frags["lignes_commandes"]
     touched = ok.where(F.col("kind").isin("D", "M", "U") & F.col("at_from")).select(
@@ -369,16 +374,7 @@ def _deltas(frags: Frags, tables: Tables, decided: DataFrame, policy: str) -> De
     if policy == STRICT:
         return deltas
 
-    # A product goes when a same-site update takes its last line off it. A delete leaves it.
-    moved_off = (F.col("kind") == "U") & _holds(F.col("id_produit") != F.col("cur_id_produit"))
-    took = ok.where(F.col("at_from") & (F.col("kind").isin("D", "M") | moved_off))
-    last = took.groupBy(F.col("site_from").alias("site"), F.col("cur_id_produit").alias("id_produit")).agg(
-        F.max_by("kind", "seq").alias("by")
-    )
-    dropped = _unused(
-        last.where(F.col("by") == "U").select("site", "id_produit"), after["lignes_commandes"], "id_produit"
-    )
-    deltas["produits"] = Delta(dropped, pulled_products)
+    deltas["produits"] = Delta(pulled_products.select("site", "id_produit").where(F.lit(False)), pulled_products)
     for parent, key, children in (
         ("employes", "id_employe", pulled_orders),
         ("fournisseurs", "id_fournisseur", pulled_products),
@@ -389,6 +385,30 @@ def _deltas(frags: Frags, tables: Tables, decided: DataFrame, policy: str) -> De
     return deltas
 
 
+def _last_taken(decided: DataFrame) -> DataFrame:
+    """Per site and product, the last accepted change that took a line off it."""
+    moved_off = (F.col("kind") == "U") & _holds(F.col("id_produit") != F.col("cur_id_produit"))
+    took = decided.where(F.col("error_code").isNull() & F.col("at_from") & (F.col("kind").isin("D", "M") | moved_off))
+    return took.groupBy(F.col("site_from").alias("site"), F.col("cur_id_produit").alias("id_produit")).agg(
+        F.max("seq").alias("seq"), F.max_by("kind", "seq").alias("by")
+    )
+
+
+def _without_unused(frags: Frags, deltas: Deltas, taken: DataFrame | None) -> Deltas:
+    """A product goes when a same-site update takes its last line off it. A delete leaves it.
+
+    Of a product that no line names in the end, the last change that took a line off it
+    took the last one, whatever the order in which the changes were worked out.
+    """
+    if taken is None:
+        return deltas
+    last = taken.groupBy("site", "id_produit").agg(F.max_by("by", "seq").alias("by"))
+    lines = apply_deltas(frags, {"lignes_commandes": deltas["lignes_commandes"]})["lignes_commandes"]
+    dropped = settle(_unused(last.where(F.col("by") == "U").select("site", "id_produit"), lines, "id_produit"))
+    nothing = deltas["produits"].added.where(F.lit(False))
+    return {**deltas, "produits": merge(deltas["produits"], Delta(dropped, nothing))}
+
+
 def _rejected(decided: DataFrame, policy: str) -> DataFrame:
     at_target = (F.col("site_to") != NOWHERE) & (F.col("error_code") != S.NO_LINE_TO_DELETE)
     site = F.when(at_target, F.col("site_to")).otherwise(F.col("site_from"))
@@ -408,7 +428,33 @@ def _run(
         if code not in rows.columns:
             rows = rows.withColumn(code, F.lit(None).cast("int"))
     decided = _decide(frags, tables, rows, policy, repeats, hot_rows)
-    return Outcome(_deltas(frags, tables, decided, policy), _rejected(decided, policy), decided)
+    taken = None if policy == STRICT else _last_taken(decided)
+    return Outcome(_deltas(frags, tables, decided, policy), _rejected(decided, policy), decided, taken)
+
+
+def _then(first: Outcome | BatchOutcome | None, more: Outcome | BatchOutcome) -> BatchOutcome:
+    """Two parts after each other as one, written down, so that plans do not grow with the parts."""
+    lines = more.lines if isinstance(more, BatchOutcome) else None
+    if first is None:
+        return _settled(BatchOutcome(more.deltas, lines, more.rejected, more.taken))
+    return _settled(
+        BatchOutcome(
+            {name: merge(first.deltas[name], more.deltas[name]) for name in first.deltas},
+            None if lines is None else merge(first.lines, lines),
+            first.rejected.unionByName(more.rejected),
+            None if more.taken is None else first.taken.unionByName(more.taken),
+        )
+    )
+
+
+def _in_parts(frags: Frags, tables: Tables, parts: Iterator[DataFrame], policy: str) -> tuple[Frags, DataFrame]:
+    """Calls in parts, each on what the parts before it left."""
+    total = None
+    for part in parts:
+        now = frags if total is None else apply_deltas(frags, total.deltas)
+        total = _then(total, _run(now, tables, part, policy))
+    deltas = _without_unused(frags, total.deltas, total.taken)
+    return apply_deltas(frags, deltas), total.rejected
 
 
 def insert_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> tuple[Frags, DataFrame]:
@@ -423,23 +469,33 @@ def insert_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) ->
 
 def update_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> tuple[Frags, DataFrame]:
     """Update rows (seq, site, line id, product, quantity, discount); NULL keeps the value.
-    One row per line."""
+    A line named again is updated again, on what the call before left: such calls are taken
+    in turns, as many as one line has calls. Of a line, ``seq`` must be unique."""
     calls = rows.withColumns(
         {"kind": F.lit("U"), "site_from": F.col("site"), "id_commande": F.lit(None).cast("bigint")}
     ).withColumnRenamed("site", "site_to")
-    outcome = _run(frags, tables, calls, policy)
-    return apply_deltas(frags, outcome.deltas), outcome.rejected
+    calls = settle(calls)
+    return _in_parts(frags, tables, turns(calls.withColumn(_GROUP, F.col(_LINE)), (_LINE, "site_from")), policy)
 
 
 def delete_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> tuple[Frags, DataFrame]:
     """Delete lines (seq, site, line id); orders without a line and clients without an order
-    go with them. An unknown line is refused (strict) or passed over (hydrate). One row per line."""
+    go with them. An unknown line, or one that an earlier call deleted, is refused (strict)
+    or passed over (hydrate). Of a line, ``seq`` must be unique."""
     empty = {c: F.lit(None).cast("bigint") for c in ("id_commande", "id_produit", "quantite")}
     calls = rows.withColumns(
         {"kind": F.lit("D"), "site_to": F.lit(NOWHERE), **empty, "remise": F.lit(None).cast(S.RATE)}
     ).withColumnRenamed("site", "site_from")
-    outcome = _run(frags, tables, calls, policy)
-    return apply_deltas(frags, outcome.deltas), outcome.rejected
+    calls = settle(calls)
+    on = [_LINE, "site_from"]
+    again = _repeats(calls, on)
+    if again.isEmpty():
+        parts = [calls]
+    else:
+        marked = calls.join(again.select(*on, "_first"), on, "left")
+        late = _holds(F.col("seq") > F.col("_first"))
+        parts = [marked.where(~late).drop("_first"), marked.where(late).drop("_first")]
+    return _in_parts(frags, tables, iter(parts), policy)
 
 
 def _against_global(changes: DataFrame, tables: Tables) -> DataFrame:
@@ -494,7 +550,10 @@ def _one_change_per_line(
         .where(F.col("error_code").isNull())
     )
     return BatchOutcome(
-        outcome.deltas, global_delta(accepted), outcome.rejected.unionByName(_rejected(unsited, rule.policy))
+        outcome.deltas,
+        global_delta(accepted),
+        outcome.rejected.unionByName(_rejected(unsited, rule.policy)),
+        outcome.taken,
     )
 
 
@@ -507,23 +566,43 @@ def global_delta(accepted: DataFrame) -> Delta:
     )
 
 
-def _repeats(changes: DataFrame) -> DataFrame:
+def _repeats(changes: DataFrame, on: Sequence[str] = (_LINE,)) -> DataFrame:
     """Lines that change more than once, with their first change."""
-    counted = changes.groupBy(_LINE).agg(F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    counted = changes.groupBy(*on).agg(F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
     return counted.where(F.col("_n") > 1)
 
 
-def turns(changes: DataFrame) -> Iterator[DataFrame]:
-    """A feed cut into consecutive parts, none of which changes a line twice."""
+def _grouped(changes: DataFrame, stores: Sequence[DataFrame]) -> DataFrame:
+    """Changes with the group that must be taken in order: the order of their line, as the
+    feed and the stores name it. Lines that name several orders tie these together; a feed
+    with such a line is one group."""
+    named = changes.select(_LINE, "id_commande")
+    for lines in stores:
+        named = named.unionByName(semi(lines, changes, _LINE).select(_LINE, "id_commande"))
+    order = F.col("id_commande")
+    found = settle(named.groupBy(_LINE).agg(F.min(order).alias(_GROUP), F.max(order).alias("_top")))
+    if not found.where(F.col(_GROUP) != F.col("_top")).isEmpty():
+        return changes.withColumn(_GROUP, F.lit(0).cast("bigint"))
+    return changes.join(found.select(_LINE, F.coalesce(_GROUP, _LINE).alias(_GROUP)), _LINE)
+
+
+def turns(changes: DataFrame, on: Sequence[str] = (_LINE,)) -> Iterator[DataFrame]:
+    """Changes cut into consecutive parts per group, none of which names a line twice.
+
+    Part k holds the k-th part of every group, so there are as many as the group with most
+    parts has; a group is cut only where one of its own lines comes again.
+    """
     rest = changes
     while True:
-        again = rest.join(_repeats(rest), _LINE).where(F.col("seq") > F.col("_first"))
-        cut = again.agg(F.min("seq")).first()[0]
-        if cut is None:
-            yield rest
+        again = rest.join(_repeats(rest, on), list(on)).where(F.col("seq") > F.col("_first"))
+        cuts = settle(again.groupBy(_GROUP).agg(F.min("seq").alias("_cut")))
+        if cuts.isEmpty():
+            yield rest.drop(_GROUP)
             return
-        yield rest.where(F.col("seq") < cut)
-        rest = rest.where(F.col("seq") >= cut)
+        marked = rest.join(cuts, _GROUP, "left")
+        late = _holds(F.col("seq") >= F.col("_cut"))
+        yield marked.where(~late).drop("_cut", _GROUP)
+        rest = settle(marked.where(late).drop("_cut"))
 
 
 def _global_after(lines: DataFrame, delta: Delta) -> DataFrame:
@@ -536,7 +615,6 @@ def decide_batch(
     changes: DataFrame,
     rule: Rule,
     on_reject: str = QUARANTINE,
-    fold: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> BatchOutcome:
     """What a feed of changes does, as if row by row in ``seq`` order.
@@ -545,29 +623,21 @@ def decide_batch(
     values are not used. A refused change is undone everywhere and reported.
 
     Where lines change more than once the feed is taken in turns, each with at most one
-    change per line: exact, with as many turns as a line has changes, at most. ``fold``
-    takes the short way of folding each line's changes into one; the lines then end the
-    same if no change is refused, but parents that only a passing state named are not
-    pulled in.
+    change per line. What a change meets depends on its own order only, so every order is
+    cut by itself: there are at most as many turns as one order has changes.
     """
     changes = settle(changes)
-    total = None
     if _repeats(changes).isEmpty():
-        parts = [changes]
+        total = _one_change_per_line(tables, frags, changes, rule, hot_rows)
     else:
-        parts = [compact(changes)] if fold else turns(changes)
-    for part in parts:
-        if total is None:
-            total = _one_change_per_line(tables, frags, part, rule, hot_rows)
-            continue
-        total = _settled(total)
-        now = {**tables, "lignes_commandes": _global_after(tables["lignes_commandes"], total.lines)}
-        more = _one_change_per_line(now, apply_deltas(frags, total.deltas), part, rule, hot_rows)
-        total = BatchOutcome(
-            {name: merge(total.deltas[name], more.deltas[name]) for name in total.deltas},
-            merge(total.lines, more.lines),
-            total.rejected.unionByName(more.rejected),
-        )
+        total = None
+        for part in turns(_grouped(changes, [tables["lignes_commandes"], frags["lignes_commandes"]])):
+            now, sites = tables, frags
+            if total is not None:
+                now = {**tables, "lignes_commandes": _global_after(tables["lignes_commandes"], total.lines)}
+                sites = apply_deltas(frags, total.deltas)
+            total = _then(total, _one_change_per_line(now, sites, part, rule, hot_rows))
+    total.deltas = _without_unused(frags, total.deltas, total.taken)
     if on_reject == FAIL and not total.rejected.isEmpty():
         raise RejectedChanges(f"{total.rejected.count()} changes refused")
     return total
@@ -579,9 +649,12 @@ def _settled(outcome: BatchOutcome) -> BatchOutcome:
     def down(delta: Delta) -> Delta:
         return Delta(settle(delta.gone), settle(delta.added))
 
-    jobs = [partial(down, delta) for delta in [*outcome.deltas.values(), outcome.lines]]
-    *deltas, lines = together(outcome.rejected.sparkSession, jobs)
-    return BatchOutcome(dict(zip(outcome.deltas, deltas)), lines, settle(outcome.rejected))
+    names = list(outcome.deltas)
+    written = [*outcome.deltas.values()] + ([] if outcome.lines is None else [outcome.lines])
+    done = together(outcome.rejected.sparkSession, [partial(down, delta) for delta in written])
+    lines = None if outcome.lines is None else done[-1]
+    taken = None if outcome.taken is None else settle(outcome.taken)
+    return BatchOutcome(dict(zip(names, done)), lines, settle(outcome.rejected), taken)
 
 
 def apply_batch(
@@ -590,11 +663,10 @@ def apply_batch(
     changes: DataFrame,
     rule: Rule,
     on_reject: str = QUARANTINE,
-    fold: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> tuple[Tables, Frags, DataFrame]:
     """Global tables, fragments and refused changes after a feed; see ``decide_batch``."""
-    outcome = decide_batch(tables, frags, changes, rule, on_reject, fold, hot_rows)
+    outcome = decide_batch(tables, frags, changes, rule, on_reject, hot_rows)
     lines = _global_after(tables["lignes_commandes"], outcome.lines)
     return {**tables, "lignes_commandes": lines}, apply_deltas(frags, outcome.deltas), outcome.rejected
 

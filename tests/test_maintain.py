@@ -188,15 +188,53 @@ def test_batch_may_fail_as_a_whole(spark, strict_store):
         M.apply_batch(tables, frags, bad, by_volume(), on_reject=M.FAIL)
 
 
-def test_turns_and_folding(spark, strict_store):
+def test_turns(spark, strict_store):
     tables, frags = strict_store
-    tables = {**tables, "lignes_commandes": frags["lignes_commandes"].drop("site")}
+    lines = frags["lignes_commandes"].drop("site")
+    tables = {**tables, "lignes_commandes": lines}
     a, b = line(10, 9999, 1, 150, "0.05"), line(10, 9999, 1, 160, "0.05")
     twice = feed(spark, [change(1, "U", a, b), change(2, "D", line(11, 9999, 1, 150, "0.05"), None), change(3, "D", b, None)])
-    assert [sorted(r.seq for r in part.collect()) for part in M.turns(twice)] == [[1, 2], [3]]
-    for fold in (False, True):
-        _, after, rejected = M.apply_batch(tables, frags, twice, by_volume(), fold=fold)
-        assert rejected.isEmpty() and keys_at(after)["lignes_commandes"] == set() and keys_at(after)["commandes"] == set()
+    parts = M.turns(M._grouped(twice, [lines]))
+    assert [sorted(r.seq for r in part.collect()) for part in parts] == [[1, 2], [3]]
+    _, after, rejected = M.apply_batch(tables, frags, twice, by_volume())
+    assert rejected.isEmpty() and keys_at(after)["lignes_commandes"] == set() and keys_at(after)["commandes"] == set()
+
+
+def test_orders_are_cut_by_themselves(spark, strict_store):
+    """Fifty lines of fifty orders that change twice in a row take two turns; a line that names two orders ties all."""
+    none = strict_store[0]["lignes_commandes"]
+    rows = []
+    for i in range(50):
+        a, b = line(100 + i, i, 1, 150, 0), line(100 + i, i, 1, 160, 0)
+        rows += [change(2 * i, "U", a, b), change(2 * i + 1, "D", b, None)]
+    parts = [sorted(r.seq for r in p.collect()) for p in M.turns(M._grouped(feed(spark, rows), [none]))]
+    assert parts == [list(range(0, 100, 2)), list(range(1, 100, 2))]
+    a, b = line(100, 0, 1, 150, 0), line(101, 1, 1, 150, 0)
+    tied = [change(1, "D", a, None), change(2, "D", b, None), change(3, "I", None, line(100, 1, 1, 5, 0)), change(4, "I", None, b)]
+    parts = [sorted(r.seq for r in p.collect()) for p in M.turns(M._grouped(feed(spark, tied), [none]))]
+    assert parts == [[1, 2], [3, 4]]
+
+
+@pytest.mark.parametrize("policy, codes", [(STRICT, {2: -20005, 3: -20005}), (HYDRATE, {})])
+def test_repeated_deletes(spark, strict_store, policy, codes):
+    """The second delete of a line finds nothing; the order stays, as its other line does."""
+    tables, frags = strict_store
+    if policy == HYDRATE:
+        frags = {**frags, "lignes_commandes": frags["lignes_commandes"].selectExpr("*", "CAST(9999 AS BIGINT) AS id_client")}
+    named = calls(spark, [call(n, 1, 10, None, None, None, None) for n in (1, 2, 3)]).select("seq", "site", "id_ligne_commande")
+    after, rejected = M.delete_lines(frags, tables, named, policy)
+    assert {r.seq: r.error_code for r in rejected.collect()} == codes
+    assert {r[1] for r in keys_at(after)["lignes_commandes"]} == {11} and keys_at(after)["commandes"] == {(1, 9999)}
+
+
+def test_repeated_updates(spark, strict_store):
+    """Each update builds on the one before; a refused one between them changes nothing."""
+    tables, frags = strict_store
+    rows = [call(1, 1, 10, None, None, 7, None), call(2, 1, 10, None, None, -1, None), call(3, 1, 10, None, None, None, "0.20")]
+    after, rejected = M.update_lines(frags, tables, calls(spark, rows).drop("id_commande"), STRICT)
+    assert [(r.seq, r.error_code) for r in rejected.collect()] == [(2, -20008)]
+    found = [r for r in keys_at(after)["lignes_commandes"] if r[1] == 10]
+    assert found == [(1, 10, 9999, 1, 7, Decimal("0.20"))]
 
 
 def test_replicate_and_purge(spark, strict_store):
