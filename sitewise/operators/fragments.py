@@ -133,10 +133,17 @@ def union_sites(parts: list[DataFrame]) -> DataFrame:
     return united
 
 
-def reconstruct(frags: Frags) -> DataFrame:
-    """The global line set as the sites hold it: the rows of all sites are one table here,
-    so their union is that table without its site."""
-    return frags["lignes_commandes"].select(*SCHEMAS["lignes_commandes"].names)
+def reconstruct(parts: list[DataFrame]) -> DataFrame:
+    """The global line set from each site's own stored lines."""
+    return union_sites([part.select(*SCHEMAS["lignes_commandes"].names) for part in parts])
+
+
+def reconstruction_gaps(rebuilt: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows that only one of the two holds, each as often as it is short there: ``lost`` rows are
+    global and at no site, ``extra`` ones at a site and not global. No row: the sites are complete."""
+    whole = lines.select(*SCHEMAS["lignes_commandes"].names)
+    lost = whole.exceptAll(rebuilt).withColumn("gap", F.lit("lost"))
+    return lost.unionByName(rebuilt.exceptAll(whole).withColumn("gap", F.lit("extra")))
 
 
 def on_sites(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

@@ -16,7 +16,7 @@ from sitewise.operators import changes as CH
 from sitewise.operators import fragments as FR
 from sitewise.operators import maintain as M
 from sitewise.operators import quality as Q
-from sitewise.operators.routing import placed, route
+from sitewise.operators.routing import route
 from sitewise.plans import feed as FD
 from sitewise.rules import SITES, STRICT, by_query, by_volume
 from sitewise.session import settle, workdir
@@ -60,6 +60,11 @@ def _line_columns(*more: str) -> list[Column | str]:
     return [_LINE, "id_commande", "id_produit", "quantite", _double("remise"), *more]
 
 
+def _loaded(spark: SparkSession, tables: Tables, rule) -> Frags:
+    """All sites, derived once and stored."""
+    return FR.load_sites(tables, rule, workdir(spark, "sites"))
+
+
 def _digest(frags: Frags, rejected: DataFrame | None = None) -> DataFrame:
     """All rows of all tables and sites in one shape, and the refused changes."""
     none = F.lit(0).cast("bigint")
@@ -322,8 +327,8 @@ def semi_join_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 def anti_join_not_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a second load adds after the line table has grown."""
     after = load_test_tables(spark, sf_dir)
-    existing = FR.derive(FD.tables_before(spark, sf_dir), BY_QUERY)
-    derived = FR.derive(after, BY_QUERY)
+    existing = _loaded(spark, FD.tables_before(spark, sf_dir), BY_QUERY)
+    derived = _loaded(spark, after, BY_QUERY)
     return _digest({name: FR.missing_rows(derived[name], existing[name], name) for name in derived})
 
 
@@ -406,9 +411,7 @@ def orders_per_client_named(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _revenue(rule, discount: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = load_test_tables(spark, sf_dir)
-        # A placed line's order and product are on its site by construction, so the global rows serve.
-        placed_lines = {**t, "lignes_commandes": placed(t["lignes_commandes"], t["produits"], rule)}
-        total = A.revenue_by_category(placed_lines, t, YEAR, discount)
+        total = A.revenue_by_category(_loaded(spark, t, rule), t, YEAR, discount)
         return total.withColumn("chiffre_affaires", F.col("chiffre_affaires").cast("double"))
 
     return run
@@ -450,8 +453,21 @@ def union_all_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reconstruct_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rebuilt = FR.reconstruct(FR.derive(load_test_tables(spark, sf_dir), BY_VOLUME))
-    return rebuilt.select(*_line_columns())
+    """The line table from the two sites' stored lines, each read from its own files."""
+    return _rebuilt(spark, load_test_tables(spark, sf_dir), BY_VOLUME).select(*_line_columns())
+
+
+def _rebuilt(spark: SparkSession, t: Tables, rule) -> DataFrame:
+    lines = snapshots.write_table(FR.lines(t, rule), workdir(spark, "sites"), "lignes_commandes")
+    return FR.reconstruct([lines.where(F.col("site") == s) for s in SITES])
+
+
+@query
+def reconstruction_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that the by-query sites do not give back: those that its rule sends nowhere."""
+    t = load_test_tables(spark, sf_dir)
+    gaps = FR.reconstruction_gaps(_rebuilt(spark, t, BY_QUERY), t["lignes_commandes"])
+    return gaps.select(*_line_columns(), "gap")
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -462,8 +478,9 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All scalar functions over every line and its order, with a fixed clock."""
     t = load_test_tables(spark, sf_dir)
     now = F.lit(dt.datetime(2002, 1, 1)).cast("timestamp_ntz")
-    price = F.lit("12.3450").cast("decimal(12,4)")
-    joined = A.line_order(t["lignes_commandes"], t["commandes"])
+    price = F.col("prix_unitaire")
+    products = t["produits"].select("id_produit", "prix_unitaire")
+    joined = A.line_product(A.line_order(t["lignes_commandes"], t["commandes"]), products)
     day = F.date_format("date_commande", "dd/MM/yyyy")
     iso = F.date_format("date_commande", "yyyy-MM-dd")
     return joined.select(
@@ -679,7 +696,7 @@ def replicate_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def purge_by_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, orders and products named by key, off every site."""
-    frags = FR.derive(load_test_tables(spark, sf_dir), BY_VOLUME)
+    frags = _loaded(spark, load_test_tables(spark, sf_dir), BY_VOLUME)
     predicates = {
         "lignes_commandes": A.purge_predicate({"id_commande": 7, "id_produit": [11, 12]}),
         "commandes": A.purge_predicate({"id_commande": 7, "id_client": 13, "id_employe": 3}),
@@ -724,7 +741,7 @@ def check_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References of the global tables, and of a by-query fragment without its site-2 orders."""
     t = load_test_tables(spark, sf_dir)
-    frags = FR.derive(t, BY_QUERY)
+    frags = _loaded(spark, t, BY_QUERY)
     broken = {**frags, "commandes": frags["commandes"].where(F.col("site") == 1)}
     return FR.union_sites(
         [
@@ -759,7 +776,7 @@ def audit_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _counts(rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return Q.site_counts(FR.derive(load_test_tables(spark, sf_dir), rule)).select("tbl", _int("site"), "nb")
+        return Q.site_counts(_loaded(spark, load_test_tables(spark, sf_dir), rule)).select("tbl", _int("site"), "nb")
 
     return run
 

@@ -721,16 +721,20 @@ JOIN clients c ON c.id_client = o.id_client WHERE {_YEAR} GROUP BY o.id_client,
 UNION ALL SELECT id_ligne_commande, id_produit, quantite, CAST(remise AS DOUBLE) FROM g1_lignes WHERE site = 2"""
         ),
         "reconstruct_global": _sql(f"SELECT {_LINE_COLUMNS} FROM lignes"),
+        "reconstruction_gaps": _sql(
+            f"""SELECT {_LINE_COLUMNS}, 'lost' AS gap FROM lignes
+WHERE id_ligne_commande NOT IN (SELECT id_ligne_commande FROM g1_lignes)"""
+        ),
         "scalar_functions": _sql(
             """SELECT l.id_ligne_commande, date_commande AS parsed_day, date_commande AS parsed_iso,
        CAST(extract(YEAR FROM date_commande) AS BIGINT) AS annee,
-       CAST(round(CAST(quantite AS DECIMAL(10,0)) * CAST(12.345 AS DECIMAL(12,4)) * (1 - remise), 2) AS DOUBLE) AS net_rate,
-       CAST(CAST(quantite AS DECIMAL(10,0)) * CAST(12.345 AS DECIMAL(12,4)) - remise AS DOUBLE) AS net_absolute,
+       CAST(round(CAST(quantite AS DECIMAL(10,0)) * CAST(prix_unitaire AS DECIMAL(12,4)) * (1 - remise), 2) AS DOUBLE) AS net_rate,
+       CAST(CAST(quantite AS DECIMAL(10,0)) * CAST(prix_unitaire AS DECIMAL(12,4)) - remise AS DOUBLE) AS net_absolute,
        coalesce(CASE WHEN quantite > 25 THEN quantite END, -1) AS nvl_quantite,
        CAST(date_diff('day', CAST(date_commande AS DATE), DATE '2002-01-01') AS BIGINT) AS age_days,
        date_commande < TIMESTAMP '2002-01-01' - INTERVAL 365 DAY AS older_than_year,
        'FAILED: Ligne Commande ID ' || l.id_ligne_commande || ' not found.' AS message
-FROM lignes l JOIN commandes c ON c.id_commande = l.id_commande"""
+FROM lignes l JOIN commandes c ON c.id_commande = l.id_commande JOIN produits p ON p.id_produit = l.id_produit"""
         ),
         "route_inserts": _actions("op = 'I'"),
         "route_deletes": _actions("op = 'D'"),
