@@ -35,8 +35,8 @@ def blank_to_null(text: Column) -> Column:
 
 
 def units(quantity: Column) -> Column:
-    """Quantity as an exact decimal, wide enough for arithmetic without rounding."""
-    return quantity.cast("decimal(10,0)")
+    """Quantity as an exact decimal: the widest whose product with a price and a discount keeps all its decimals."""
+    return quantity.cast("decimal(13,0)")
 
 
 def net_rate(quantity: Column, price: Column, discount: Column) -> Column:

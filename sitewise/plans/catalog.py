@@ -593,7 +593,7 @@ def _calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
         F.col("l_orderkey").alias("id_commande"),
         F.col("l_partkey").alias("id_produit"),
         F.col("l_quantity").cast("bigint").alias("quantite"),
-        F.col("l_discount").cast("decimal(5,4)").alias("remise"),
+        F.col("l_discount").cast(S.RATE).alias("remise"),
         F.col("l_linenumber").alias("number"),
         F.col("l_returnflag").alias("flag"),
     )
@@ -635,7 +635,7 @@ def update_calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
         _LINE,
         product.cast("bigint").alias("id_produit"),
         F.when(number == FD.FLIPPED, 51 - F.col("quantite")).otherwise(none).cast("bigint").alias("quantite"),
-        F.when(number == FD.DISCOUNTED, -F.col("remise") - F.lit("0.01").cast("decimal(5,4)"))
+        F.when(number == FD.DISCOUNTED, -F.col("remise") - F.lit("0.01").cast(S.RATE))
         .otherwise(none)
         .cast(S.RATE)
         .alias("remise"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewise.functions.relations import lookup
-from sitewise.schema import CHANGES
+from sitewise.schema import CHANGES, RATE
 from sitewise.functions.relations import conform
 from sitewise.sources.tables import Tables, as_lines, load_test_tables, numbered_lines, raw
 
@@ -41,12 +41,12 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("l_linenumber")
     touched = _new_products(spark, sf_dir, numbered_lines(spark, sf_dir).where(number <= NEGATED))
     quantity = F.col("l_quantity").cast("bigint")
-    discount = F.col("l_discount").cast("decimal(5,4)")
+    discount = F.col("l_discount").cast(RATE)
     op = F.when(number == DELETED, "D").when(number == NEW, "I").otherwise("U")
     old, new = op != "I", op != "D"
     new_product = F.when(number == MOVED, F.coalesce("target", "l_partkey")).otherwise(F.col("l_partkey"))
     new_quantity = F.when(number == FLIPPED, 51 - quantity).when(number == NEGATED, -quantity).otherwise(quantity)
-    new_discount = F.when(number == DISCOUNTED, discount + F.lit("0.01").cast("decimal(5,4)")).otherwise(discount)
+    new_discount = F.when(number == DISCOUNTED, discount + F.lit("0.01").cast(RATE)).otherwise(discount)
     feed = touched.select(
         F.col("id_ligne_commande").alias("seq"),
         op.alias("op"),

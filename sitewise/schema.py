@@ -9,7 +9,8 @@ INT = T.IntegerType()
 TEXT = T.StringType()
 WHEN = T.TimestampNTZType()
 PRICE = T.DecimalType(12, 4)
-RATE = T.DecimalType(5, 4)
+# A discount is a rate or an amount, as the query takes it.
+RATE = T.DecimalType(10, 4)
 SMALL = T.DecimalType(4, 0)
 
 

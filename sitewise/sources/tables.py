@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitewise.functions.prefix import find_hot, row_numbers
 from sitewise.functions.relations import conform, lookup
-from sitewise.schema import SCHEMAS
+from sitewise.schema import PRICE, RATE, SCHEMAS
 from sitewise.session import together
 
 Tables = dict[str, DataFrame]
@@ -75,7 +75,7 @@ def as_lines(numbered: DataFrame) -> DataFrame:
         F.col("l_orderkey").alias("id_commande"),
         F.col("l_partkey").alias("id_produit"),
         F.col("l_quantity").cast("bigint").alias("quantite"),
-        F.col("l_discount").cast("decimal(5,4)").alias("remise"),
+        F.col("l_discount").cast(RATE).alias("remise"),
     )
 
 
@@ -112,7 +112,7 @@ def load_test_tables(spark: SparkSession, sf_dir: str) -> Tables:
             F.col("p_name").alias("designation"),
             F.col("s_suppkey").alias("id_fournisseur"),
             F.col("p_size").cast("bigint").alias("id_categorie"),
-            F.col("p_retailprice").cast("decimal(12,4)").alias("prix_unitaire"),
+            F.col("p_retailprice").cast(PRICE).alias("prix_unitaire"),
             F.lit(0).alias("indisponible"),
         ),
         "commandes": lookup(orders, delivered, "o_orderkey", ["shipped"]).select(

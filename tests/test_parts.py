@@ -129,6 +129,20 @@ def test_ingest(spark):
     assert seed_ingest(half, S.SCHEMAS["commandes"])[0].first()[0] == Decimal("13")
 
 
+def test_ingest_keeps_discount_amounts(spark):
+    raw = spark.createDataFrame([("1", "15"), ("3", "0.1200000"), ("4", "999999.9999"), ("5", "1000000")], "id_ligne_commande string, remise string")
+    good, bad = seed_ingest(raw, S.SCHEMAS["lignes_commandes"])
+    kept = {r.id_ligne_commande: r.remise for r in good.collect()}
+    assert kept == {1: Decimal("15.0000"), 3: Decimal("0.1200"), 4: Decimal("999999.9999")}
+    assert {r.id_ligne_commande: r.bad_columns for r in bad.collect()} == {"5": "remise"}
+
+
+def test_revenue_of_large_quantities_is_exact(spark):
+    row = spark.createDataFrame([(9_999_999_999_999, Decimal("12.3456"), Decimal("0.1234"))], "q long, p decimal(12,4), d decimal(10,4)")
+    got = row.select(C.net_rate(F.col("q"), F.col("p"), F.col("d"))).first()[0]
+    assert got == Decimal(9_999_999_999_999) * Decimal("12.3456") * Decimal("0.8766")
+
+
 def test_global_tables_round_trip(spark, tmp_path):
     tables = small_store(spark)
     save_global(tables, str(tmp_path))
