@@ -117,6 +117,36 @@ def test_near_copies_of_the_pipeline(docs, none, texts):
     assert simhash.drop_near_copies(none).count() == 0
 
 
+def test_near_copies_against_all_pairs(spark):
+    rnd = random.Random(11)
+    rows, pairs, twins = [], [], 0
+    for n in (40, 120, 500):
+        for similarity in np.linspace(0.75, 0.9, 60):
+            # n shingles each (n + 4 words); the first ``own`` of them differ.
+            own = round(n * (1 - similarity) / (1 + similarity))
+            base = [f"w{rnd.randrange(10**9)}" for _ in range(n + 4)]
+            other = [f"w{rnd.randrange(10**9)}" for _ in range(own)] + base[own:]
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(other))]
+            a, b = ({tuple(w[i : i + 5]) for i in range(n)} for w in (base, other))
+            pairs.append(len(a & b) / len(a | b))
+    want = sorted([2 * k for k in range(len(pairs))] + [2 * k + 1 for k, s in enumerate(pairs) if s < 0.8])
+    assert 40 < sum(s < 0.8 for s in pairs) < len(pairs) - 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == want
+
+
+def test_sets_in_large_groups(spark):
+    rnd = np.random.default_rng(6)
+    base = rnd.integers(0, 2**63, 100, dtype=np.uint64)
+    sets = [np.unique(np.r_[base[: rnd.integers(60, 101)], rnd.integers(0, 2**63, rnd.integers(0, 25), dtype=np.uint64)]) for _ in range(30)]
+    rows = spark.createDataFrame([(k % 2, k, s.tobytes()) for k, s in enumerate(sets)], "bucket int, node long, fp binary")
+    pairs = [(i, j) for i in range(30) for j in range(i) if i % 2 == j % 2 and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+    want = components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    for limit in (1 << 21, 300):
+        links = simhash._in_buckets(rows, simhash._by_jaccard(0.8), limit, "a long, b long", simhash.F.octet_length("fp") / 8)
+        assert sorted(map(tuple, components(links).collect())) == sorted(map(tuple, want))
+
+
 def test_pii_against_patterns(docs, none):
     rnd = random.Random(1)
     bits = ["a", "@", ".", "1", "25", "+", "-", " ", "%", "4111111111111111", "1.2.3.4", "(", ")", "é", "x@y.z", "999"]
