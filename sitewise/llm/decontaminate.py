@@ -16,6 +16,7 @@ postings of the rest, with upper bounds for each block of postings. Both bounds
   sentences of fewer than three words join the one before; of one-sentence items both are the whole. Items without words are never found.
 * The benchmark is indexed in blocks of ``ITEMS_PER_BLOCK`` items (chosen by a hash of the id, so
   a block's size is bounded); each block is a pass over all documents. Nothing else is broadcast.
+  How many chunks hold a term, the number of chunks and their mean length are counted over all items, so scores do not depend on the blocks.
 * Null or empty texts have no passages. Null or repeated ids: matches for each row. Repeated
   items: matches for each. Empty tables: no rows. Other columns are ignored, whatever their names.
 """
@@ -38,6 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sitewise.llm.common import table
+from sitewise.session import settle
 
 PASSAGE = 128
 THRESHOLD = 0.6
@@ -112,21 +114,35 @@ class Index:
         self.weights = np.concatenate([w for _, w in kept]) if kept else np.zeros(0)
 
 
-def build_index(items: Sequence[tuple], threshold: float = THRESHOLD, passage: int = PASSAGE) -> Index:
-    """An index of (item_id, text) rows."""
+def chunks_of(text: str | None, passage: int = PASSAGE) -> list[Counter]:
+    """The words of each of the text's chunks, counted."""
+    words = words_of(text)
+    pieces = -(-len(words) // (passage // 2))
+    return [Counter(words[len(words) * k // pieces : len(words) * (k + 1) // pieces]) for k in range(pieces)]
+
+
+@dataclass
+class Statistics:
+    """Over all items: chunks, words in them, and by term the chunks that hold it (at least for the terms of the index)."""
+
+    chunks: int
+    words: int
+    frequency: dict[str, int]
+
+
+def build_index(items: Sequence[tuple], threshold: float = THRESHOLD, passage: int = PASSAGE, over: Statistics | None = None) -> Index:
+    """An index of (item_id, text) rows, weighed by the given statistics or else by their own."""
     chunks: list[tuple[int, Counter]] = []
     questions, answers = [], []
     for number, (_, text) in enumerate(items):
-        words = words_of(text)
-        pieces = -(-len(words) // (passage // 2))
-        for k in range(pieces):
-            chunks.append((number, Counter(words[len(words) * k // pieces : len(words) * (k + 1) // pieces])))
+        chunks += [(number, c) for c in chunks_of(text, passage)]
         question, answer = question_and_answer(text or "")
         questions.append(runs(words_of(question)))
         answers.append(runs(words_of(answer)))
-    frequency = Counter(t for _, c in chunks for t in c)
-    mean = sum(c.total() for _, c in chunks) / max(1, len(chunks))
-    idf = {t: math.log(1 + (len(chunks) - n + 0.5) / (n + 0.5)) for t, n in frequency.items()}
+    over = over or Statistics(len(chunks), sum(c.total() for _, c in chunks), Counter(t for _, c in chunks for t in c))
+    frequency = {t: over.frequency[t] for _, c in chunks for t in c}
+    mean = over.words / max(1, over.chunks)
+    idf = {t: math.log(1 + (over.chunks - n + 0.5) / (n + 0.5)) for t, n in frequency.items()}
     terms = {t: i for i, t in enumerate(sorted(frequency))}
     lists: list[list] = [[] for _ in terms]
     for number, (_, counts) in enumerate(chunks):
@@ -240,13 +256,42 @@ def matches(index: Index, texts: Sequence[str | None], passage: int = PASSAGE, o
     return out
 
 
+def _terms_in_blocks(items: DataFrame) -> DataFrame:
+    """block, term and in how many of the block's chunks it is; with null for the term, the chunks and words of the block."""
+
+    def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            blocks, terms, chunks, words = [], [], [], []
+            for block, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = chunks_of(text)
+                held = Counter(t for c in counts for t in c)
+                blocks += [block] * (len(held) + 1)
+                terms += [None, *held]
+                chunks += [len(counts), *held.values()]
+                words += [sum(c.total() for c in counts), *repeat(0, len(held))]
+            columns = [pa.array(blocks, pa.int64()), pa.array(terms, pa.string()), pa.array(chunks, pa.int64()), pa.array(words, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "term", "chunks", "words"])
+
+    counted = items.select("block", "text").mapInArrow(count, "block long, term string, chunks long, words long")
+    return counted.groupBy("block", "term").agg(F.sum("chunks").alias("chunks"), F.sum("words").alias("words"))
+
+
 def indexes(benchmark: DataFrame, threshold: float = THRESHOLD) -> Iterator:
     """A broadcast index for each block of items."""
     blocks = -(-benchmark.count() // ITEMS_PER_BLOCK)
+    items = benchmark.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("long").alias("block"))
+    if blocks > 1:
+        terms = settle(_terms_in_blocks(items))
+        chunks, words = terms.where("term IS NULL").agg(F.sum("chunks"), F.sum("words")).first()
+        terms = terms.where("term IS NOT NULL")
+        everywhere = settle(terms.select("block", "term").join(terms.groupBy("term").agg(F.sum("chunks").alias("n")), "term"))
     for block in range(blocks):
-        part = benchmark.select("item_id", "text").where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = sorted((tuple(r) for r in part.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        yield benchmark.sparkSession.sparkContext.broadcast(build_index(items, threshold))
+        part = items.where(F.col("block") == block).select("item_id", "text")
+        over = None
+        if blocks > 1:
+            over = Statistics(chunks, words, {r.term: r.n for r in everywhere.where(F.col("block") == block).toLocalIterator()})
+        rows = sorted((tuple(r) for r in part.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+        yield benchmark.sparkSession.sparkContext.broadcast(build_index(rows, threshold, over=over))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:

@@ -199,6 +199,28 @@ def test_decontamination(docs, none, spark, texts):
     assert decontaminate.contaminated(none, bench).count() == decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_in_blocks(spark, monkeypatch):
+    rnd = random.Random(12)
+    vocabulary = [f"w{int(rnd.paretovariate(0.6)) % 300}" for _ in range(2_000)]
+    items = [(i, " ".join(rnd.sample(vocabulary, rnd.randint(8, 150)))) for i in range(14)]
+    items += [(14, None), (15, ""), (3, items[3][1])]
+    texts = []
+    for i in range(40):
+        words = items[i % 14][1].split()
+        texts.append((i, " ".join(rnd.sample(vocabulary, 50) + [w if rnd.random() < 0.8 else "x" for w in words] + rnd.sample(vocabulary, 50))))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+
+    def rows():
+        found = decontaminate.contaminated(docs, bench, 0.6, 0.2).collect()
+        return sorted(map(tuple, found)), sorted(map(tuple, decontaminate.drop_contaminated(docs, bench).collect()))
+
+    one = rows()
+    assert len({r[2] for r in one[0]}) > 10
+    monkeypatch.setattr(decontaminate, "ITEMS_PER_BLOCK", 3)
+    assert rows() == one
+
+
 def test_wand_and_bound_against_all_scores():
     rnd = random.Random(9)
     vocabulary = [f"w{int(rnd.paretovariate(0.6)) % 400}" for _ in range(3_000)]
