@@ -86,17 +86,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the working files, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(df: DataFrame) -> None:
     """Remove the files of a settled result that nothing will read any more.
 
     Call it only after everything derived from it has been settled or written itself.
     """
-    spark = df.sparkSession
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         if "/settled-" not in folder:
             raise ValueError(f"{folder} was not made by settle()")
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, folder)
 
 
 def together(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:
