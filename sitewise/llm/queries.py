@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from sitewise.llm.chat import OP4_SQL, op4_chat
 from sitewise.llm.decontaminate import op6_decontaminate
+from sitewise.llm.fim import OP11_SQL, op11_fim
+from sitewise.llm.lines import OP13_SQL, op13_lines
 from sitewise.llm.packing import op9_packing
 from sitewise.llm.pii import op8_pii
 from sitewise.llm.quality import OP5_SQL, op5_quality
@@ -12,6 +14,7 @@ from sitewise.llm.simhash import op7_simhash
 from sitewise.llm.suffixes import op1_suffix_dedup
 from sitewise.llm.toxicity import op2_toxicity
 from sitewise.llm.warc import OP3_SQL, op3_warc
+from sitewise.llm.whitening import op12_whitening
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -24,5 +27,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_fim": op11_fim,
+    "op12_whitening": op12_whitening,
+    "op13_lines": op13_lines,
 }
-SQL = {"op3_warc": OP3_SQL, "op4_chat": OP4_SQL, "op5_quality": OP5_SQL}
+SQL = {"op3_warc": OP3_SQL, "op4_chat": OP4_SQL, "op5_quality": OP5_SQL, "op11_fim": OP11_SQL, "op13_lines": OP13_SQL}

@@ -10,12 +10,12 @@ from __spark_entry__ import oracle_sql, queries
 SF = "/root/testdata/sf0.001"
 
 
-def test_ten_operators_and_the_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op")) == list(range(1, 11))
+def test_all_operators_and_the_pipeline():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in queries()
 
 
-@pytest.mark.parametrize("name", ["op3_warc", "op4_chat", "op5_quality"])
+@pytest.mark.parametrize("name", ["op3_warc", "op4_chat", "op5_quality", "op11_fim", "op13_lines"])
 def test_agrees_with_sql(spark, name):
     db = duckdb.connect()
     for table in ("documents", "pages", "conversations"):
