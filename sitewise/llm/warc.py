@@ -21,7 +21,6 @@ import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
@@ -35,6 +34,7 @@ MIN_REVISIT = 1_000
 ARCHIVE_BYTES = 256 << 20
 STEP = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
+RECORD = ("page_id", "url", "record_type", "refers_to", "payload", "payload_bytes", "payload_digest")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -205,9 +205,12 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
 def read_archives(archives: DataFrame) -> DataFrame:
     """The records of the named archives; an archive with other than its number of records fails."""
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for archive, expected in zip(frame["archive"], frame["records"], strict=True):
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.string()]
+    schema = pa.schema(list(zip(RECORD, kinds, strict=True)))  # ids stay whole numbers, missing ones among them too
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 store, path = fs.FileSystem.from_uri(archive)
                 seen, size, rows = 0, 0, []
                 with store.open_input_stream(path) as file:
@@ -215,16 +218,16 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         seen, size = seen + 1, size + found["payload_bytes"]
                         rows.append(found)
                         if size > 8 << 20 or len(rows) >= 1000:
-                            yield pd.DataFrame(rows).astype({"page_id": "Int64", "refers_to": "Int64"})
+                            yield pa.RecordBatch.from_pylist(rows, schema)
                             size, rows = 0, []
                 if rows:
-                    yield pd.DataFrame(rows).astype({"page_id": "Int64", "refers_to": "Int64"})
+                    yield pa.RecordBatch.from_pylist(rows, schema)
                 if seen != expected:
                     raise ValueError(f"{archive} holds {seen} records, not {expected}")
 
     n = parts(archives, archives.count(), 1)
-    schema = "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, payload_digest string"
-    return archives.repartition(n).mapInPandas(read, schema)
+    types = ["long", "string", "string", "long", "binary", "long", "string"]
+    return archives.select("archive", "records").repartition(n).mapInArrow(read, ", ".join(map(" ".join, zip(RECORD, types, strict=True))))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
