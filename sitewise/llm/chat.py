@@ -45,9 +45,9 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    # Pairs of backslashes are set aside first, so that "\\n" is not taken for a line feed.
-    pairs = F.replace(unescape(role), F.lit("\\\\"), F.lit("\x00\x01"))
-    return F.replace(F.replace(pairs, F.lit("\\n"), F.lit("\n")), F.lit("\x00\x01"), F.lit("\\"))
+    # After a cut at every pair of backslashes, what is left of "\\n" is a line feed; each pair stands for one backslash.
+    pieces = F.split(unescape(role), r"\\\\")
+    return F.array_join(F.transform(pieces, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def _block(position: Column) -> Column:
