@@ -8,7 +8,8 @@ marginals give offending spans (code points) and, through a logistic model fitte
 same sample, a score for the whole document.
 
 * Null or empty text: the score of a document without any toxic token.
-* Fewer than one document of either label: every score is the smoothed share of toxic ones.
+* No document of one of the labels: nothing can be learnt. Every score is the smoothed share of toxic ones, kept
+  below 0.5, so nothing is called toxic and no row is dropped.
 * Null ids are scored; they are never training rows. Labels of repeated or unknown ids:
   each pair of row and label counts; null labels do not.
 * Only the text is an input of a score. Other columns are ignored, whatever their names.
@@ -37,6 +38,7 @@ SLOTS = 1 + len(BEGINNINGS)
 MIN_DOCS, WEAK, STRONG = 5, 2.0, 2.5  # documents, log odds of a feature, log odds that label a token
 AROUND = 2
 WORDS_KEPT = 500_000
+NEVER = 0.499  # the highest score where one of the labels was never seen
 WORD = re.compile(r"\w+")
 BATCH_ROWS = 256
 
@@ -155,6 +157,7 @@ def train(rows: Sequence[tuple[str | None, int]]) -> ToxicModel:
         counts[y].update({f for w in set(WORD.findall(text.lower())) for f in _features(w) if f})
     if not all(docs):
         share = (docs[1] + 0.5) / (sum(docs) + 1)
+        share = min(share, NEVER)
         return ToxicModel({}, None, np.array([math.log(share / (1 - share)), 0, 0, 0, 0]), np.ones(5))
     odds = {
         f: math.log((n + 0.5) / (docs[1] + 1)) - math.log((counts[0][f] + 0.5) / (docs[0] + 1)) for f, n in counts[1].items() if n >= MIN_DOCS
