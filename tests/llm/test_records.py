@@ -34,6 +34,20 @@ def test_chat_round_trip(spark, text):
     assert "".join(b.loss_text for b in blocks) == text * 4
 
 
+@pytest.mark.parametrize("role", ["a\0\1b", "a\\", "\\n", "\\\\n\n\\", "<|\\|<\\|\n", "<\\n|"])
+def test_roles_round_trip(spark, role):
+    chats = spark.createDataFrame([(1, 0, role, "x")], "conv_id long, turn long, role string, text string")
+    (block,) = chat.read_back(chat.format_chats(chat.as_events(chats))).collect()
+    assert [tuple(t) for t in block.turns] == [(role, "x")]
+
+
+def test_archives_keep_large_ids(spark):
+    big, ids = "p" * 1_000, [2**60 + 3, 2**60 + 1, None, 2**53 + 1, -(2**60) - 1]
+    pages = spark.createDataFrame([(i, "u", big) for i in ids], "page_id long, url string, html string")
+    rows = warc.read_archives(warc.write_archives(warc.with_revisits(pages), workdir(spark, "warc"))).collect()
+    assert {(r.page_id, r.refers_to) for r in rows} == {(i, 2**60 + 3 if k else None) for k, i in enumerate(ids)}
+
+
 def test_archives(spark, tmp_path):
     big = "é<p>" * 400
     rows = [(1, "http://a/\r\nx y", big), (5, "u", big), (3, None, big), (None, "u", big), (7, "u", "small"), (8, "u", "small"), (9, "u", None), (-4, "é", "")]
