@@ -204,7 +204,7 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: in
     lists = settle(lost.groupBy("doc", "own").agg(F.collect_set(F.conv(F.substring(F.hex("h"), 1, 16), 16, -10).cast("long")).alias("lost")))
     release(lost)
     same = F.col("doc_id").eqNullSafe(F.col("doc")) & (_own("doc_id") == F.col("own"))
-    marked = docs.join(lists, same, "left").select("doc_id", "text", "lost")
+    marked = docs.join(lists.hint("merge"), same, "left").select("doc_id", "text", "lost")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
