@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewise.functions.prefix import find_hot, row_numbers
+from sitewise.functions.prefix import row_numbers
 from sitewise.functions.relations import conform, lookup
 from sitewise.schema import PRICE, RATE, SCHEMAS
 from sitewise.session import together
@@ -62,11 +62,19 @@ def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(_RAW[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
+LINES_PER_ORDER = 1000
+
+
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test lines with the derived line id, which numbers the lines within their order."""
-    lines = raw(spark, sf_dir, "lineitem")
-    numbered = row_numbers(lines, ["l_orderkey"], _LINE_ORDER, "rn", known_small=find_hot(lines, ["l_orderkey"]).isEmpty())
-    return numbered.withColumn("id_ligne_commande", (F.col("l_orderkey") + 1) * 1000 + F.col("rn")).drop("rn")
+    """Test lines with the derived line id, which numbers the lines within their order.
+
+    Ids of two orders would meet from ``LINES_PER_ORDER`` lines an order on: that fails, so a
+    window over an order never has many rows to go through.
+    """
+    numbered = row_numbers(raw(spark, sf_dir, "lineitem"), ["l_orderkey"], _LINE_ORDER, "rn", known_small=True)
+    too_many = F.raise_error(F.concat(F.lit("too many lines for their ids in order "), F.col("l_orderkey").cast("string"))).cast("bigint")
+    place = F.when(F.col("rn") < LINES_PER_ORDER, F.col("rn")).otherwise(too_many)
+    return numbered.withColumn("id_ligne_commande", (F.col("l_orderkey") + 1) * LINES_PER_ORDER + place).drop("rn")
 
 
 def as_lines(numbered: DataFrame) -> DataFrame:
