@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitewise.schema import KEYS, SCHEMAS
-from sitewise.session import exists, together
+from sitewise.session import exists, settle, together
 
 Frags = dict[str, DataFrame]
 
@@ -40,11 +40,12 @@ Deltas = dict[str, Delta]
 
 @dataclass(frozen=True)
 class Note:
-    """What a commit row says of the micro-batch it applied: stream, batch, highest ``seq``."""
+    """What a commit row says of the micro-batch it applied: stream, batch, highest and lowest ``seq``."""
 
     stream: str | None = None
     batch: int | None = None
     seq: int | None = None
+    low: int | None = None
 
 
 _COMMITS = T.StructType(
@@ -57,6 +58,8 @@ _COMMITS = T.StructType(
         T.StructField("stream", T.StringType()),
         T.StructField("batch", T.LongType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("low", T.LongType()),
+        T.StructField("same", T.BooleanType()),
     ]
 )
 _VERSION = "_version"
@@ -79,9 +82,14 @@ def merge(earlier: Delta, later: Delta) -> Delta:
 
 
 def _commit(
-    spark: SparkSession, root: str, version: int, whole: bool, with_client: bool, tables: list[str], changed: list[str], note: Note | None = None
+    spark: SparkSession, root: str, version: int, whole: bool, with_client: bool, tables: list[str], changed: list[str], note: Note | None = None, same: bool = False
 ) -> None:
     note = note or Note()
+    path = f"{root}/commits/v={version}"
+    if exists(spark, path):
+        held = spark.read.schema(_COMMITS).parquet(path).first()
+        if held is not None and note.stream and Note(*(held[name] for name in ("stream", "batch", "seq", "low"))) != note:
+            raise ValueError(f"version {version} under {root} is that of another writer: {held}")
     row = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.lit(whole).alias("whole"),
@@ -91,8 +99,10 @@ def _commit(
         F.lit(note.stream).cast("string").alias("stream"),
         F.lit(note.batch).cast("bigint").alias("batch"),
         F.lit(note.seq).cast("bigint").alias("seq"),
+        F.lit(note.low).cast("bigint").alias("low"),
+        F.lit(same).alias("same"),
     )
-    row.write.mode("overwrite").parquet(f"{root}/commits/v={version}")
+    row.write.mode("overwrite").parquet(path)
 
 
 def write_table(df: DataFrame, root: str, table: str, version: int = 0) -> DataFrame:
@@ -102,16 +112,16 @@ def write_table(df: DataFrame, root: str, table: str, version: int = 0) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def commit_whole(frags: Frags, root: str, version: int = 0) -> None:
+def commit_whole(frags: Frags, root: str, version: int = 0, same: bool = False) -> None:
     lines = frags["lignes_commandes"]
-    _commit(lines.sparkSession, root, version, True, "id_client" in lines.columns, list(frags), [])
+    _commit(lines.sparkSession, root, version, True, "id_client" in lines.columns, list(frags), [], same=same)
 
 
-def fragment_write(frags: Frags, root: str, version: int = 0) -> int:
-    """Write every table of all sites whole, then commit the version."""
+def fragment_write(frags: Frags, root: str, version: int = 0, same: bool = False) -> int:
+    """Write every table of all sites whole, then commit the version. ``same``: it holds the rows of the one before."""
     spark = frags["lignes_commandes"].sparkSession
     together(spark, [partial(write_table, df, root, name, version) for name, df in frags.items()])
-    commit_whole(frags, root, version)
+    commit_whole(frags, root, version, same)
     return version
 
 
@@ -136,14 +146,19 @@ def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.schema(_COMMITS).option("recursiveFileLookup", True).parquet(f"{root}/commits")
 
 
-def applied(spark: SparkSession, root: str, stream: str, batch: int) -> bool:
-    """Whether a version holds that batch of that stream."""
+def applied(spark: SparkSession, root: str, note: Note) -> bool:
+    """Whether a version holds that batch of that stream. One of another range of ``seq`` under its name is an error."""
     commits = _commits(spark, root)
-    return commits is not None and not commits.where((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
+    if commits is None:
+        return False
+    held = commits.where((F.col("stream") == note.stream) & (F.col("batch") == note.batch)).first()
+    if held is not None and (held["low"], held["seq"]) != (note.low, note.seq):
+        raise ValueError(f"batch {note.batch} of stream {note.stream} was applied with seq {held['low']} to {held['seq']}, not {note.low} to {note.seq}")
+    return held is not None
 
 
 def last_seq(spark: SparkSession, root: str) -> int | None:
-    """The highest ``seq`` that a noted batch has applied."""
+    """The highest ``seq`` that a noted batch has applied, whatever its stream: the feeds of a store share one numbering."""
     commits = _commits(spark, root)
     return None if commits is None else commits.agg(F.max("seq")).first()[0]
 
@@ -201,6 +216,32 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return frags
 
 
+def changed_rows(spark: SparkSession, root: str, table: str, earlier: int, later: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of a table that the versions after ``earlier`` up to ``later`` touched, as they stood in either.
+
+    The change folders in between name the keys and hold their last state; the earlier state of those keys
+    is read from the earlier version, within their range. Only where a whole version with new rows lies
+    in between are both versions given whole.
+    """
+    if earlier > later:
+        raise ValueError(f"version {earlier} is after version {later}")
+    before, after = read_version(spark, root, earlier)[table], read_version(spark, root, later)[table]
+    between = _commits(spark, root).where((F.col("version") > earlier) & (F.col("version") <= later)).collect()
+    if any(row["whole"] and not row["same"] for row in between):
+        return before, after
+    versions = sorted(row["version"] for row in between if table in (row["changed"] or "").split(","))
+    if not versions:
+        return before.where(F.lit(False)), before.where(F.lit(False))
+    on = ["site", KEYS[table]]
+    fields = [T.StructField("site", T.IntegerType()), T.StructField(KEYS[table], T.LongType())]
+    gone = _changes(spark, root, "gone", table, fields, versions)
+    added = _changes(spark, root, "added", table, list(after.schema.fields), versions)
+    last = settle(gone.unionByName(added.select(*gone.columns)).groupBy(*on).agg(F.max(_VERSION).alias(_VERSION)))
+    low, high = last.agg(F.min(KEYS[table]), F.max(KEYS[table])).first()
+    old = before.where(F.col(KEYS[table]).between(low, high)).join(last.select(*on), on, "left_semi")
+    return old, added.join(last, [*on, _VERSION], "left_semi").drop(_VERSION)
+
+
 def fragment_read(spark: SparkSession, root: str, site: int, views: bool = False) -> Frags:
     """One site's tables, by their local names; only that site's files are read.
 

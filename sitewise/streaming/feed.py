@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +12,6 @@ from sitewise.operators.maintain import QUARANTINE, decide_batch
 from sitewise.rules import NOWHERE, Rule
 from sitewise.schema import CHANGES
 from sitewise.sources.snapshots import Frags, Note, applied, fragment_write, last_seq, last_version, read_version, write_deltas
-from sitewise.session import exists
 from sitewise.sources.tables import Tables
 
 _GLOBAL = "global"
@@ -77,16 +74,13 @@ def make_whole(spark: SparkSession, root: str, tables: Tables) -> int:
     """Write the last version as whole tables, the next version, so that later reads start from it."""
     version = last_version(spark, f"{root}/{_SITES}")
     now, sites = state(spark, root, tables, version)
-    fragment_write({_LINES: now[_LINES].withColumn("site", F.lit(NOWHERE))}, f"{root}/{_GLOBAL}", version + 1)
-    return fragment_write(sites, f"{root}/{_SITES}", version + 1)
+    fragment_write({_LINES: now[_LINES].withColumn("site", F.lit(NOWHERE))}, f"{root}/{_GLOBAL}", version + 1, same=True)
+    return fragment_write(sites, f"{root}/{_SITES}", version + 1, same=True)
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """A name for the stream of a checkpoint, noted beside it."""
-    note = f"{checkpoint}-stream"
-    if not exists(spark, note):
-        spark.range(1).select(F.lit(uuid.uuid4().hex).alias("stream")).write.parquet(note)
-    return spark.read.schema("stream string").parquet(note).first()["stream"]
+    """The id that Spark gave the stream when it made the checkpoint; a new checkpoint, even at an old path, has another."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
 def stream_apply(
@@ -94,25 +88,25 @@ def stream_apply(
 ) -> StreamingQuery:
     """Apply each micro-batch to the last version and write the next.
 
-    The sites' commit row is written last and names the stream, the batch and the highest
-    ``seq`` applied. A batch whose row is there is not applied again; one that failed before it
-    is run again and replaces what it had written. Changes act in the order of ``seq``: a batch
-    that reaches below what has been applied fails. After every ``whole_every`` versions the
+    The sites' commit row is written last and names the stream, the batch and the lowest and highest
+    ``seq`` applied. A batch whose row is there, with the same range, is not applied again; one that failed
+    before it is run again and replaces what it had written. Changes act in the order of ``seq``, which all feeds of a
+    store share: a batch that reaches below what has been applied fails. After every ``whole_every`` versions the
     tables are written whole, so that reads do not go through ever more changes.
     """
-    name = _stream_id(stream.sparkSession, checkpoint)
     sites = f"{root}/{_SITES}"
 
     def apply(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
-        if applied(spark, sites, name, batch_id):
-            return
         low, high = changes.agg(F.min("seq"), F.max("seq")).first()
+        note = Note(_stream_id(spark, checkpoint), batch_id, high, low)
+        if applied(spark, sites, note):
+            return
         done = last_seq(spark, sites)
         if low is not None and done is not None and low <= done:
             raise ValueError(f"batch {batch_id} begins at seq {low}, but seq {done} has been applied")
         version = last_version(spark, sites)
-        apply_version(changes, root, tables, rule, version, on_reject, Note(name, batch_id, high))
+        apply_version(changes, root, tables, rule, version, on_reject, note)
         if (version + 1) % whole_every == 0:
             make_whole(spark, root, tables)
 

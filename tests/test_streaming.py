@@ -13,6 +13,7 @@ from sitewise.operators import fragments as FR
 from sitewise.operators.changes import route_changes
 from sitewise.operators.maintain import apply_batch
 from sitewise.rules import by_query
+from sitewise.sources import snapshots
 from sitewise.sources.snapshots import last_version
 from sitewise.streaming import feed as ST
 
@@ -102,6 +103,33 @@ def test_a_feed_out_of_order_fails(spark, tmp_path, feed_dir):
         ST.drain(ST.stream_apply(ST.read_feed(spark, feed_dir), root, tables, RULE, str(tmp_path / "cp")))
 
 
+def test_a_new_checkpoint_at_an_old_path_is_a_new_stream(spark, tmp_path):
+    """Its batch 0 is not the batch 0 of the stream before: nothing is taken for applied."""
+    tables, root, checkpoint = small_store(spark), str(tmp_path / "store"), str(tmp_path / "cp")
+    ST.begin(root, tables, RULE)
+    for seq, i in ((1, 21), (5, 25)):
+        path = str(tmp_path / f"feed{seq}")
+        feed(spark, [change(seq, "I", None, line(i, 2, 1, 130, "0.00"))]).coalesce(1).write.parquet(path)
+        ST.drain(ST.stream_apply(ST.read_feed(spark, path), root, tables, RULE, checkpoint))
+        assert (1, i) in {row[:2] for row in keys_at(ST.state(spark, root, tables)[1])["lignes_commandes"]}
+        shutil.rmtree(checkpoint)
+    # The same changes under a new stream reach below what has been applied.
+    with pytest.raises(StreamingQueryException, match="has been applied"):
+        ST.drain(ST.stream_apply(ST.read_feed(spark, path), root, tables, RULE, checkpoint))
+
+
+def test_a_version_has_one_writer(spark, tmp_path):
+    tables, root = small_store(spark), str(tmp_path / "store")
+    ST.begin(root, tables, RULE)
+    one = feed(spark, [change(1, "I", None, line(21, 2, 1, 130, "0.00"))])
+    for note in (snapshots.Note("a", 0, 1, 1), snapshots.Note("a", 0, 1, 1)):
+        ST.apply_version(one, root, tables, RULE, 0, note=note)
+    with pytest.raises(ValueError, match="another writer"):
+        ST.apply_version(one, root, tables, RULE, 0, note=snapshots.Note("b", 0, 1, 1))
+    with pytest.raises(ValueError, match="was applied with seq 1 to 1"):
+        snapshots.applied(spark, f"{root}/sites", snapshots.Note("a", 0, 2, 1))
+
+
 def test_whole_versions_in_between(spark, tmp_path, feed_dir):
     tables = small_store(spark)
     ends = []
