@@ -31,6 +31,7 @@ from sitewise import schema as S
 from sitewise.functions.columns import error_message
 from sitewise.functions.prefix import HOT_ROWS, running_sums
 from sitewise.functions.relations import anti, exists_flag, semi
+from sitewise.functions.ties import connected
 from sitewise.operators.changes import classify
 from sitewise.operators.fragments import named_by
 from sitewise.rules import NOWHERE, SITES, STRICT, Rule
@@ -572,18 +573,29 @@ def _repeats(changes: DataFrame, on: Sequence[str] = (_LINE,)) -> DataFrame:
     return counted.where(F.col("_n") > 1)
 
 
-def _grouped(changes: DataFrame, stores: Sequence[DataFrame]) -> DataFrame:
-    """Changes with the group that must be taken in order: the order of their line, as the
-    feed and the stores name it. Lines that name several orders tie these together; a feed
-    with such a line is one group."""
+def line_orders(changes: DataFrame, stores: Sequence[DataFrame]) -> DataFrame:
+    """The (line, order) pairs that a feed names, or that the stores hold of its lines. Stored."""
     named = changes.select(_LINE, "id_commande")
     for lines in stores:
         named = named.unionByName(semi(lines, changes, _LINE).select(_LINE, "id_commande"))
+    return settle(named.distinct())
+
+
+def tied_orders(pairs: DataFrame) -> DataFrame:
+    """``id_commande, groupe`` of the orders that lines with several orders tie together; ``groupe`` is the least of them."""
     order = F.col("id_commande")
-    found = settle(named.groupBy(_LINE).agg(F.min(order).alias(_GROUP), F.max(order).alias("_top")))
-    if not found.where(F.col(_GROUP) != F.col("_top")).isEmpty():
-        return changes.withColumn(_GROUP, F.lit(0).cast("bigint"))
-    return changes.join(found.select(_LINE, F.coalesce(_GROUP, _LINE).alias(_GROUP)), _LINE)
+    several = pairs.groupBy(_LINE).agg(F.min(order).alias("a"), F.max(order).alias("top")).where(F.col("a") != F.col("top"))
+    links = pairs.join(several.select(_LINE, "a"), _LINE).select("a", order.alias("b"))
+    return connected(links).select(F.col("node").alias("id_commande"), F.col("root").alias("groupe"))
+
+
+def _grouped(changes: DataFrame, stores: Sequence[DataFrame]) -> DataFrame:
+    """Changes with the group that must be taken in order: the order of their line, as the feed and the
+    stores name it, with the orders that it is tied to by lines that name several."""
+    pairs = line_orders(changes, stores)
+    order = pairs.groupBy(_LINE).agg(F.min("id_commande").alias("id_commande"))
+    found = order.join(tied_orders(pairs), "id_commande", "left")
+    return changes.join(found.select(_LINE, F.coalesce("groupe", "id_commande", _LINE).alias(_GROUP)), _LINE)
 
 
 def turns(changes: DataFrame, on: Sequence[str] = (_LINE,)) -> Iterator[DataFrame]:
@@ -623,8 +635,9 @@ def decide_batch(
     values are not used. A refused change is undone everywhere and reported.
 
     Where lines change more than once the feed is taken in turns, each with at most one
-    change per line. What a change meets depends on its own order only, so every order is
-    cut by itself: there are at most as many turns as one order has changes.
+    change per line. What a change meets depends on its own order only, and on those that lines with
+    several orders tie to it, so every such group is cut by itself: there are at most as many turns
+    as one group has changes.
     """
     changes = settle(changes)
     if _repeats(changes).isEmpty():

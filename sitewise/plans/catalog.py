@@ -12,6 +12,7 @@ from sitewise import schema as S
 from sitewise.functions import columns as C
 from sitewise.functions import relations as R
 from sitewise.operators import analytics as A
+from sitewise.operators import capture as CP
 from sitewise.operators import changes as CH
 from sitewise.operators import fragments as FR
 from sitewise.operators import maintain as M
@@ -22,6 +23,7 @@ from sitewise.rules import SITES, STRICT, by_query, by_volume
 from sitewise.session import settle, workdir
 from sitewise.sources import ingest, layout, snapshots
 from sitewise.sources.keys import assign_surrogate_key
+from sitewise.sources.sequences import number_load
 from sitewise.sources.snapshots import Frags
 from sitewise.sources.tables import Tables, load_global, load_test_tables, numbered_lines, raw, save_global
 from sitewise.streaming import feed as ST
@@ -470,6 +472,19 @@ def reconstruction_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.select(*_line_columns(), "gap")
 
 
+@query
+def numbered_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients in two loads, and the first load again: keys go on after each load, and come again with it."""
+    customers = raw(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    root = workdir(spark, "sequences")
+    parts = []
+    for run, load in enumerate(("even", "odd", "even"), 1):
+        rows = customers.where(F.col("c_nationkey") % 2 == int(load == "odd")).select("c_custkey")
+        keyed = number_load(rows, root, "clients", load, ["c_custkey"], "id_client")
+        parts.append(keyed.select(F.lit(run).alias("run"), F.lit(load).alias("load"), "c_custkey", "id_client"))
+    return FR.union_sites(parts)
+
+
 # ---------------------------------------------------------------- scalar functions
 
 
@@ -568,6 +583,55 @@ def compact_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def tied_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that must be taken together in a feed that brings returned lines back under the client's next order."""
+    moved = settle(FD.moved_changes(spark, sf_dir, FD.change_feed(spark, sf_dir)))
+    return M.tied_orders(M.line_orders(moved, [FD.tables_before(spark, sf_dir)["lignes_commandes"]]))
+
+
+def _captured(feed: DataFrame) -> DataFrame:
+    missing = F.lit(-1).cast("bigint")
+    return feed.select(
+        "seq",
+        "op",
+        _LINE,
+        "id_commande",
+        *[F.coalesce(c, missing).alias(c) for c in ("old_id_produit", "old_quantite", "new_id_produit", "new_quantite")],
+        *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in ("old_remise", "new_remise")],
+    )
+
+
+@query
+def capture_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed between the line table as it is before the moving feed and as it stands in the end."""
+    old = FD.tables_before(spark, sf_dir)["lignes_commandes"]
+    moved = CH.compact(FD.moved_changes(spark, sf_dir, FD.change_feed(spark, sf_dir)))
+    return _captured(CP.capture_changes(old, CH.apply_changes_global(old, moved)))
+
+
+def _two_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Lines as of version 0 of a store, and what is captured between it and the version that the feed makes."""
+    tables = FD.tables_before(spark, sf_dir)
+    root = workdir(spark, "store")
+    ST.begin(root, tables, BY_QUERY)
+    ST.apply_version(FD.change_feed(spark, sf_dir), root, tables, BY_QUERY, 0)
+    old = ST.state(spark, root, tables, 0)[0]["lignes_commandes"]
+    return old, CP.capture_between(spark, f"{root}/global", 0, 1)
+
+
+@query
+def capture_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _captured(_two_versions(spark, sf_dir)[1])
+
+
+@query
+def capture_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older version with what was captured applied: the newer version."""
+    old, captured = _two_versions(spark, sf_dir)
+    return CH.apply_changes_global(old, settle(captured)).select(*_line_columns())
+
+
 # ---------------------------------------------------------------- fragment maintenance
 
 

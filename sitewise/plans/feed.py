@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from sitewise.functions.relations import lookup
 from sitewise.schema import CHANGES, RATE
+from sitewise.functions.prefix import row_numbers
 from sitewise.functions.relations import conform
+from sitewise.session import settle
 from sitewise.sources.tables import Tables, as_lines, load_test_tables, numbered_lines, raw
 
 DELETED, FLIPPED, MOVED, DISCOUNTED, NEW, NEGATED = range(1, 7)
@@ -86,6 +88,18 @@ def later_changes(feed: DataFrame) -> DataFrame:
     return feed.withColumn("seq", F.col("seq") * 2).unionByName(second)
 
 
+def moved_changes(spark: SparkSession, sf_dir: str, feed: DataFrame) -> DataFrame:
+    """``later_changes``, but a deleted line that was returned comes back under its client's next order, where there is one."""
+    orders = raw(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    placed = settle(row_numbers(orders, ["o_custkey"], ["o_orderkey"], "place"))
+    following = placed.select("o_custkey", F.col("o_orderkey").alias("next"), (F.col("place") - 1).alias("place"))
+    pairs = placed.join(following, ["o_custkey", "place"]).select(F.col("o_orderkey").alias("l_orderkey"), "next")
+    returned = numbered_lines(spark, sf_dir).where((F.col("l_linenumber") == DELETED) & (F.col("l_returnflag") == "R"))
+    target = returned.join(pairs, "l_orderkey").select("id_ligne_commande", "next", F.lit("I").alias("op"))
+    moved = later_changes(feed).withColumn("late", F.col("seq") % 2 == 1).join(target, ["id_ligne_commande", "op"], "left")
+    return conform(moved.withColumn("id_commande", F.when(F.col("late"), F.coalesce("next", "id_commande")).otherwise(F.col("id_commande"))), CHANGES)
+
+
 def tables_before(spark: SparkSession, sf_dir: str) -> Tables:
     """The tables before the feed: without the lines that it brings."""
     tables = load_test_tables(spark, sf_dir)

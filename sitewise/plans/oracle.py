@@ -580,6 +580,53 @@ WHERE NOT (f.op = 'I' AND l.op = 'D')""",
     )
 
 
+# The feed twice over, in which a deleted line that was returned comes back under the client's next order.
+VIEWS["suivantes"] = """
+SELECT o_orderkey AS id_commande, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS prochaine FROM orders"""
+VIEWS["ramenees"] = """
+SELECT n.id_ligne_commande, n.id_commande, s.prochaine FROM numbered n JOIN suivantes s ON s.id_commande = n.id_commande
+WHERE number = 1 AND flag = 'R' AND prochaine IS NOT NULL"""
+VIEWS["liens"] = "SELECT id_commande AS a, prochaine AS b FROM ramenees UNION SELECT prochaine, id_commande FROM ramenees"
+VIEWS["liens_walk"] = "SELECT a AS node, a AS vu FROM liens UNION SELECT w.node, l.b FROM liens_walk w JOIN liens l ON l.a = w.vu"
+VIEWS["ensuite"] = """
+SELECT b.* FROM base b WHERE id_ligne_commande NOT IN (SELECT id_ligne_commande FROM feed)
+UNION ALL
+SELECT f.id_ligne_commande, coalesce(r.prochaine, f.id_commande),
+       CASE op WHEN 'D' THEN old_id_produit ELSE new_id_produit END, CASE op WHEN 'D' THEN old_quantite ELSE new_quantite + 1 END,
+       CASE op WHEN 'D' THEN old_remise ELSE new_remise END
+FROM feed f LEFT JOIN ramenees r ON r.id_ligne_commande = f.id_ligne_commande WHERE op <> 'I'"""
+
+
+def _capture(old: str, new: str) -> str:
+    """The numbered difference of two line tables; a line under another order goes and comes."""
+    values = ("id_produit", "quantite", "remise")
+    side = lambda alias, prefix: ", ".join(f"{alias}.{v} AS {prefix}_{v}" for v in values)
+    none = lambda prefix: ", ".join(f"NULL AS {prefix}_{v}" for v in values)
+    differ = " OR ".join(f"o.{v} IS DISTINCT FROM n.{v}" for v in values)
+    shown = ", ".join(
+        f"coalesce(CAST({p}_{v} AS DOUBLE), -1) AS {p}_{v}" if v == "remise" else f"coalesce({p}_{v}, -1) AS {p}_{v}"
+        for p in ("old", "new")
+        for v in values
+    )
+    views = {
+        "ecarts": f"""
+SELECT o.id_ligne_commande, 0 AS step, 'D' AS op, o.id_commande, {side('o', 'old')}, {none('new')}
+FROM {old} o LEFT JOIN {new} n ON n.id_ligne_commande = o.id_ligne_commande
+WHERE n.id_ligne_commande IS NULL OR n.id_commande IS DISTINCT FROM o.id_commande
+UNION ALL
+SELECT n.id_ligne_commande, 1, 'I', n.id_commande, {none('old')}, {side('n', 'new')}
+FROM {new} n LEFT JOIN {old} o ON n.id_ligne_commande = o.id_ligne_commande
+WHERE o.id_ligne_commande IS NULL OR n.id_commande IS DISTINCT FROM o.id_commande
+UNION ALL
+SELECT n.id_ligne_commande, 0, 'U', n.id_commande, {side('o', 'old')}, {side('n', 'new')}
+FROM {old} o JOIN {new} n ON n.id_ligne_commande = o.id_ligne_commande AND n.id_commande = o.id_commande
+WHERE {differ}"""
+    }
+    return _sql(
+        f"SELECT row_number() OVER (ORDER BY id_ligne_commande, step) AS seq, op, id_ligne_commande, id_commande, {shown} FROM ecarts", views
+    )
+
+
 def _missing() -> str:
     keys = {**_TABLES, "lignes": "id_ligne_commande"}
     views = {f"m_{t}": f"SELECT * FROM g1_{t} r WHERE NOT {_at('b1', t, k)}" for t, k in keys.items()}
@@ -756,6 +803,17 @@ FROM lignes l JOIN commandes c ON c.id_commande = l.id_commande JOIN produits p
             )
         ),
         "compact_changes": _compact(),
+        "tied_orders": _sql("SELECT node AS id_commande, min(vu) AS groupe FROM liens_walk GROUP BY node"),
+        "capture_changes": _capture("base", "ensuite"),
+        "capture_versions": _capture("base", "after1"),
+        "capture_applied": _sql(f"SELECT {_LINE_COLUMNS} FROM after1"),
+        "numbered_loads": """
+SELECT 1 AS run, 'even' AS load, c_custkey, row_number() OVER (ORDER BY c_custkey) AS id_client FROM customer WHERE c_nationkey % 2 = 0
+UNION ALL
+SELECT 2, 'odd', c_custkey, row_number() OVER (ORDER BY c_custkey) + (SELECT count(*) FROM customer WHERE c_nationkey % 2 = 0)
+FROM customer WHERE c_nationkey % 2 = 1
+UNION ALL
+SELECT 3, 'even', c_custkey, row_number() OVER (ORDER BY c_custkey) FROM customer WHERE c_nationkey % 2 = 0""",
         "validate_line_inputs": _sql(
             f"""SELECT seq, step, action, CASE WHEN action = 'INSERT' AND {_BAD_INPUT} THEN -20001
 WHEN action = 'UPDATE' AND (coalesce(quantite, 1) <= 0 OR coalesce(remise, 0) < 0) THEN -20008 ELSE 0 END AS error_code FROM a2"""
