@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from sitewise.sources.sequences import number_load
 from sitewise.sources.snapshots import Frags
 from sitewise.sources.tables import Tables, load_global, load_test_tables, numbered_lines, raw, save_global
 from sitewise.streaming import feed as ST
+from sitewise.streaming import ordered as OR
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -850,21 +851,27 @@ _add("site_counts", _both(_counts))
 # ---------------------------------------------------------------- streaming, layout
 
 
-def _feed_files(spark: SparkSession, sf_dir: str) -> str:
-    """The feed as four files by ``seq`` range, written in that order: the file source goes by time."""
+FEED_PARTS, FEED_FILES = 4, 8
+
+
+def _feed_files(spark: SparkSession, changes: DataFrame, order: Sequence[int] = range(FEED_PARTS)) -> tuple[str, int]:
+    """The (stored) feed as files by ``seq`` range, written in that order: the file source goes by time.
+    Gives the folder and the files of each range; each is written by a task of its own."""
     path = workdir(spark, "feed")
-    changes = settle(FD.change_feed(spark, sf_dir))
     low, high = changes.agg(F.min("seq"), F.max("seq")).first()
-    cuts = [low + (high + 1 - low) * k // 4 for k in range(5)] if low is not None else [0, 0]
-    for start, stop in zip(cuts, cuts[1:]):
-        changes.where((F.col("seq") >= start) & (F.col("seq") < stop)).coalesce(1).write.mode("append").parquet(path)
-    return path
+    part = F.floor((F.col("seq") - low) * FEED_PARTS / (high + 1 - low)) if low is not None else F.lit(0)
+    rows = changes.withColumn("_part", part)
+    least = rows.groupBy("_part").count().agg(F.min("count")).first()[0]
+    files = max(1, min(FEED_FILES, least or 1))
+    for k in order:
+        rows.where(F.col("_part") == k).drop("_part").repartition(files).write.mode("append").parquet(path)
+    return path, files
 
 
 def _stream_routed(rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         sink, checkpoint = workdir(spark, "actions"), workdir(spark, "offsets")
-        stream = ST.read_feed(spark, _feed_files(spark, sf_dir))
+        stream = ST.read_feed(spark, *_feed_files(spark, settle(FD.change_feed(spark, sf_dir))))
         products = load_test_tables(spark, sf_dir)["produits"]
         ST.drain(ST.stream_route(stream, products, rule, sink, checkpoint))
         return _action_columns(spark.read.parquet(sink))
@@ -881,12 +888,38 @@ def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = FD.tables_before(spark, sf_dir)
     root = workdir(spark, "store")
     ST.begin(root, tables, BY_QUERY)
-    stream = ST.read_feed(spark, _feed_files(spark, sf_dir))
+    stream = ST.read_feed(spark, *_feed_files(spark, settle(FD.change_feed(spark, sf_dir))))
     ST.drain(ST.stream_apply(stream, root, tables, BY_QUERY, workdir(spark, "offsets")))
     _, frags = ST.state(spark, root, tables)
     return _digest(frags, ST.rejected_changes(spark, root))
 
 
+@query
+def stream_replay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed replayed from files out of order, then its changes of discounts once more, too late to count."""
+    tables = FD.tables_before(spark, sf_dir)
+    root = workdir(spark, "store")
+    ST.begin(root, tables, BY_VOLUME)
+    begin = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
+    changes = FD.change_feed(spark, sf_dir)
+    changes = settle(changes.withColumn("at", F.timestamp_millis(F.lit(int(begin.timestamp() * 1000)) + F.col("seq"))))
+    path, files = _feed_files(spark, changes, (1, 0, 3, 2))
+    low, high = changes.agg(F.min("at"), F.max("at")).first()
+    half = (high - low) / 2 + dt.timedelta(milliseconds=1) if low is not None else dt.timedelta(0)
+    OR.clock_rows(spark, begin + dt.timedelta(days=36_500), files).repartition(files).write.mode("append").parquet(path)
+    discounts = changes.where((F.col("op") == "U") & ~F.col("old_remise").eqNullSafe(F.col("new_remise")))
+    discounts.coalesce(files).write.mode("append").parquet(path)
+    stream = OR.read_timed_feed(spark, path, files)
+    ST.drain(OR.stream_apply_ordered(stream, root, tables, BY_VOLUME, workdir(spark, "offsets"), half))
+    _, frags = ST.state(spark, root, tables)
+    none = F.lit(0).cast("bigint")
+    late = OR.late_changes(spark, root).select(
+        F.lit("late").alias("tbl"), F.lit(0).alias("site"), F.col("seq").alias("id"), none.alias("id_produit"),
+        none.alias("quantite"), F.lit(0.0).alias("remise"), none.alias("id_client"),
+    )
+    return FR.union_sites([_digest(frags, ST.rejected_changes(spark, root)), late])
+
+
 @query
 def layout_orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workdir(spark, "orders")

@@ -848,6 +848,10 @@ SELECT id_ligne_commande, id_commande, new_id_produit, new_quantite, new_remise
         "site_counts": _sql(_both(counts.format("g1"), counts.format("g2"))),
         "stream_route_changes": _actions("TRUE"),
         "stream_apply_changes": _sql(_digest("z1", True, "f1_bad")),
+        "stream_replay_ordered": _sql(
+            _digest("y2", False, "y2_bad")
+            + " UNION ALL SELECT 'late', 0, seq, 0, 0, 0, 0 FROM feed WHERE op = 'U' AND old_remise IS DISTINCT FROM new_remise"
+        ),
         "layout_orders_by_year": _sql(dated),
     }
     for scenario in "12":

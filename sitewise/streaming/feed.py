@@ -83,6 +83,24 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
+def apply_once(
+    changes: DataFrame, batch_id: int, root: str, tables: Tables, rule: Rule, checkpoint: str, on_reject: str, whole_every: int
+) -> None:
+    """Apply a micro-batch of the stream of that checkpoint, unless it has been applied; see ``stream_apply``."""
+    spark, sites = changes.sparkSession, f"{root}/{_SITES}"
+    low, high = changes.agg(F.min("seq"), F.max("seq")).first()
+    note = Note(_stream_id(spark, checkpoint), batch_id, high, low)
+    if applied(spark, sites, note):
+        return
+    done = last_seq(spark, sites)
+    if low is not None and done is not None and low <= done:
+        raise ValueError(f"batch {batch_id} begins at seq {low}, but seq {done} has been applied")
+    version = last_version(spark, sites)
+    apply_version(changes, root, tables, rule, version, on_reject, note)
+    if (version + 1) % whole_every == 0:
+        make_whole(spark, root, tables)
+
+
 def stream_apply(
     stream: DataFrame, root: str, tables: Tables, rule: Rule, checkpoint: str, on_reject: str = QUARANTINE, whole_every: int = 50
 ) -> StreamingQuery:
@@ -94,21 +112,9 @@ def stream_apply(
     store share: a batch that reaches below what has been applied fails. After every ``whole_every`` versions the
     tables are written whole, so that reads do not go through ever more changes.
     """
-    sites = f"{root}/{_SITES}"
 
     def apply(changes: DataFrame, batch_id: int) -> None:
-        spark = changes.sparkSession
-        low, high = changes.agg(F.min("seq"), F.max("seq")).first()
-        note = Note(_stream_id(spark, checkpoint), batch_id, high, low)
-        if applied(spark, sites, note):
-            return
-        done = last_seq(spark, sites)
-        if low is not None and done is not None and low <= done:
-            raise ValueError(f"batch {batch_id} begins at seq {low}, but seq {done} has been applied")
-        version = last_version(spark, sites)
-        apply_version(changes, root, tables, rule, version, on_reject, note)
-        if (version + 1) % whole_every == 0:
-            make_whole(spark, root, tables)
+        apply_once(changes, batch_id, root, tables, rule, checkpoint, on_reject, whole_every)
 
     return (
         stream.writeStream.foreachBatch(apply)

@@ -1,11 +1,13 @@
 """Change feeds as streams."""
 
+import datetime as dt
 import os
 import shutil
 from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import functions as F
 from store import change, feed, keys_at, line
 from test_parts import small_store
 
@@ -16,6 +18,7 @@ from sitewise.rules import by_query
 from sitewise.sources import snapshots
 from sitewise.sources.snapshots import last_version
 from sitewise.streaming import feed as ST
+from sitewise.streaming import ordered as OR
 
 RULE = by_query()
 
@@ -139,3 +142,34 @@ def test_whole_versions_in_between(spark, tmp_path, feed_dir):
         ST.drain(ST.stream_apply(ST.read_feed(spark, feed_dir), root, tables, RULE, str(tmp_path / f"cp{every}"), whole_every=every))
         ends.append(keys_at(ST.state(spark, root, tables)[1]))
     assert ends[0] == ends[1]
+
+
+def timed(spark, path, changes, age):
+    """A file of changes made one minute apart, by seq, that the source takes ``age`` files after the first."""
+    start = dt.datetime(2026, 3, 1, tzinfo=dt.timezone.utc)
+    at = F.timestamp_seconds(F.lit(int(start.timestamp())) + 60 * F.col("seq"))
+    rows = feed(spark, changes).withColumn("at", at) if changes else OR.clock_rows(spark, start + dt.timedelta(days=30))
+    before = set(Path(path).glob("*.parquet"))
+    rows.coalesce(1).write.mode("append").parquet(path)
+    (new,) = set(Path(path).glob("*.parquet")) - before
+    os.utime(new, (1_700_000_000 + 60 * age,) * 2)
+
+
+def test_changes_out_of_order_find_their_place(spark, tmp_path):
+    path, root = str(tmp_path / "feed"), str(tmp_path / "store")
+    late = [change(2, "U", None, line(3, 2, 1, 77, "0.10"))]
+    # Reversed files; then a change that comes long after the clock has passed it, then the end.
+    for age, part in enumerate((rows()[5:], rows()[3:5], [c for c in rows()[:3] if c["seq"] != 2], [change(40, "I", None, line(12, 2, 1, 120, "0"))], [], late)):
+        timed(spark, path, part, age)
+    tables = small_store(spark)
+    ST.begin(root, tables, RULE)
+    for _ in range(2):
+        query = OR.stream_apply_ordered(OR.read_timed_feed(spark, path), root, tables, RULE, str(tmp_path / "cp"), dt.timedelta(minutes=10))
+        ST.drain(query)
+    in_time = [c for c in rows() if c["seq"] != 2] + [change(40, "I", None, line(12, 2, 1, 120, "0"))]
+    after, frags, rejected = apply_batch(tables, FR.derive(tables, RULE), feed(spark, in_time), RULE)
+    streamed, sites = ST.state(spark, root, tables)
+    assert keys_at(sites) == keys_at(frags)
+    assert sorted(map(tuple, streamed["lignes_commandes"].collect())) == sorted(map(tuple, after["lignes_commandes"].collect()))
+    assert [r.seq for r in ST.rejected_changes(spark, root).collect()] == [r.seq for r in rejected.collect()]
+    assert [(r.seq, r.new_quantite) for r in OR.late_changes(spark, root).collect()] == [(2, 77)]
