@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,3 +35,11 @@ def parts(df: DataFrame, rows: int, rows_per_part: int, least: int = 1) -> int:
 
 def plain(dtype: T.DataType) -> str:
     return dtype.simpleString()
+
+
+def free_name(columns: Sequence[str], name: str) -> str:
+    """``name`` with as many underscores before it as it takes to be none of the columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

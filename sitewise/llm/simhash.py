@@ -30,9 +30,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sitewise.llm.common import parts, table
+from sitewise.llm.common import free_name, table
 from sitewise.llm.components import components
-from sitewise.session import settle
+from sitewise.session import release, settle
 
 BITS = 3
 PIVOTS = 16
@@ -356,22 +356,51 @@ def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text).cast("binary"))
-    marks = settle(wide_marks(docs.select(key.alias("_key"), "doc_id", F.xxhash64(text).alias("node"), "text")))
-    nodes = marks.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
-    worded = nodes.where(F.col("fp") != F.lit(bytes(WIDE_BITS // 8)))
-    dealt = worded.select(F.explode("bands").alias("bucket"), "node", "fp")
+    marks = settle(wide_marks(docs.select(key.alias("key"), "doc_id", F.xxhash64(text).alias("node"), "text")))
+    dealt = _not_alone(marks)
     close = _by_distance(similar_bits(similarity), pivot_fingerprints(4, WIDE_BITS // 64))
-    near = components(_in_buckets(settle(dealt), close, BUCKET_ROWS, "a long, b long"))
-    near = near.unionByName(near.select(F.col("root").alias("u"), "root").distinct()).select(F.col("u").alias("node"), F.col("root").alias("bucket"))
-    texts = docs.select(F.xxhash64(text).alias("node"), "text").join(near, "node").dropDuplicates(["node"])
+    near = components(_in_buckets(dealt, close, BUCKET_ROWS, "a long, b long"))
+    grouped = settle(near.unionByName(near.select(F.col("root").alias("u"), "root").distinct()).select(F.col("u").alias("node"), F.col("root").alias("bucket")))
+    release(dealt)
+    release(near)
+    # Texts travel twice, here and at the end, by merge joins: whatever the corpus, neither side is taken for small.
+    texts = docs.select(F.xxhash64(text).alias("node"), "text").join(grouped.hint("merge"), "node").dropDuplicates(["node"])
     sets = settle(shingle_sets(texts.select("bucket", "node", "text")))
     weight = F.octet_length("fp") / 8 + ROW_SHINGLES
     links = _in_buckets(sets, _by_jaccard(similarity), GROUP_SHINGLES, "a long, b long", weight)
-    roots = components(links).withColumnRenamed("u", "node")
-    owner = marks.select("_key", "doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = owner.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_key"))).alias("one"))
-    kept = settle(first.select(F.col("one._key").alias("_key")))
-    return docs.withColumn("_key", key).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+    roots = components(links)
+    release(sets)
+    release(grouped)
+    owner = marks.select("key", "doc_id", "node").join(roots.withColumnRenamed("u", "node"), "node", "left")
+    owner = settle(owner.select("key", F.coalesce("root", "node").alias("root"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key").alias("place")))
+    release(marks)
+    release(roots)
+    first = owner.groupBy("root").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    others = settle(owner.join(first, "root").where(F.col("place") > F.col("first")).select("key").distinct())
+    release(owner)
+    name = free_name(docs.columns, "key")
+    rest = docs.withColumn(name, key).join(others.withColumnRenamed("key", name).hint("merge"), name, "left_anti")
+    return rest.dropDuplicates([name]).select(docs.columns)
+
+
+def _not_alone(marks: DataFrame) -> DataFrame:
+    """``bucket, node, fp`` of the texts that share a bucket with another text, stored.
+
+    Nearly every bucket holds one text. Only ``bucket, node`` travel until these are gone, and the
+    fingerprints join what is left. Texts without words are in no bucket.
+    """
+    worded = marks.where(F.col("fp") != F.lit(bytes(WIDE_BITS // 8)))
+    dealt = worded.select(F.explode("bands").alias("bucket"), "node")
+    ends = dealt.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = settle(ends.where("low < high").select("bucket"))
+    pairs = settle(dealt.join(shared.hint("merge"), "bucket", "left_semi").distinct())
+    release(shared)
+    named = settle(pairs.select("node").distinct())
+    fps = marks.select("node", "fp").join(named, "node", "left_semi").dropDuplicates(["node"])
+    found = settle(pairs.join(fps, "node").select("bucket", "node", "fp"))
+    release(pairs)
+    release(named)
+    return found
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
