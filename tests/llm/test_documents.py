@@ -8,6 +8,8 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from tests.llm.conftest import CLASH
+from pyspark.sql import types as T
 
 from sitewise.llm import decontaminate, packing, pii, quality, sharding, simhash, suffixes, toxicity
 from sitewise.llm.components import components
@@ -189,6 +191,31 @@ def test_toxicity(docs, none, spark):
     assert len(used) == sum(2 if i == 5 else 1 for i in want)
 
 
+def test_labels_of_one_kind_drop_nothing(docs):
+    for rows in ([], [("x", 1)], [("x", 0), (None, 0)]):
+        model = toxicity.train(rows)
+        assert all(r.score < 0.5 and not r.spans for r in toxicity.score_documents(docs, model).collect())
+        assert toxicity.drop_toxic(docs, model).count() == docs.count()
+
+
+def test_stages_carry_clashing_columns_through(spark):
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())] + [T.StructField(c, T.IntegerType()) for c in CLASH])
+    near = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{t} {i}", *range(7, 7 + len(CLASH))) for i, t in enumerate(["one two", "mail", "three"])] + [(9, near, *range(len(CLASH))), (10, near, *range(len(CLASH)))]
+    docs = spark.createDataFrame(rows, schema)
+    bench = spark.createDataFrame([(1, "nowhere at all to be seen in any of these rows")], "item_id long, text string")
+    stages = {
+        "toxicity": (lambda d: toxicity.drop_toxic(d, toxicity.train([])), rows),
+        "near_copies": (simhash.drop_near_copies, rows[:4]),
+        "decontamination": (lambda d: decontaminate.drop_contaminated(d, bench), rows),
+        "personal_data": (lambda d: pii.redact(d, None), rows),
+    }
+    for name, (stage, want) in stages.items():
+        got = stage(docs)
+        assert got.schema == docs.schema, name
+        assert sorted(map(tuple, got.collect())) == sorted(want), name
+
+
 def test_decontamination(docs, none, spark, texts):
     items = [(0, texts[0][1]), (1, "nowhere at all. To be seen here."), (2, None), (3, ""), (0, texts[0][1])]
     bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, score string")
