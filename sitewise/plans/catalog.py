@@ -23,6 +23,7 @@ from sitewise.rules import SITES, STRICT, by_query, by_volume
 from sitewise.session import settle, workdir
 from sitewise.sources import ingest, layout, snapshots
 from sitewise.sources.keys import assign_surrogate_key
+from sitewise.sources.scripts import load_script
 from sitewise.sources.sequences import number_load
 from sitewise.sources.snapshots import Frags
 from sitewise.sources.tables import Tables, load_global, load_test_tables, numbered_lines, raw, save_global
@@ -473,6 +474,44 @@ def reconstruction_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.select(*_line_columns(), "gap")
 
 
+def _literal(value: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("'"), F.replace(value, F.lit("'"), F.lit("''")), F.lit("'")), F.lit("NULL"))
+
+
+@query
+def seed_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients and suppliers written as insert scripts and read back: texts with quotes, semicolons and line
+    breaks, dates, keys of a sequence for the suppliers. Some clients have a value too few, or a day that does not exist."""
+    root = workdir(spark, "scripts")
+    nation = F.col("c_nationkey")
+    day = F.when(nation == 4, F.lit("30/02/2020")).otherwise(F.concat(F.lpad((nation + 1).cast("string"), 2, "0"), F.lit("/03/2020")))
+    fields = [
+        F.col("c_custkey").cast("string"),
+        _literal(F.col("c_name")),
+        _literal(F.concat("c_name", F.lit("'s; desk\n(;"), F.col("c_custkey").cast("string"))),
+        _literal(F.when(nation != 5, F.col("c_mktsegment"))),
+        F.concat(F.lit("TO_DATE('"), day, F.lit("', 'DD/MM/YYYY')")),
+        F.when(nation != 3, _literal(nation.cast("string"))),
+    ]
+    head = "INSERT INTO CLIENTS (ID_CLIENT, SOCIETE, CONTACT,\n  FONCTION, DATE_NAISSANCE, PAYS) VALUES ("
+    clients = raw(spark, sf_dir, "customer").select(F.concat(F.lit(head), F.concat_ws(", ", *fields), F.lit(");")))
+    clients.write.text(f"{root}/clients")
+    named = F.concat(F.lit("Insert into shop.fournisseurs (ID_FOURNISSEUR,SOCIETE_FOURNISSEUR) VALUES (F_SEQ.NEXTVAL,"), _literal(F.col("s_name")), F.lit(");"))
+    raw(spark, sf_dir, "supplier").orderBy("s_suppkey").select(named).write.text(f"{root}/suppliers")
+    parts = []
+    for table, folder, key, columns in (
+        ("clients", "clients", "id_client", ("societe", "contact", "fonction", "pays")),
+        ("fournisseurs", "suppliers", "id_fournisseur", ("societe_fournisseur",) * 2),
+    ):
+        rows, bad = load_script(spark, f"{root}/{folder}", table, S.SCHEMAS[table], f"{root}/sequences", folder)
+        born = F.date_format("date_naissance", "yyyy-MM-dd") if table == "clients" else F.lit("-")
+        texts = [F.coalesce(c, F.lit("-")) for c in columns]
+        parts.append(rows.select(F.lit(table).alias("tbl"), F.col(key).alias("id"), F.concat_ws("|", *texts, born).alias("txt")))
+        name = F.regexp_extract("statement", "(Customer#[0-9]+)'", 1)
+        parts.append(bad.select(F.lit("refused").alias("tbl"), F.lit(0).cast("bigint").alias("id"), F.concat_ws("|", "reason", name).alias("txt")))
+    return FR.union_sites(parts)
+
+
 @query
 def numbered_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clients in two loads, and the first load again: keys go on after each load, and come again with it."""

@@ -807,6 +807,15 @@ FROM lignes l JOIN commandes c ON c.id_commande = l.id_commande JOIN produits p
         "capture_changes": _capture("base", "ensuite"),
         "capture_versions": _capture("base", "after1"),
         "capture_applied": _sql(f"SELECT {_LINE_COLUMNS} FROM after1"),
+        "seed_scripts": """
+SELECT 'clients' AS tbl, c_custkey AS id, c_name || '|' || c_name || chr(39) || 's; desk' || chr(10) || '(;' || c_custkey || '|' ||
+       CASE WHEN c_nationkey = 5 THEN '-' ELSE c_mktsegment END || '|' || c_nationkey || '|2020-03-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS txt
+FROM customer WHERE c_nationkey NOT IN (3, 4)
+UNION ALL
+SELECT 'refused', 0, CASE c_nationkey WHEN 3 THEN 'not one value for each column|' ELSE 'does not fit: date_naissance|' END || c_name
+FROM customer WHERE c_nationkey IN (3, 4)
+UNION ALL
+SELECT 'fournisseurs', row_number() OVER (ORDER BY s_suppkey), s_name || '|' || s_name || '|-' FROM supplier""",
         "numbered_loads": """
 SELECT 1 AS run, 'even' AS load, c_custkey, row_number() OVER (ORDER BY c_custkey) AS id_client FROM customer WHERE c_nationkey % 2 = 0
 UNION ALL
