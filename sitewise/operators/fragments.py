@@ -8,6 +8,7 @@ Nothing is shuffled by site or category alone.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -81,18 +82,19 @@ def derive(tables: Tables, rule: Rule) -> Frags:
     return {**upper, **middle, "lignes_commandes": lines(tables, rule)}
 
 
-def load_sites(tables: Tables, rule: Rule, root: str, version: int = 0) -> Frags:
+def load_sites(tables: Tables, rule: Rule, root: str, version: int = 0, wanted: Sequence[str] | None = None) -> Frags:
     """Derive all sites and store them, bottom-up: lines are placed once and stored, their
     parents are found from the stored lines, and those of the orders and products from
-    the stored orders and products."""
+    the stored orders and products. ``wanted`` of the lines' parents are enough for some queries."""
     sited = write_table(lines(tables, rule), root, "lignes_commandes", version)
 
     def stored(parents: Frags) -> Frags:
         written = together(sited.sparkSession, [partial(write_table, df, root, name, version) for name, df in parents.items()])
         return dict(zip(parents, written))
 
-    middle = stored(_line_parents(tables, rule, sited))
-    upper = stored(_upper_parents(tables, rule, middle["commandes"], middle["produits"]))
+    parents = _line_parents(tables, rule, sited)
+    middle = stored({name: df for name, df in parents.items() if wanted is None or name in wanted})
+    upper = {} if wanted is not None else stored(_upper_parents(tables, rule, middle["commandes"], middle["produits"]))
     frags = {**upper, **middle, "lignes_commandes": sited}
     commit_whole(frags, root, version)
     return frags

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from sitewise.operators.fragments import union_sites
 from sitewise.operators.routing import placed
 from sitewise.rules import NOWHERE, Rule
-from sitewise.schema import DEFAULT_LENGTH, FOREIGN_KEYS, KEYS, LENGTHS, NOT_NULL, SCHEMAS, SITE_LINE_CLIENT
+from sitewise.schema import DEFAULT_LENGTH, KEYS, LENGTHS, NOT_NULL, SCHEMAS, references_of
 from sitewise.sources.snapshots import Frags
 from sitewise.sources.tables import Tables
 
@@ -63,26 +63,30 @@ def check_pk(tables: Tables, per_site: bool = False) -> DataFrame:
 
 
 def check_fk(tables: Tables, per_site: bool = False) -> DataFrame:
-    """Per reference, child rows whose parent is not there. A missing reference is legal."""
-    references = list(FOREIGN_KEYS)
-    if "id_client" in tables["lignes_commandes"].columns:
-        references.append(SITE_LINE_CLIENT)
+    """Per reference, child rows whose parent is not there. A missing reference is legal.
+
+    All references go through one grouping and one join: a child is read once, whatever it refers to, and
+    a key named by very many rows is one row before the join.
+    """
+    references = references_of(tables)
     site = ["site"] if per_site else []
-    reports = []
-    for child, column, parent in references:
-        # Children per key first: a key named by very many rows becomes one row before the join.
-        named = (
-            tables[child].where(F.col(column).isNotNull()).groupBy(*site, column).agg(F.count(F.lit(1)).alias("n"))
-        )
-        orphans = named.join(
-            tables[parent].select(*site, F.col(KEYS[parent]).alias(column)), [*site, column], "left_anti"
-        )
-        reports.append(
-            orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")).select(
-                F.lit(child).alias("child"), F.lit(column).alias("reference"), F.lit(parent).alias("parent"), "orphans"
-            )
-        )
-    return union_sites(reports)
+    on = [*site, "_reference", "_key"]
+
+    def named(child: str) -> DataFrame:
+        own = [F.struct(F.lit(i).alias("_reference"), F.col(column).alias("_key")) for i, (c, column, _) in enumerate(references) if c == child]
+        return tables[child].select(*site, F.explode(F.array(*own)).alias("_r")).select(*site, "_r.*").where(F.col("_key").isNotNull())
+
+    children = union_sites([named(child) for child in dict.fromkeys(c for c, _, _ in references)])
+    parents = union_sites(
+        [tables[parent].select(*site, F.lit(i).alias("_reference"), F.col(KEYS[parent]).alias("_key")) for i, (_, _, parent) in enumerate(references)]
+    )
+    orphans = children.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).join(parents, on, "left_anti")
+    total = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("_reference") == i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in range(len(references))])
+    reports = [
+        F.struct(F.lit(child).alias("child"), F.lit(column).alias("reference"), F.lit(parent).alias("parent"), F.col(f"n{i}").alias("orphans"))
+        for i, (child, column, parent) in enumerate(references)
+    ]
+    return total.select(F.explode(F.array(*reports)).alias("r")).select("r.*")
 
 
 def rejections(rejected: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from sitewise.operators import capture as CP
 from sitewise.operators import changes as CH
 from sitewise.operators import fragments as FR
 from sitewise.operators import maintain as M
+from sitewise.operators import purge as PU
 from sitewise.operators import quality as Q
 from sitewise.operators.routing import route
 from sitewise.plans import feed as FD
@@ -415,7 +416,9 @@ def orders_per_client_named(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _revenue(rule, discount: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = load_test_tables(spark, sf_dir)
-        total = A.revenue_by_category(_loaded(spark, t, rule), t, YEAR, discount)
+        # An absolute discount goes by the sites' own products.
+        wanted = ["commandes", "produits"] if discount == "absolute" else ["commandes"]
+        total = A.revenue_by_category(FR.load_sites(t, rule, workdir(spark, "sites"), wanted=wanted), t, YEAR, discount)
         return total.withColumn("chiffre_affaires", F.col("chiffre_affaires").cast("double"))
 
     return run
@@ -813,6 +816,17 @@ def purge_by_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(M.purge(frags, predicates))
 
 
+@query
+def purge_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clients of a country and a supplier off every site, with all that names them."""
+    frags = _loaded(spark, load_test_tables(spark, sf_dir), BY_VOLUME)
+    keys = {
+        "clients": frags["clients"].where(F.col("pays") == "7").select("id_client"),
+        "fournisseurs": frags["fournisseurs"].where(F.col("id_fournisseur") == 5).select("id_fournisseur"),
+    }
+    return _digest(PU.purge_closure(frags, keys))
+
+
 def _global_after(rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables, frags = _before(spark, sf_dir, rule)

@@ -660,6 +660,32 @@ def _purged() -> str:
     return _sql(_digest("p", False), {f"p_{t}": f"SELECT * FROM g2_{t} WHERE NOT coalesce({c}, FALSE)" for t, c in cut.items()})
 
 
+def _closed() -> str:
+    """Rows that name a row that goes, go: over all references at once, site by site."""
+    references = [
+        ("produits", "id_fournisseur", "fournisseurs"),
+        ("produits", "id_categorie", "categories"),
+        ("commandes", "id_employe", "employes"),
+        ("commandes", "id_client", "clients"),
+        ("lignes", "id_commande", "commandes"),
+        ("lignes", "id_produit", "produits"),
+    ]
+    keys = {**_TABLES, "lignes": "id_ligne_commande"}
+    views = {
+        "naming": " UNION ALL ".join(
+            f"SELECT '{parent}' AS parent, {column} AS named, site, '{child}' AS child, {keys[child]} AS own FROM g2_{child}"
+            for child, column, parent in references
+        ),
+        "gone_walk": """
+SELECT 'clients' AS tbl, id_client AS id, site FROM g2_clients WHERE pays = '7'
+UNION SELECT 'fournisseurs', id_fournisseur, site FROM g2_fournisseurs WHERE id_fournisseur = 5
+UNION SELECT n.child, n.own, n.site FROM gone_walk w JOIN naming n ON n.parent = w.tbl AND n.named = w.id AND n.site = w.site""",
+    }
+    for t, k in keys.items():
+        views[f"p_{t}"] = f"SELECT * FROM g2_{t} WHERE (site, {k}) NOT IN (SELECT (site, id) FROM gone_walk WHERE tbl = '{t}')"
+    return _sql(_digest("p", False), views)
+
+
 def _replicas() -> str:
     views = {f"q_{t}": f"SELECT *, 1 AS site FROM {t} UNION ALL SELECT *, 2 AS site FROM {t}" for t in _TABLES}
     views["q_lignes"] = "SELECT * FROM g1_lignes"
@@ -836,6 +862,7 @@ WHEN action = 'UPDATE' AND (coalesce(quantite, 1) <= 0 OR coalesce(remise, 0) <
         "replay_changes_s2": _sql(_digest("y2", False, "y2_bad")),
         "replicate_parents": _replicated(),
         "purge_by_keys": _purged(),
+        "purge_closure": _closed(),
         "apply_changes_global": _sql(f"SELECT {_LINE_COLUMNS} FROM after1"),
         "check_domain": _domain(),
         "check_primary_key": _primary_keys(),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import types as T
 
 LONG = T.LongType()
@@ -114,6 +116,14 @@ FOREIGN_KEYS: list[tuple[str, str, str]] = [
 # The line table of a site under the by-query rule also names its client.
 SITE_LINE_CLIENT: tuple[str, str, str] = ("lignes_commandes", "id_client", "clients")
 
+
+
+def references_of(tables: Mapping) -> list[tuple[str, str, str]]:
+    """The references among these tables; lines that name their client refer to it too."""
+    own = [*FOREIGN_KEYS, *([SITE_LINE_CLIENT] if "id_client" in tables["lignes_commandes"].columns else [])]
+    return [(child, column, parent) for child, column, parent in own if child in tables and parent in tables]
+
+
 NOT_NULL: dict[str, list[str]] = {"clients": ["societe", "contact", "fonction"]}
 
 # Longest text allowed per column; columns not listed hold 100 characters.
