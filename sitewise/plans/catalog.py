@@ -18,6 +18,7 @@ from sitewise.operators import fragments as FR
 from sitewise.operators import maintain as M
 from sitewise.operators import purge as PU
 from sitewise.operators import quality as Q
+from sitewise.operators import rollup as RU
 from sitewise.operators.routing import route
 from sitewise.plans import feed as FD
 from sitewise.rules import SITES, STRICT, by_query, by_volume
@@ -428,6 +429,22 @@ _add("revenue_by_category_abs", _revenue(BY_QUERY, "absolute"))
 _add("revenue_by_category_rate", _revenue(BY_VOLUME, "rate"))
 
 
+@query
+def revenue_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue after the feed in four batches, kept up with each of them."""
+    tables = FD.tables_before(spark, sf_dir)
+    root = workdir(spark, "store")
+    ST.begin(root, tables, BY_QUERY)
+    parts = RU.keep_revenue(spark, f"{root}/sites", f"{root}/revenue", tables, RU.ABSOLUTE)
+    changes = settle(FD.change_feed(spark, sf_dir))
+    for k in range(4):
+        batch = changes.where(F.pmod(F.xxhash64("id_commande"), F.lit(4)) == k)
+        ST.apply_version(batch, root, tables, BY_QUERY, k)
+        parts = RU.keep_revenue(spark, f"{root}/sites", f"{root}/revenue", tables, RU.ABSOLUTE)
+    total = RU.revenue_of(parts, tables["categories"], YEAR, RU.ABSOLUTE)
+    return total.withColumn("chiffre_affaires", F.col("chiffre_affaires").cast("double"))
+
+
 @query
 def sum_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces per product: per site, then over the sites."""

@@ -783,6 +783,9 @@ JOIN clients c ON c.id_client = o.id_client WHERE {_YEAR} GROUP BY o.id_client,
         "revenue_by_category_rate": _revenue(
             "g2", "round(sum(CAST(l.quantite AS DECIMAL(10,0)) * p.prix_unitaire * (1 - l.remise)), 2)", "produits"
         ),
+        "revenue_kept_up": _revenue(
+            "z1", "sum(CAST(l.quantite AS DECIMAL(10,0)) * p.prix_unitaire - l.remise)", "z1_produits"
+        ),
         "sum_two_level": _sql("SELECT id_produit, CAST(sum(quantite) AS BIGINT) AS quantite FROM g2_lignes GROUP BY id_produit"),
         "count_existence": _sql(
             """SELECT id_commande, id_commande IN (SELECT id_commande FROM g2_lignes WHERE site = 1) AS on_site_1,
