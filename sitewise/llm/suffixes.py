@@ -1,22 +1,20 @@
-r"""Removal of repeated byte strings by a distributed, sampled suffix sort.
+r"""Removal of repeated byte strings over positions sampled by content.
 
 Every byte covered by a string of ``LENGTH`` bytes that also starts anywhere else is removed.
-The plan is that of a difference-cover suffix sort, cut off at ``LENGTH`` bytes:
-
-1. *Sample.* A cover of positions such that any two equal strings of ``LENGTH`` bytes hold a
-   sampled position at the same offset. A fixed difference cover modulo 3 would put two thirds
-   of all positions into the sort; this one is chosen by content (the position of the least
-   hash of ``GRAM`` bytes in each window), so that about one position in 85 is sampled.
-2. *Name.* Each sampled position gets two names: of the ``GRAM`` bytes at it, and of its stretch
-   (everything that the windows it was chosen for cover). They are sorted and counted:
-   a stretch found twice is repeated in whole, a sampled name found once is in no repeat.
-3. *Recurse.* Only positions whose name is repeated while their stretches differ go on: the edges of
-   repeats. One occurrence of each different stretch is taken.
-4. *Merge.* The remaining starts of these stretches are named by sampled name, offset to it and
-   their ``LENGTH`` bytes, sorted, and neighbours of equal name are repeats.
-
-Names are 64-bit hashes, compared only among equal other names (128 bits together), in
-place of ranks: equality decides, the order of different suffixes does not matter here.
+The dealt method is a difference-cover suffix sort: triples at covered positions sorted and ranked, recursion on
+the ranks, the other suffixes merged in. What is done here takes its idea, a sample that any two equal
+strings share, and replaces the sort: positions are hashed and counted, there are no ranks and no recursion.
+
+1. *Sample.* Positions chosen by content (the least hash of ``GRAM`` bytes in each window), about one in 85, so
+   that any two equal strings of ``LENGTH`` bytes hold a sampled position at the same offset.
+2. *Name.* Each sampled position gets two 64-bit names: of the ``GRAM`` bytes at it, and of its stretch
+   (everything that the windows it was chosen for cover). They are counted: a stretch found twice is
+   repeated in whole, a sampled name found once is in no repeat.
+3. *Edges.* Only positions whose name is repeated while their stretches differ go on. One occurrence of
+   each different stretch is taken, and the starts in it are named by sampled name and a hash of their
+   offset to it and their ``LENGTH`` bytes; equal ones are repeats.
+
+Equality rests on 128 bits of hashes together: a name and a stretch, or a name and a start.
 
 * Null text: empty. Texts under ``LENGTH`` bytes lose nothing. Null ids and repeated rows: a row each;
   copies of a text of ``LENGTH`` bytes lose all of it.
@@ -226,18 +224,19 @@ def edge_repeats(stretches: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def hot_edge_repeats(stretches: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The same for names with very many stretches: their starts are dealt out by sort key."""
+    """The same for names with very many stretches: their starts are dealt out by name and sort key."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             name, place = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             if len(name):
                 row, start, sort = _starts(name, place, batch.column(3).to_pylist(), length)
-                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row)), pa.array(start), pa.array(sort.view(np.int64))], ["key", "first", "sort"])
+                columns = [pa.array(name[row]), batch.column(1).take(pa.array(row)), pa.array(start), pa.array(sort.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["name", "key", "first", "sort"])
 
-    starts = settle(stretches.select("name", "key", "place", "data").mapInArrow(spread, "key binary, first long, sort long"))
-    twice = starts.groupBy("sort").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sort")
-    return starts.join(twice, "sort", "left_semi").select("key", "first", F.col("first").alias("last"))
+    starts = settle(stretches.select("name", "key", "place", "data").mapInArrow(spread, "name long, key binary, first long, sort long"))
+    twice = starts.groupBy("name", "sort").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "sort")
+    return starts.join(twice, ["name", "sort"], "left_semi").select("key", "first", F.col("first").alias("last"))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
