@@ -3,7 +3,7 @@
 Toxic documents go, one document of each group of near copies stays, documents that hold a
 benchmark item go, personal data is replaced by its kind in brackets, and what is left is
 packed into token sequences. Models are trained for each run: the toxicity field on labelled
-documents that are not held out, the personal-data field on a sample of the stage's input.
+documents that are not held out, the personal-data field on a small labelled table of its own.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    masked = pii.redact(docs, pii.train(pii.training_texts(docs)))
+    masked = pii.redact(docs, pii.train(pii.labelled_rows()))
     if "n_chars" not in docs.columns:
         return masked
     kind = docs.schema["n_chars"].dataType
