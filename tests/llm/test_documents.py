@@ -9,10 +9,12 @@ from collections import Counter
 import numpy as np
 import xxhash
 from tests.llm.conftest import CLASH
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitewise.llm import decontaminate, packing, pii, quality, sharding, simhash, suffixes, toxicity
 from sitewise.llm.components import components
+from sitewise.session import settle
 
 
 def by_id(df, *columns):
@@ -164,7 +166,7 @@ def test_pii_against_patterns(docs, none):
             want += [(m.start(), 3, m.end())] * (9 <= len(re.sub("[^0-9]", "", m[0])) <= 15)
         assert pii.base_spans(text) == [(pii.KINDS[k], a, b) for a, k, b in sorted(want)], text
     assert pii.base_spans("1" * 200_000) == []
-    chain = pii.train([f"call +1 ({i}17) 555-77{i} now or mail a{i}@b.org, at 10.0.{i}.1 please" for i in range(10, 40)])
+    chain = pii.train(pii.labelled_rows(each=10))
     ((base, spans),) = pii.find_spans(["we call +1 (817) 555-7788 190.1.2.3 now"], chain)
     assert base == [("ip", 26, 35)] and set(base) < set(spans)
     found = {r.doc_id: r for r in pii.find(docs, None).collect()}
@@ -174,6 +176,31 @@ def test_pii_against_patterns(docs, none):
     assert pii.find(none, chain).count() == pii.redact(none, chain).count() == 0
 
 
+def test_pii_in_notations_never_seen():
+    """The field finds the kinds in notations that its table lacks, and takes no near miss for one."""
+    unseen = {("email", "parentheses"), ("ip", "parentheses"), ("card", "slashes"), ("phone", "dots")}
+    chain = pii.train(pii.labelled_rows(without=frozenset(unseen)))
+    only = {kind: {name: make for name, make in forms.items() if (kind, name) in unseen} for kind, forms in pii.NOTATIONS.items()}
+    rows = pii.labelled_rows(seed=5, each=60, notations=only)
+    hits, false = Counter(), 0
+    for (_, labels), (base, spans) in zip(rows, pii.find_spans([t for t, _ in rows], chain), strict=True):
+        if labels:
+            ((kind, start, stop),) = labels
+            assert not base
+            hits[kind] += any(k == kind and a < stop and start < b for k, a, b in spans)
+        else:
+            false += len(spans) > len(base)
+    assert hits["email"] >= 48 and hits["ip"] >= 48 and hits["card"] >= 54 and hits["phone"] >= 20, hits
+    assert false <= 10
+
+
+def test_pii_reads_whole_words():
+    long = "x" * 5_000 + "-"
+    assert pii.shape("é" * 60 + "7" * 60 + "@") == "aaa999@" != pii.shape("é" * 60 + "7" * 60)
+    assert pii.measure(long + "4111.1111.1111.1111") == "16/4/ok/no octets"
+    assert pii.measure(long + "1.0.0.255") == "6/4/octets" and pii.measure(long + "a@b.org") == "@."
+
+
 def test_toxicity(docs, none, spark):
     rnd = random.Random(5)
     plain = [" ".join(rnd.choice(["house", "tree", "walk", "green", "lake"]) for _ in range(30)) for _ in range(120)]
@@ -358,4 +385,18 @@ def test_quality(docs, none, texts):
     for name, rule in rules.items():
         only = {r.doc_id for r in quality.features(docs).where(rule).collect()}
         assert only <= {r.doc_id for r in judged.where("rejected_by IS NOT NULL").collect()}, name
+    # Columns named like the rules' helpers come through, the helpers do not.
+    assert judged.columns == [*docs.columns[:2], *[c for c in docs.columns[2:] if c not in ("n_words", "rejected_by")],
+                              "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "rejected_by"]
+    odd = docs.select("doc_id", "text", F.lit(7).alias("_words"), F.lit("z").alias("_lines"))
+    back = quality.cascade(odd, quality.default_rules())
+    assert {(r["_words"], r["_lines"]) for r in back.select("_words", "_lines").collect()} == {(7, "z")}
     assert quality.cascade(none, quality.default_rules()).count() == 0
+
+
+def test_rules_of_no_cost_apart_go_by_what_they_reject(spark):
+    """The order does not depend on how long a job takes to start."""
+    sample = settle(spark.range(2_000).selectExpr("CAST(id AS STRING) AS text"))
+    rules = {"none": F.lit(False), "some": F.col("text") < "2", "most": F.col("text") < "9", "all": F.col("text") < "a"}
+    for _ in range(2):
+        assert quality.order_rules(sample, rules) == ["all", "most", "some", "none"]
