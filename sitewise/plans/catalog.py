@@ -18,6 +18,7 @@ from sitewise.operators import fragments as FR
 from sitewise.operators import maintain as M
 from sitewise.operators import purge as PU
 from sitewise.operators import quality as Q
+from sitewise.operators import recategorize as RC
 from sitewise.operators import rollup as RU
 from sitewise.operators.routing import route
 from sitewise.plans import feed as FD
@@ -909,6 +910,23 @@ def audit_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.audit(after, frags, BY_QUERY).select(_LINE, _int("expected"), _int("actual"))
 
 
+@query
+def change_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every product of categories 9, 35 and 50 passed on to the next of them; the sites after it, and what is out of place then."""
+    tables = load_test_tables(spark, sf_dir)
+    category = F.col("id_categorie")
+    following = F.when(category == 9, 35).when(category == 35, 50).otherwise(9).cast("bigint")
+    moves = tables["produits"].where(category.isin(9, 35, 50)).select("id_produit", following.alias("id_categorie"))
+    after, frags, refused = RC.change_categories(tables, _loaded(spark, tables, BY_QUERY), settle(moves), BY_QUERY)
+    misplaced = Q.audit(after, frags, BY_QUERY)
+    none = F.lit(0).cast("bigint")
+    shown = misplaced.select(
+        F.lit("misplaced").alias("tbl"), _int("actual").alias("site"), F.col(_LINE).alias("id"), none.alias("id_produit"),
+        none.alias("quantite"), F.lit(0.0).alias("remise"), none.alias("id_client"),
+    )
+    return FR.union_sites([_digest(frags, refused), shown])
+
+
 def _counts(rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return Q.site_counts(_loaded(spark, load_test_tables(spark, sf_dir), rule)).select("tbl", _int("site"), "nb")

@@ -686,6 +686,25 @@ UNION SELECT n.child, n.own, n.site FROM gone_walk w JOIN naming n ON n.parent =
     return _sql(_digest("p", False), views)
 
 
+def _recategorized() -> str:
+    """Lines by the new categories; orders and clients as those lines name them; what else was there stays, and
+    parents of what came are there too."""
+    category = "CASE id_categorie WHEN 9 THEN 35 WHEN 35 THEN 50 WHEN 50 THEN 9 ELSE id_categorie END"
+    views = {
+        "nouveaux": f"SELECT * REPLACE ({category} AS id_categorie) FROM produits",
+        "h_lignes": VIEWS["g1_lignes"].replace("JOIN produits p", "JOIN nouveaux p"),
+        "h_commandes": _parents("commandes", "h_lignes", "id_commande"),
+        "h_clients": _parents("clients", "h_commandes", "id_client"),
+        "h_employes": f"SELECT * FROM g1_employes UNION {_parents('employes', 'h_commandes', 'id_employe').replace('UNION ALL', 'UNION')}",
+        "tenus": f"SELECT id_produit, id_fournisseur, {category} AS id_categorie, site FROM g1_produits",
+        "h_produits": "SELECT * FROM tenus UNION SELECT DISTINCT p.id_produit, p.id_fournisseur, p.id_categorie, l.site "
+        "FROM nouveaux p JOIN h_lignes l ON l.id_produit = p.id_produit",
+        "h_fournisseurs": f"SELECT * FROM g1_fournisseurs UNION {_parents('fournisseurs', 'h_produits', 'id_fournisseur').replace('UNION ALL', 'UNION')}",
+        "h_categories": f"SELECT * FROM g1_categories UNION {_parents('categories', 'h_produits', 'id_categorie').replace('UNION ALL', 'UNION')}",
+    }
+    return _sql(_digest("h", True), views)
+
+
 def _replicas() -> str:
     views = {f"q_{t}": f"SELECT *, 1 AS site FROM {t} UNION ALL SELECT *, 2 AS site FROM {t}" for t in _TABLES}
     views["q_lignes"] = "SELECT * FROM g1_lignes"
@@ -884,6 +903,7 @@ SELECT id_ligne_commande, id_commande, new_id_produit, new_quantite, new_remise
                 "v1_lignes": VIEWS["g1_lignes"].replace("FROM lignes l", "FROM unchecked l"),
             },
         ),
+        "change_categories": _recategorized(),
         "site_counts": _sql(_both(counts.format("g1"), counts.format("g2"))),
         "stream_route_changes": _actions("TRUE"),
         "stream_apply_changes": _sql(_digest("z1", True, "f1_bad")),
