@@ -29,7 +29,7 @@ from sitewise.sources.keys import assign_surrogate_key
 from sitewise.sources.scripts import load_script
 from sitewise.sources.sequences import number_load
 from sitewise.sources.snapshots import Frags
-from sitewise.sources.tables import Tables, load_global, load_test_tables, numbered_lines, raw, save_global
+from sitewise.sources.tables import Tables, as_lines, load_global, load_test_tables, numbered_lines, raw, save_global, stored_lines
 from sitewise.streaming import feed as ST
 from sitewise.streaming import ordered as OR
 
@@ -433,11 +433,12 @@ _add("revenue_by_category_rate", _revenue(BY_VOLUME, "rate"))
 @query
 def revenue_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue after the feed in four batches, kept up with each of them."""
-    tables = FD.tables_before(spark, sf_dir)
+    numbered = stored_lines(spark, sf_dir)
+    tables = FD.tables_before(spark, sf_dir, numbered)
     root = workdir(spark, "store")
     ST.begin(root, tables, BY_QUERY)
     parts = RU.keep_revenue(spark, f"{root}/sites", f"{root}/revenue", tables, RU.ABSOLUTE)
-    changes = settle(FD.change_feed(spark, sf_dir))
+    changes = settle(FD.change_feed(spark, sf_dir, numbered))
     for k in range(4):
         batch = changes.where(F.pmod(F.xxhash64("id_commande"), F.lit(4)) == k)
         ST.apply_version(batch, root, tables, BY_QUERY, k)
@@ -647,8 +648,18 @@ def compact_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def tied_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders that must be taken together in a feed that brings returned lines back under the client's next order."""
-    moved = settle(FD.moved_changes(spark, sf_dir, FD.change_feed(spark, sf_dir)))
-    return M.tied_orders(M.line_orders(moved, [FD.tables_before(spark, sf_dir)["lignes_commandes"]]))
+    numbered = stored_lines(spark, sf_dir)
+    moved = settle(_moved(spark, sf_dir, numbered).select(_LINE, "id_commande"))
+    return M.tied_orders(M.line_orders(moved, [_lines_before(numbered)]))
+
+
+def _moved(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> DataFrame:
+    return FD.moved_changes(spark, sf_dir, settle(FD.change_feed(spark, sf_dir, numbered)), numbered)
+
+
+def _lines_before(numbered: DataFrame) -> DataFrame:
+    """The line table before the feed."""
+    return R.conform(as_lines(numbered.where(F.col("l_linenumber") != FD.NEW)), S.SCHEMAS["lignes_commandes"])
 
 
 def _captured(feed: DataFrame) -> DataFrame:
@@ -666,17 +677,19 @@ def _captured(feed: DataFrame) -> DataFrame:
 @query
 def capture_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed between the line table as it is before the moving feed and as it stands in the end."""
-    old = FD.tables_before(spark, sf_dir)["lignes_commandes"]
-    moved = CH.compact(FD.moved_changes(spark, sf_dir, FD.change_feed(spark, sf_dir)))
+    numbered = stored_lines(spark, sf_dir)
+    old = _lines_before(numbered)
+    moved = settle(CH.compact(_moved(spark, sf_dir, numbered)))
     return _captured(CP.capture_changes(old, CH.apply_changes_global(old, moved)))
 
 
 def _two_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Lines as of version 0 of a store, and what is captured between it and the version that the feed makes."""
-    tables = FD.tables_before(spark, sf_dir)
+    numbered = stored_lines(spark, sf_dir)
+    tables = FD.tables_before(spark, sf_dir, numbered)
     root = workdir(spark, "store")
     ST.begin(root, tables, BY_QUERY)
-    ST.apply_version(FD.change_feed(spark, sf_dir), root, tables, BY_QUERY, 0)
+    ST.apply_version(FD.change_feed(spark, sf_dir, numbered), root, tables, BY_QUERY, 0)
     old = ST.state(spark, root, tables, 0)[0]["lignes_commandes"]
     return old, CP.capture_between(spark, f"{root}/global", 0, 1)
 
@@ -696,9 +709,9 @@ def capture_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- fragment maintenance
 
 
-def _before(spark: SparkSession, sf_dir: str, rule) -> tuple[Tables, Frags]:
+def _before(spark: SparkSession, sf_dir: str, rule, numbered: DataFrame | None = None) -> tuple[Tables, Frags]:
     """Tables and fragments as they stand before the feed, the fragments stored."""
-    tables = FD.tables_before(spark, sf_dir)
+    tables = FD.tables_before(spark, sf_dir, numbered)
     return tables, FR.load_sites(tables, rule, workdir(spark, "sites"))
 
 
@@ -710,9 +723,9 @@ def validate_line_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("seq", _int("step"), "action", F.coalesce("error_code", F.lit(0)).alias("error_code"))
 
 
-def _calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
+def _calls(spark: SparkSession, sf_dir: str, rule, numbered: DataFrame | None = None) -> DataFrame:
     """Test lines with their line number, their site under a rule and the line columns."""
-    numbered = numbered_lines(spark, sf_dir)
+    numbered = numbered_lines(spark, sf_dir) if numbered is None else numbered
     lines = numbered.select(
         _LINE,
         F.col("l_orderkey").alias("id_commande"),
@@ -725,11 +738,11 @@ def _calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
     return route(lines, load_test_tables(spark, sf_dir)["produits"], rule)
 
 
-def insert_calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
+def insert_calls(spark: SparkSession, sf_dir: str, rule, numbered: DataFrame | None = None) -> DataFrame:
     """Inserts at the sites, by line number: 5 the new lines at their site (twice over),
     1 lines that are there already, 2 at the other site (site 1 where there is none),
     6 with a negative quantity."""
-    lines = _calls(spark, sf_dir, rule)
+    lines = _calls(spark, sf_dir, rule, numbered)
     number = F.col("number")
     other = F.when(F.col("site") == 1, 2).otherwise(1)
     calls = (
@@ -746,11 +759,11 @@ def insert_calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
     )
 
 
-def update_calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
+def update_calls(spark: SparkSession, sf_dir: str, rule, numbered: DataFrame | None = None) -> DataFrame:
     """Updates at the sites, by line number: 2 another quantity, 3 another product (a returned
     line one that does not exist, else the smallest), 4 a negative discount, 1 at the
     other site, 6 nothing (all values kept)."""
-    lines = _calls(spark, sf_dir, rule).where(F.col("site") > 0)
+    lines = _calls(spark, sf_dir, rule, numbered).where(F.col("site") > 0)
     number = F.col("number")
     none = F.lit(None)
     product = F.when(number == FD.MOVED, F.when(F.col("flag") == "R", F.col("id_produit") + 1_000_000_000).otherwise(F.lit(1)))
@@ -767,9 +780,9 @@ def update_calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
     )
 
 
-def delete_calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
+def delete_calls(spark: SparkSession, sf_dir: str, rule, numbered: DataFrame | None = None) -> DataFrame:
     """Deletes at the sites: line numbers 1 to 3 at their site, 4 at the other one."""
-    lines = _calls(spark, sf_dir, rule).where(F.col("site") > 0)
+    lines = _calls(spark, sf_dir, rule, numbered).where(F.col("site") > 0)
     wrong = F.col("number") == FD.DISCOUNTED
     return lines.where(F.col("number") <= FD.DISCOUNTED).select(
         F.col(_LINE).alias("seq"),
@@ -780,8 +793,9 @@ def delete_calls(spark: SparkSession, sf_dir: str, rule) -> DataFrame:
 
 def _procedure(procedure, calls, rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables, frags = _before(spark, sf_dir, rule)
-        return _digest(*procedure(frags, tables, calls(spark, sf_dir, rule), rule.policy))
+        numbered = stored_lines(spark, sf_dir)
+        tables, frags = _before(spark, sf_dir, rule, numbered)
+        return _digest(*procedure(frags, tables, calls(spark, sf_dir, rule, numbered), rule.policy))
 
     return run
 
@@ -795,8 +809,9 @@ _add("delete_lines_cascade", _both(lambda rule: _procedure(M.delete_lines, delet
 
 def _batch(rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables, frags = _before(spark, sf_dir, rule)
-        _, after, rejected = M.apply_batch(tables, frags, FD.change_feed(spark, sf_dir), rule)
+        numbered = stored_lines(spark, sf_dir)
+        tables, frags = _before(spark, sf_dir, rule, numbered)
+        _, after, rejected = M.apply_batch(tables, frags, FD.change_feed(spark, sf_dir, numbered), rule)
         return _digest(after, rejected)
 
     return run
@@ -847,8 +862,9 @@ def purge_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _global_after(rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables, frags = _before(spark, sf_dir, rule)
-        after, _, _ = M.apply_batch(tables, frags, FD.change_feed(spark, sf_dir), rule)
+        numbered = stored_lines(spark, sf_dir)
+        tables, frags = _before(spark, sf_dir, rule, numbered)
+        after, _, _ = M.apply_batch(tables, frags, FD.change_feed(spark, sf_dir, numbered), rule)
         return after["lignes_commandes"].select(*_line_columns())
 
     return run
@@ -891,11 +907,12 @@ def check_foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rejection_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the strict procedures refuse, per code and kind."""
-    tables, frags = _before(spark, sf_dir, BY_VOLUME)
+    numbered = stored_lines(spark, sf_dir)
+    tables, frags = _before(spark, sf_dir, BY_VOLUME, numbered)
     refused = [
-        M.insert_lines(frags, tables, insert_calls(spark, sf_dir, BY_VOLUME), STRICT)[1],
-        M.update_lines(frags, tables, update_calls(spark, sf_dir, BY_VOLUME), STRICT)[1],
-        M.delete_lines(frags, tables, delete_calls(spark, sf_dir, BY_VOLUME), STRICT)[1],
+        M.insert_lines(frags, tables, insert_calls(spark, sf_dir, BY_VOLUME, numbered), STRICT)[1],
+        M.update_lines(frags, tables, update_calls(spark, sf_dir, BY_VOLUME, numbered), STRICT)[1],
+        M.delete_lines(frags, tables, delete_calls(spark, sf_dir, BY_VOLUME, numbered), STRICT)[1],
     ]
     return Q.rejections(FR.union_sites(refused)).select("error_code", "kind", "nb")
 
@@ -973,10 +990,11 @@ _add("stream_route_changes", _both(_stream_routed))
 @query
 def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed applied in four micro-batches, each a new version of all tables."""
-    tables = FD.tables_before(spark, sf_dir)
+    numbered = stored_lines(spark, sf_dir)
+    tables = FD.tables_before(spark, sf_dir, numbered)
     root = workdir(spark, "store")
     ST.begin(root, tables, BY_QUERY)
-    stream = ST.read_feed(spark, *_feed_files(spark, settle(FD.change_feed(spark, sf_dir))))
+    stream = ST.read_feed(spark, *_feed_files(spark, settle(FD.change_feed(spark, sf_dir, numbered))))
     ST.drain(ST.stream_apply(stream, root, tables, BY_QUERY, workdir(spark, "offsets")))
     _, frags = ST.state(spark, root, tables)
     return _digest(frags, ST.rejected_changes(spark, root))
@@ -985,11 +1003,12 @@ def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_replay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed replayed from files out of order, then its changes of discounts once more, too late to count."""
-    tables = FD.tables_before(spark, sf_dir)
+    numbered = stored_lines(spark, sf_dir)
+    tables = FD.tables_before(spark, sf_dir, numbered)
     root = workdir(spark, "store")
     ST.begin(root, tables, BY_VOLUME)
     begin = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
-    changes = FD.change_feed(spark, sf_dir)
+    changes = FD.change_feed(spark, sf_dir, numbered)
     changes = settle(changes.withColumn("at", F.timestamp_millis(F.lit(int(begin.timestamp() * 1000)) + F.col("seq"))))
     path, files = _feed_files(spark, changes, (1, 0, 3, 2))
     low, high = changes.agg(F.min("at"), F.max("at")).first()

@@ -16,7 +16,7 @@ from sitewise.schema import CHANGES, RATE
 from sitewise.functions.prefix import row_numbers
 from sitewise.functions.relations import conform
 from sitewise.session import settle
-from sitewise.sources.tables import Tables, as_lines, load_test_tables, numbered_lines, raw
+from sitewise.sources.tables import Tables, as_lines, load_test_tables, numbered_lines, raw, store_tables
 
 DELETED, FLIPPED, MOVED, DISCOUNTED, NEW, NEGATED = range(1, 7)
 CATEGORIES = (35, 50)
@@ -26,7 +26,9 @@ def _new_products(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> Data
     """Adds ``target``: the product that a moved line changes to, NULL for no change."""
     part = raw(spark, sf_dir, "part").where(F.col("p_size").isin(*CATEGORIES))
     low, high = CATEGORIES
-    smallest = part.groupBy("p_size").agg(F.min("p_partkey").alias("smallest"))
+    # Stored: a small share of the products, which is known only then.
+    part = settle(part.select(F.col("p_partkey").alias("l_partkey"), "p_size"))
+    smallest = part.groupBy("p_size").agg(F.min("l_partkey").alias("smallest"))
     same = smallest.select("p_size", F.lit(True).alias("returned"), F.col("smallest").alias("target"))
     other = smallest.select(
         (F.lit(low + high) - F.col("p_size")).alias("p_size"),
@@ -35,13 +37,15 @@ def _new_products(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> Data
     )
     # Two categories, returned or not: four rows at any scale.
     targets = F.broadcast(same.unionByName(other))
-    sized = lookup(numbered, part.select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey", ["p_size"])
+    sized = lookup(numbered, part, "l_partkey", ["p_size"])
     return sized.withColumn("returned", F.col("l_returnflag") == "R").join(targets, ["p_size", "returned"], "left")
 
 
-def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def change_feed(spark: SparkSession, sf_dir: str, numbered: DataFrame | None = None) -> DataFrame:
+    """The feed, from the stored lines where there are some."""
     number = F.col("l_linenumber")
-    touched = _new_products(spark, sf_dir, numbered_lines(spark, sf_dir).where(number <= NEGATED))
+    numbered = numbered_lines(spark, sf_dir) if numbered is None else numbered
+    touched = _new_products(spark, sf_dir, numbered.where(number <= NEGATED))
     quantity = F.col("l_quantity").cast("bigint")
     discount = F.col("l_discount").cast(RATE)
     op = F.when(number == DELETED, "D").when(number == NEW, "I").otherwise("U")
@@ -88,20 +92,26 @@ def later_changes(feed: DataFrame) -> DataFrame:
     return feed.withColumn("seq", F.col("seq") * 2).unionByName(second)
 
 
-def moved_changes(spark: SparkSession, sf_dir: str, feed: DataFrame) -> DataFrame:
+def moved_changes(spark: SparkSession, sf_dir: str, feed: DataFrame, numbered: DataFrame | None = None) -> DataFrame:
     """``later_changes``, but a deleted line that was returned comes back under its client's next order, where there is one."""
     orders = raw(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
     placed = settle(row_numbers(orders, ["o_custkey"], ["o_orderkey"], "place"))
     following = placed.select("o_custkey", F.col("o_orderkey").alias("next"), (F.col("place") - 1).alias("place"))
     pairs = placed.join(following, ["o_custkey", "place"]).select(F.col("o_orderkey").alias("l_orderkey"), "next")
-    returned = numbered_lines(spark, sf_dir).where((F.col("l_linenumber") == DELETED) & (F.col("l_returnflag") == "R"))
-    target = returned.join(pairs, "l_orderkey").select("id_ligne_commande", "next", F.lit("I").alias("op"))
-    moved = later_changes(feed).withColumn("late", F.col("seq") % 2 == 1).join(target, ["id_ligne_commande", "op"], "left")
-    return conform(moved.withColumn("id_commande", F.when(F.col("late"), F.coalesce("next", "id_commande")).otherwise(F.col("id_commande"))), CHANGES)
+    numbered = numbered_lines(spark, sf_dir) if numbered is None else numbered
+    returned = numbered.where((F.col("l_linenumber") == DELETED) & (F.col("l_returnflag") == "R"))
+    target = returned.join(pairs, "l_orderkey").select("id_ligne_commande", "next")
+    every = later_changes(feed)
+    # Only these can move; all other changes are passed on where they lie.
+    back = (F.col("op") == "I") & (F.col("seq") % 2 == 1)
+    moved = every.where(back).join(target, "id_ligne_commande", "left").withColumn("id_commande", F.coalesce("next", "id_commande"))
+    return conform(moved, CHANGES).unionByName(conform(every.where(~back), CHANGES))
 
 
-def tables_before(spark: SparkSession, sf_dir: str) -> Tables:
-    """The tables before the feed: without the lines that it brings."""
-    tables = load_test_tables(spark, sf_dir)
-    present = numbered_lines(spark, sf_dir).where(F.col("l_linenumber") != NEW)
+def tables_before(spark: SparkSession, sf_dir: str, numbered: DataFrame | None = None) -> Tables:
+    """The tables before the feed: without the lines that it brings. From stored lines all derived tables are stored."""
+    tables = load_test_tables(spark, sf_dir, numbered)
+    if numbered is not None:
+        tables = store_tables(tables)
+    present = (numbered_lines(spark, sf_dir) if numbered is None else numbered).where(F.col("l_linenumber") != NEW)
     return {**tables, "lignes_commandes": conform(as_lines(present), tables["lignes_commandes"].schema)}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sitewise.functions.prefix import row_numbers
 from sitewise.functions.relations import conform, lookup
 from sitewise.schema import PRICE, RATE, SCHEMAS
-from sitewise.session import together
+from sitewise.session import settle, together
 
 Tables = dict[str, DataFrame]
 
@@ -77,6 +77,15 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.withColumn("id_ligne_commande", (F.col("l_orderkey") + 1) * LINES_PER_ORDER + place).drop("rn")
 
 
+# What the line table, the orders, the feeds and the calls are made of.
+_NUMBERED = ["id_ligne_commande", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"]
+
+
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``numbered_lines``, stored: for queries that go over the lines more than once. The lines of an order lie together."""
+    return settle(numbered_lines(spark, sf_dir).select(*_NUMBERED))
+
+
 def as_lines(numbered: DataFrame) -> DataFrame:
     return numbered.select(
         "id_ligne_commande",
@@ -87,15 +96,18 @@ def as_lines(numbered: DataFrame) -> DataFrame:
     )
 
 
-def load_test_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The seven tables as views over the test tables. Nothing is read until a query needs it."""
+def load_test_tables(spark: SparkSession, sf_dir: str, numbered: DataFrame | None = None) -> Tables:
+    """The seven tables as views over the test tables. Nothing is read until a query needs it. Lines that are stored
+    already come as ``numbered``."""
     lineitem = raw(spark, sf_dir, "lineitem")
+    dated = lineitem if numbered is None else numbered
+    numbered = numbered_lines(spark, sf_dir) if numbered is None else numbered
     part = raw(spark, sf_dir, "part")
     orders = raw(spark, sf_dir, "orders")
 
     employee = F.substring("o_orderpriority", 1, 1).cast("bigint")
     supplier_of = lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_suppkey").alias("s_suppkey"))
-    delivered = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("shipped"))
+    delivered = dated.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("shipped"))
 
     sources = {
         "fournisseurs": raw(spark, sf_dir, "supplier").select(
@@ -130,6 +142,13 @@ def load_test_tables(spark: SparkSession, sf_dir: str) -> Tables:
             F.col("o_orderdate").alias("date_commande"),
             F.col("shipped").alias("date_livraison"),
         ),
-        "lignes_commandes": as_lines(numbered_lines(spark, sf_dir)),
+        "lignes_commandes": as_lines(numbered),
     }
     return {name: conform(sources[name], SCHEMAS[name]) for name in SCHEMAS}
+
+
+def store_tables(tables: Tables) -> Tables:
+    """The tables with those that a join or a grouping derives written down, once for all jobs that read them."""
+    names = ["commandes", "produits", "categories", "employes"]
+    written = together(tables["commandes"].sparkSession, [partial(settle, tables[name]) for name in names])
+    return {**tables, **dict(zip(names, written))}
