@@ -25,16 +25,17 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sitewise import schema as S
 from sitewise.functions.columns import error_message
-from sitewise.functions.prefix import HOT_ROWS, running_sums
+from sitewise.functions.prefix import HOT_ROWS, find_hot, running_sums
 from sitewise.functions.relations import anti, exists_flag, semi
 from sitewise.functions.ties import connected
 from sitewise.operators.changes import classify
 from sitewise.operators.fragments import named_by
-from sitewise.rules import NOWHERE, SITES, STRICT, Rule
+from sitewise.rules import NOWHERE, SITES, STRICT, ByQuery, Rule
 from sitewise.session import settle, together
 from sitewise.sources.snapshots import Delta, Deltas, Frags, apply_deltas, merge
 from sitewise.sources.tables import Tables
@@ -145,35 +146,56 @@ def _order_states(frags: Frags, tables: Tables, named: DataFrame, strict: bool)
     )
 
 
-def _stage(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> DataFrame:
-    """Every change with the state it meets and the code that no other change can alter."""
-    strict = policy == STRICT
-    held = settle(semi(frags["lignes_commandes"], rows, _LINE))
-    current = held.select(
-        _LINE,
-        F.col("site").alias("site_from"),
-        F.col("id_commande").alias("cur_commande"),
-        *[F.col(c).alias(f"cur_{c}") for c in _VALUES],
-        (F.col("id_client") if "id_client" in held.columns else F.lit(None).cast("bigint")).alias("cur_client"),
-        F.lit(True).alias("at_from"),
+def _with_lines(lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows with the line as it is at ``site_from``, and whether it is at ``site_to``. The lines of each site meet them
+    by id alone, so that rows and lines are dealt out once."""
+    columns = ["id_commande", *_VALUES, *(["id_client"] if "id_client" in lines.columns else [])]
+    met = rows
+    for s in SITES:
+        own = semi(lines.where(F.col("site") == s), rows, _LINE)
+        met = met.join(own.select(_LINE, *[F.col(c).alias(f"_{c}{s}") for c in columns], F.lit(True).alias(f"_at{s}")), _LINE, "left")
+    at_from = F.col("site_from")
+    return met.select(
+        *[c for c in rows.columns if c != "id_commande"],
+        F.coalesce(_pick(at_from, "_id_commande"), "id_commande").alias("id_commande"),
+        *[_pick(at_from, f"_{c}").alias(f"cur_{c}") for c in _VALUES],
+        (_pick(at_from, "_id_client") if "id_client" in columns else F.lit(None).cast("bigint")).alias("cur_client"),
+        _holds(_pick(at_from, "_at")).alias("at_from"),
+        _holds(_pick(F.col("site_to"), "_at")).alias("at_to"),
     )
-    taken = held.select(_LINE, F.col("site").alias("site_to"))
-    met = rows.join(current, [_LINE, "site_from"], "left").withColumn("at_from", _holds(F.col("at_from")))
-    met = exists_flag(met, taken, [_LINE, "site_to"], "at_to", unique=True)
-    met = met.withColumn("id_commande", F.coalesce("cur_commande", "id_commande")).drop("cur_commande")
 
-    wanted = rows.select("id_commande").unionByName(held.select("id_commande")).where(F.col("id_commande").isNotNull())
+
+def _at(site: Column) -> Column:
+    return F.coalesce(site, F.lit(NOWHERE)).alias("_at")
+
+
+def _unknown_products(frags: Frags, tables: Tables, rows: DataFrame, strict: bool) -> DataFrame:
+    """``id_produit`` and site (``_at``) that rows name and that are neither at that site nor (unless strict) to be had from the
+    global table. Stored: few as a rule, and then the rows need not be dealt out by product."""
+    on = ["id_produit", "_at"]
+    pairs = rows.select("id_produit", _at(F.col("site_to"))).where(F.col("id_produit").isNotNull()).distinct()
+    unknown = pairs.join(frags["produits"].select("id_produit", _at(F.col("site"))), on, "left_anti")
+    if not strict:
+        whole = tables["produits"].where(F.col("id_fournisseur").isNotNull() & F.col("id_categorie").isNotNull())
+        unknown = unknown.join(whole.select("id_produit"), "id_produit", "left_anti")
+    return settle(unknown)
+
+
+def _stage(frags: Frags, tables: Tables, rows: DataFrame, policy: str, repeats: bool = False) -> DataFrame:
+    """Every change with the state it meets and the code that no other change can alter; with ``repeats`` also how
+    many changes name its line at its site, ``_calls``."""
+    strict = policy == STRICT
+    met = _with_lines(frags["lignes_commandes"], rows)
+    if repeats:
+        met = met.withColumn("_calls", F.count(F.lit(1)).over(W.partitionBy(_LINE, "site_to")))
+    met = settle(met)
+    unknown = _unknown_products(frags, tables, rows, strict)
+    wanted = met.select("id_commande").where(F.col("id_commande").isNotNull())
     met = met.join(_order_states(frags, tables, wanted, strict), "id_commande", "left")
     met = met.withColumn("here_to", _holds(_pick(F.col("site_to"), "here")))
-    products_at = semi(frags["produits"], rows, "id_produit").withColumnRenamed("site", "site_to")
-    met = exists_flag(met, products_at, ["id_produit", "site_to"], "product_to", unique=True)
-    if strict:
-        met = met.withColumn("product_g", F.lit(False))
-    else:
-        whole = tables["produits"].where(F.col("id_fournisseur").isNotNull() & F.col("id_categorie").isNotNull())
-        met = exists_flag(met, semi(whole, rows, "id_produit"), "id_produit", "product_g", unique=True)
+    met = exists_flag(met.withColumn("_at", _at(F.col("site_to"))), unknown, ["id_produit", "_at"], "_unknown", unique=True)
 
-    product_known = F.col("product_to") | F.col("product_g")
+    product_known = F.col("id_produit").isNotNull() & ~F.col("_unknown")
     insert = (
         F.when(bad_input(), F.lit(S.BAD_INPUT))
         .when(F.col("at_to"), F.lit(S.DUPLICATE_LINE))
@@ -195,7 +217,7 @@ def _stage(frags: Frags, tables: Tables, rows: DataFrame, policy: str) -> DataFr
         .when(kind == "U", update)
         .when(kind == "M", F.coalesce(no_line, insert))
     )
-    return met.withColumn("error_code", F.coalesce("pre_code", at_site, "post_code"))
+    return met.withColumn("error_code", F.coalesce("pre_code", at_site, "post_code")).drop("_unknown", "_at")
 
 
 def _repeat_inserts(staged: DataFrame) -> DataFrame:
@@ -203,11 +225,14 @@ def _repeat_inserts(staged: DataFrame) -> DataFrame:
     sound = staged.where(F.col("error_code").isNull())
     first = sound.groupBy(_LINE, "site_to").agg(F.min("seq").alias("_first"))
     late = _holds(F.col("seq") > F.col("_first")) & F.coalesce(F.col("error_code") != S.BAD_INPUT, F.lit(True))
-    return (
-        staged.join(first, [_LINE, "site_to"], "left")
+    several = F.col("_calls") > 1
+    judged = (
+        staged.where(several)
+        .join(first, [_LINE, "site_to"], "left")
         .withColumn("error_code", F.when(late, F.lit(S.DUPLICATE_LINE)).otherwise(F.col("error_code")))
         .drop("_first")
     )
+    return staged.where(~several).unionByName(judged).drop("_calls")
 
 
 def _losses(staged: DataFrame, hot_rows: int) -> DataFrame | None:
@@ -228,10 +253,11 @@ def _losses(staged: DataFrame, hot_rows: int) -> DataFrame | None:
 
     if events.isEmpty():
         return None
+    small = find_hot(events, ["id_commande"], hot_rows).isEmpty()
 
     def emptied(rows: DataFrame) -> DataFrame:
         """Changes that take the last line of an order off a site."""
-        counted = running_sums(rows, ["id_commande"], ["seq"], {f"c{s}": f"d{s}" for s in SITES}, hot_rows)
+        counted = running_sums(rows, ["id_commande"], ["seq"], {f"c{s}": f"d{s}" for s in SITES}, hot_rows, known_small=small)
         left = _pick(frm, "n") + _pick(frm, "c")
         return counted.where((frm != NOWHERE) & (left == 0))
 
@@ -254,7 +280,7 @@ def _decide(
     frags: Frags, tables: Tables, rows: DataFrame, policy: str, repeats: bool = False, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Every change with its final code, NULL where it is accepted."""
-    staged = _stage(frags, tables, rows, policy)
+    staged = _stage(frags, tables, rows, policy, repeats)
     if repeats:
         return settle(_repeat_inserts(settle(staged)))
     staged = settle(staged)
@@ -262,16 +288,19 @@ def _decide(
     if lost is None:
         return staged
     refused = S.NO_ORDER if policy == STRICT else S.NO_DATA_FOUND
-    late = (
-        F.col("kind").isin("I", "M")
-        & (F.col("error_code").isNull() | F.col("error_code").isin(S.NO_PRODUCT, S.PARENT_NOT_FOUND))
-        & _holds(F.col("seq") > _pick(F.col("site_to"), "gone"))
+    open_to = F.col("kind").isin("I", "M") & (
+        F.col("error_code").isNull() | F.col("error_code").isin(S.NO_PRODUCT, S.PARENT_NOT_FOUND)
     )
-    judged = staged.join(lost, "id_commande", "left")
+    # Changes that come too late are few as a rule: stored, they are marked without dealing out the rest again.
+    named = F.coalesce(_LINE, F.lit(0)).alias("_named")
+    judged = staged.where(open_to).select("seq", named, "id_commande", "site_to").join(lost, "id_commande")
+    late = settle(judged.where(F.col("seq") > _pick(F.col("site_to"), "gone")).select("seq", "_named").distinct())
+    if late.isEmpty():
+        return staged
+    marked = exists_flag(staged.withColumn("_named", named), late, ["seq", "_named"], "_late", unique=True)
+    hit = open_to & F.col("_late")
     return settle(
-        judged.withColumn("error_code", F.when(late, F.lit(refused)).otherwise(F.col("error_code"))).drop(
-            *[f"gone{s}" for s in SITES]
-        )
+        marked.withColumn("error_code", F.when(hit, F.lit(refused)).otherwise(F.col("error_code"))).drop("_late", "_named")
     )
 
 
@@ -450,10 +479,11 @@ def _then(first: Outcome | BatchOutcome | None, more: Outcome | BatchOutcome) ->
 
 def _in_parts(frags: Frags, tables: Tables, parts: Iterator[DataFrame], policy: str) -> tuple[Frags, DataFrame]:
     """Calls in parts, each on what the parts before it left."""
-    total = None
-    for part in parts:
-        now = frags if total is None else apply_deltas(frags, total.deltas)
-        total = _then(total, _run(now, tables, part, policy))
+    first = next(parts)
+    total = _run(frags, tables, first, policy)
+    for k, part in enumerate(parts):
+        total = total if k else _then(None, total)  # written down only where another part reads it
+        total = _then(total, _run(apply_deltas(frags, total.deltas), tables, part, policy))
     deltas = _without_unused(frags, total.deltas, total.taken)
     return apply_deltas(frags, deltas), total.rejected
 
@@ -464,6 +494,7 @@ def insert_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) ->
     ``hydrate`` pulls missing parents from the global tables; ``strict`` refuses the row.
     """
     calls = rows.withColumns({"kind": F.lit("I"), "site_from": F.lit(NOWHERE)}).withColumnRenamed("site", "site_to")
+    calls = settle(calls)
     outcome = _run(frags, tables, calls, policy, repeats=True)
     return apply_deltas(frags, outcome.deltas), outcome.rejected
 
@@ -510,23 +541,35 @@ def _against_global(changes: DataFrame, tables: Tables) -> DataFrame:
     found = found.where(insert | F.col("_known")).withColumn(
         "pre_code", F.when(insert & _holds(F.col("_known")), F.lit(S.UNIQUE_VIOLATED))
     )
-    orders = semi(tables["commandes"].select("id_commande"), changes, "id_commande")
-    products = tables["produits"].select(F.col("id_produit").alias("new_id_produit"))
-    products = semi(products, changes, "new_id_produit")
-    found = exists_flag(found, orders, "id_commande", "_order", unique=True)
-    found = exists_flag(found, products, "new_id_produit", "_product", unique=True)
-    orphan = (F.col("id_commande").isNotNull() & ~F.col("_order")) | (
-        F.col("new_id_produit").isNotNull() & ~F.col("_product")
+    # Missing parents are few as a rule: stored, they reach the changes without these being dealt out again.
+    no_order, no_product = together(
+        changes.sparkSession,
+        [
+            partial(_missing, changes, tables["commandes"], "id_commande", "id_commande"),
+            partial(_missing, changes, tables["produits"], "new_id_produit", "id_produit"),
+        ],
     )
+    found = exists_flag(found, no_order, "id_commande", "_no_order", unique=True)
+    found = exists_flag(found, no_product, "new_id_produit", "_no_product", unique=True)
+    orphan = F.col("_no_order") | F.col("_no_product")
     return found.withColumn("post_code", F.when(~delete & orphan, F.lit(S.PARENT_NOT_FOUND))).drop(
-        "_known", "_order", "_product"
+        "_known", "_no_order", "_no_product"
     )
 
 
+def _missing(changes: DataFrame, parents: DataFrame, name: str, key: str) -> DataFrame:
+    """The parents' keys that changes name and the global table does not hold. Stored."""
+    named = changes.where(F.col("op") != "D").select(name).where(F.col(name).isNotNull()).distinct()
+    return settle(named.join(parents.select(F.col(key).alias(name)), name, "left_anti"))
+
+
 def _one_change_per_line(
     tables: Tables, frags: Frags, changes: DataFrame, rule: Rule, hot_rows: int
 ) -> BatchOutcome:
-    named = classify(_against_global(changes, tables), tables["produits"], rule, keep_all=True)
+    products = tables["produits"]
+    if isinstance(rule, ByQuery):  # of few categories: known to be small once stored
+        products = settle(products.where(F.col("id_categorie").isin(rule.categories)).select("id_produit", "id_categorie"))
+    named = classify(_against_global(changes, tables), products, rule, keep_all=True)
     rows = settle(
         named.select(
             "seq",
@@ -606,9 +649,13 @@ def turns(changes: DataFrame, on: Sequence[str] = (_LINE,)) -> Iterator[DataFram
     """
     rest = changes
     while True:
-        again = rest.join(_repeats(rest, on), list(on)).where(F.col("seq") > F.col("_first"))
+        repeated = settle(_repeats(rest, on))
+        if repeated.isEmpty():
+            yield rest.drop(_GROUP)
+            return
+        again = rest.join(repeated, list(on)).where(F.col("seq") > F.col("_first"))
         cuts = settle(again.groupBy(_GROUP).agg(F.min("seq").alias("_cut")))
-        if cuts.isEmpty():
+        if cuts.isEmpty():  # of equal seq: they cannot be told apart
             yield rest.drop(_GROUP)
             return
         marked = rest.join(cuts, _GROUP, "left")

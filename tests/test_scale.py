@@ -2,6 +2,7 @@
 
 import pytest
 
+from sitewise.operators import maintain as M
 from sitewise.plans import feed as FD
 from sitewise.sources.tables import stored_lines
 
@@ -29,3 +30,21 @@ def test_tables_of_stored_lines_number_them_once(spark):
         assert "Window" not in stored[name]._jdf.queryExecution().executedPlan().toString()
     for name in ("commandes", "produits"):  # what a join derives is written down too
         assert not exchanges(stored[name])
+
+
+def test_only_lines_that_come_back_look_for_their_order(spark, shuffled):
+    moved = FD.moved_changes(spark, SMALL, FD.change_feed(spark, SMALL))
+    assert not any("op#" in e for e in exchanges(moved))
+
+
+def test_rows_meet_the_sites_lines_by_id_alone(spark, tmp_path, shuffled):
+    lines = spark.createDataFrame(
+        [(1, 10, 5, 3, None, 1), (1, 10, 5, 4, None, 2), (2, 11, 6, 7, None, 2)],
+        "id_ligne_commande long, id_commande long, id_produit long, quantite long, remise decimal(10,4), site int",
+    )
+    calls = "seq long, id_ligne_commande long, id_commande long, id_produit long, quantite long, remise decimal(10,4), site_from int, site_to int"
+    rows = spark.createDataFrame([(1, 1, None, None, None, None, 2, 1), (2, 2, None, None, None, None, 1, 2), (3, 9, 4, 5, 1, None, 0, 1)], calls)
+    met = M._with_lines(lines, rows)
+    found = {r.seq: (r.id_commande, r.cur_quantite, r.at_from, r.at_to) for r in met.collect()}
+    assert found == {1: (10, 4, True, True), 2: (None, None, False, True), 3: (4, None, False, False)}
+    assert exchanges(met) and not any("site" in e for e in exchanges(met))
