@@ -210,7 +210,8 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
             added = _changes(spark, root, "added", name, columns, versions)
             touched = gone.unionByName(added.select(*gone.columns))
             last = touched.groupBy(*on).agg(F.max(_VERSION).alias(_VERSION))
-            live = added.join(last, [*on, _VERSION], "left_semi").drop(_VERSION)
+            # A single version holds nothing but last states.
+            live = (added.join(last, [*on, _VERSION], "left_semi") if len(versions) > 1 else added).drop(_VERSION)
             table = table.join(last.select(*on), on, "left_anti").unionByName(live)
         frags[name] = table
     return frags
@@ -238,8 +239,12 @@ def changed_rows(spark: SparkSession, root: str, table: str, earlier: int, later
     added = _changes(spark, root, "added", table, list(after.schema.fields), versions)
     last = settle(gone.unionByName(added.select(*gone.columns)).groupBy(*on).agg(F.max(_VERSION).alias(_VERSION)))
     low, high = last.agg(F.min(KEYS[table]), F.max(KEYS[table])).first()
-    old = before.where(F.col(KEYS[table]).between(low, high)).join(last.select(*on), on, "left_semi")
-    return old, added.join(last, [*on, _VERSION], "left_semi").drop(_VERSION)
+    # They meet by key, the site being compared: who goes on by key need not deal the rows out again.
+    same = (F.col(f"b.{KEYS[table]}") == F.col(f"l.{KEYS[table]}")) & (F.col("b.site") - F.col("l.site") == 0)
+    old = before.where(F.col(KEYS[table]).between(low, high)).alias("b").join(last.alias("l"), same, "left_semi")
+    if len(versions) > 1:  # a single version holds nothing but last states
+        added = added.join(last, [*on, _VERSION], "left_semi")
+    return old, added.drop(_VERSION)
 
 
 def fragment_read(spark: SparkSession, root: str, site: int, views: bool = False) -> Frags:

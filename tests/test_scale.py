@@ -4,6 +4,7 @@ import pytest
 
 from sitewise.operators import maintain as M
 from sitewise.plans import feed as FD
+from sitewise.sources import snapshots
 from sitewise.sources.tables import stored_lines
 
 SMALL = "/root/testdata/sf0.001"
@@ -48,3 +49,19 @@ def test_rows_meet_the_sites_lines_by_id_alone(spark, tmp_path, shuffled):
     found = {r.seq: (r.id_commande, r.cur_quantite, r.at_from, r.at_to) for r in met.collect()}
     assert found == {1: (10, 4, True, True), 2: (None, None, False, True), 3: (4, None, False, False)}
     assert exchanges(met) and not any("site" in e for e in exchanges(met))
+
+
+def test_a_single_version_holds_last_states(spark, tmp_path):
+    root = str(tmp_path)
+    line = "id_ligne_commande long, id_commande long, id_produit long, quantite long, remise decimal(10,4), site int"
+    lines = spark.createDataFrame([(1, 1, 1, 1, None, 0), (2, 1, 1, 1, None, 0), (3, 1, 1, 1, None, 0)], line)
+    snapshots.fragment_write({"lignes_commandes": lines}, root, 0)
+    put = spark.createDataFrame([(2, 1, 1, 9, None, 0), (4, 1, 1, 1, None, 0)], line)
+    gone = spark.createDataFrame([(0, 2), (0, 3)], "site int, id_ligne_commande long")
+    snapshots.write_deltas({"lignes_commandes": lines}, {"lignes_commandes": snapshots.Delta(gone, put)}, root, 1)
+    old, new = snapshots.changed_rows(spark, root, "lignes_commandes", 0, 1)
+    assert sorted((r.id_ligne_commande, r.quantite) for r in old.collect()) == [(2, 1), (3, 1)]
+    assert sorted((r.id_ligne_commande, r.quantite) for r in new.collect()) == [(2, 9), (4, 1)]
+    assert "Join" not in new._jdf.queryExecution().executedPlan().toString()
+    now = snapshots.read_version(spark, root, 1)["lignes_commandes"]
+    assert sorted((r.id_ligne_commande, r.quantite) for r in now.collect()) == [(1, 1), (2, 9), (4, 1)]
