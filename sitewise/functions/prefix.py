@@ -38,6 +38,7 @@ def _ranged(df: DataFrame, keys: list[str], order: list[str], rows: int, hot_row
         .sortWithinPartitions(*keys, *order, _TIE)
         .withColumn(_CHUNK, F.spark_partition_id())
         .withColumn(_POSITION, F.monotonically_increasing_id())
+        .drop(_TIE)
     )
 
 
@@ -63,7 +64,8 @@ def _chunked_sums(ranged: DataFrame, keys: list[str], sums: dict[str, str], colu
     within = W.partitionBy(*keys, _CHUNK).orderBy(_POSITION).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = ranged.select("*", *[F.sum(source).over(within).alias(_LOCAL + name) for name, source in sums.items()])
     totals = ranged.groupBy(*keys, _CHUNK).agg(*[F.sum(source).alias(name) for name, source in sums.items()])
-    offsets = totals.select(*keys, _CHUNK, *[_before(keys, name).alias(name) for name in sums])
+    # A handful of rows, which is known once they are stored: then the chunks stay where they are.
+    offsets = settle(totals.select(*keys, _CHUNK, *[_before(keys, name).alias(name) for name in sums]))
     met = local.alias("l").join(offsets.alias("o"), _same("l", "o", [*keys, _CHUNK]))
 
     def total(name: str) -> Column:
@@ -77,7 +79,7 @@ def _chunked_sums(ranged: DataFrame, keys: list[str], sums: dict[str, str], colu
 def _chunked_numbers(ranged: DataFrame, keys: list[str], name: str, columns: list[str]) -> DataFrame:
     """Row numbers need no second shuffle of the rows: a position within a chunk is one already."""
     totals = ranged.groupBy(*keys, _CHUNK).agg(F.min(_POSITION).alias("_start"), F.count(F.lit(1)).alias("_n"))
-    offsets = totals.select(*keys, _CHUNK, "_start", F.coalesce(_before(keys, "_n"), F.lit(0)).alias("_offset"))
+    offsets = settle(totals.select(*keys, _CHUNK, "_start", F.coalesce(_before(keys, "_n"), F.lit(0)).alias("_offset")))
     number = F.col("o._offset") + F.col(f"l.{_POSITION}") - F.col("o._start") + 1
     met = ranged.alias("l").join(offsets.alias("o"), _same("l", "o", [*keys, _CHUNK]))
     return met.select(*[F.col(f"l.{c}") for c in columns], number.alias(name))
@@ -119,6 +121,7 @@ def _by_size(
 ) -> DataFrame:
     """Small groups one way, hot groups the other."""
     if not keys:
+        df = settle(df)  # counted, sampled and dealt out: worked out once
         return chunked(_ranged(df, keys, order, df.count(), hot_rows))
     if known_small:
         return plain(df)
