@@ -29,6 +29,8 @@ _LIST = rf"(?is)^\s*+{_VALUE}(?:\s*+,\s*+{_VALUE})*+\s*+$"
 # Date patterns, longest first: as the scripts write them, and as Spark does.
 _PATTERNS = [("HH24", "HH"), ("YYYY", "yyyy"), ("MI", "mm"), ("SS", "ss"), ("DD", "dd")]
 DAY = "yyyy-MM-dd HH:mm:ss"
+# A file of more pieces is cut into ranges: what a task sorts does not grow with the files.
+FILE_PIECES = 100_000
 
 
 def statements(spark: SparkSession, path: str) -> DataFrame:
@@ -46,7 +48,7 @@ def statements(spark: SparkSession, path: str) -> DataFrame:
             }
         )
     )
-    numbered = settle(running_sums(pieces, ["file"], ["position"], {"number": "starts"}).where("number > 0"))
+    numbered = settle(running_sums(pieces, ["file"], ["position"], {"number": "starts"}, FILE_PIECES).where("number > 0"))
     upto = running_sums(numbered, ["file", "number"], ["position"], {"upto": "quotes"})
     own = upto.where((F.col("starts") == 1) | ((F.col("upto") - F.col("quotes")) % 2 == 1))
     joined = own.groupBy("file", "number").agg(F.sort_array(F.collect_list(F.struct("position", "text"))).alias("pieces"))

@@ -2,9 +2,10 @@
 
 import pytest
 
+from sitewise.functions import prefix
 from sitewise.operators import maintain as M
 from sitewise.plans import feed as FD
-from sitewise.sources import snapshots
+from sitewise.sources import scripts, snapshots
 from sitewise.sources.tables import stored_lines
 
 SMALL = "/root/testdata/sf0.001"
@@ -65,3 +66,16 @@ def test_a_single_version_holds_last_states(spark, tmp_path):
     assert "Join" not in new._jdf.queryExecution().executedPlan().toString()
     now = snapshots.read_version(spark, root, 1)["lignes_commandes"]
     assert sorted((r.id_ligne_commande, r.quantite) for r in now.collect()) == [(1, 1), (2, 9), (4, 1)]
+
+
+def test_a_script_of_many_pieces_is_cut_into_ranges(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "s.sql")
+    with open(path, "w") as out:
+        out.writelines(f"INSERT INTO T (A, B) VALUES ({i}, 'x;{i}');\n" for i in range(40))
+    found = {r.statement for r in scripts.statements(spark, path).collect()}
+    ranged = []
+    whole = prefix._ranged
+    monkeypatch.setattr(prefix, "_ranged", lambda *a: ranged.append(a) or whole(*a))
+    monkeypatch.setattr(scripts, "FILE_PIECES", 10)
+    assert {r.statement for r in scripts.statements(spark, path).collect()} == found and len(found) == 40
+    assert ranged
