@@ -1,79 +1,35 @@
-"""Feeds that arrive out of order: changes wait, order by order, until the clock has passed them.
+"""Feeds that arrive out of order: changes wait until the clock has passed them.
 
 A change carries ``at``, the time it was made; ``at`` never falls as ``seq`` grows. The latest ``at``
 that the stream has seen is its clock. A change leaves once the clock is ``bound`` beyond it, so whatever comes
 up to ``bound`` late still finds its place. What comes later than that is reported and not applied.
 A row without ``op`` is no change: it only moves the clock, as at the end of a feed.
+
+What waits is kept beside the stream's checkpoint, as files: each micro-batch stores what arrived in it once, with a
+note of the clock after it. What leaves is a range of time between two clocks, which all arrivals that may
+still hold such rows are read for; folders that the clock has passed whole are not read any more.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from sitewise.operators.maintain import QUARANTINE
 from sitewise.rules import Rule
 from sitewise.schema import CHANGES
-from sitewise.session import release, settle
+from sitewise.session import exists, remove
 from sitewise.sources.tables import Tables
 from sitewise.streaming.feed import apply_once
 
 TIMED = T.StructType([*CHANGES.fields, T.StructField("at", T.TimestampType())])
-OUT = T.StructType([*TIMED.fields, T.StructField("late", T.BooleanType())])
-_out = Row(*OUT.names)
 _LATE = "late"
-# The clock's column is ``at`` and this much; a watermark that far behind it is the latest ``at`` itself,
-# and Spark drops no row as late (but those made a century before the clock).
-_AHEAD_DAYS = 36_500
-
-
-def _ms(at: dt.datetime) -> int:
-    # The session's zone does not matter: timestamps reach Python in the worker's zone, and go back by it.
-    return int(at.timestamp() * 1000)
-
-
-class HoldBack(StatefulProcessor):
-    """The changes of one order that the clock has not passed yet."""
-
-    def __init__(self, bound: dt.timedelta):
-        self.bound = int(bound.total_seconds() * 1000)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", TIMED)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        clock = timerValues.getCurrentWatermarkInMs()
-        new, late = [], []
-        for row in rows:
-            if row.op is not None:
-                (late if clock > 0 and _ms(row.at) + self.bound <= clock else new).append(tuple(row[f] for f in TIMED.names))
-        if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(min(_ms(row[-1]) for row in new) + self.bound)
-        for row in late:
-            yield _out(*row, True)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        clock = timerValues.getCurrentWatermarkInMs()
-        due, rest = [], []
-        for row in self.waiting.get():
-            (due if _ms(row[-1]) + self.bound <= clock else rest).append(tuple(row))
-        if rest:
-            self.waiting.put(rest)
-            self.handle.registerTimer(min(_ms(row[-1]) for row in rest) + self.bound)
-        else:
-            self.waiting.clear()
-        for row in sorted(due):
-            yield _out(*row, False)
-
-    def close(self) -> None:
-        pass
+# Milliseconds: the clock after a batch, and the first and last ``at`` of the changes that arrived in it.
+_NOTE = "batch bigint, clock bigint, low bigint, high bigint"
 
 
 def read_timed_feed(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -87,17 +43,44 @@ def clock_rows(spark: SparkSession, at: dt.datetime, n: int = 1) -> DataFrame:
     return spark.range(0, n, 1, n).select(*nothing, F.lit(at).alias("at"))
 
 
-def hold_back(stream: DataFrame, bound: dt.timedelta) -> DataFrame:
-    """The changes as the clock passes them, each with whether it came too late. State is kept per order."""
-    stream.sparkSession.conf.set(
-        "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
-    ahead = F.expr(f"INTERVAL '{_AHEAD_DAYS}' DAY")
-    order = F.coalesce("id_commande", "id_ligne_commande", F.lit(-1))
-    clocked = stream.withColumns({"_order": order, "_clock": F.col("at") + ahead}).withWatermark("_clock", f"{_AHEAD_DAYS} days")
-    return clocked.groupBy("_order").transformWithState(
-        statefulProcessor=HoldBack(bound), outputStructType=OUT, outputMode="Append", timeMode="EventTime"
-    )
+def _ms(at: str) -> Column:
+    return F.unix_millis(at)
+
+
+def arrive(changes: DataFrame, batch_id: int, home: str, bound: dt.timedelta) -> tuple[DataFrame, DataFrame]:
+    """Stores a micro-batch under ``home``; gives the changes that came too late and those that the clock has now passed.
+
+    A batch that is run again, the last one always, replaces what it had stored and gives the same rows.
+    """
+    spark, wait = changes.sparkSession, int(bound.total_seconds() * 1000)
+    stored, notes = f"{home}/arrived/batch={batch_id}", f"{home}/notes"
+    changes.select(*TIMED.names).write.mode("overwrite").parquet(stored)
+    rows = spark.read.schema(TIMED).parquet(stored)
+    is_change = F.col("op").isNotNull()
+    clock, low, high, timeless = rows.agg(
+        F.max(_ms("at")), F.min(F.when(is_change, _ms("at"))), F.max(F.when(is_change, _ms("at"))), F.count_if(is_change & F.col("at").isNull())
+    ).first()
+    if timeless:
+        raise ValueError(f"batch {batch_id} holds {timeless} changes without a time")
+    held = []
+    if exists(spark, notes):
+        held = spark.read.schema(_NOTE).option("recursiveFileLookup", True).parquet(notes).where(F.col("batch") < batch_id).collect()
+    before = max((n["clock"] for n in held if n["clock"] is not None), default=None)
+    now = max((c for c in (before, clock) if c is not None), default=None)
+    note = spark.createDataFrame([(batch_id, now, low, high)], _NOTE)
+    note.coalesce(1).write.mode("overwrite").parquet(f"{notes}/batch={batch_id}")
+
+    passed = lambda then: F.lit(False) if then is None else _ms("at") + wait <= then
+    late = rows.where(is_change & passed(before))
+    # Of a batch that the clock had passed before, nothing is left but what was late.
+    open_to = [n["batch"] for n in held if n["high"] is not None and (before is None or n["high"] + wait > before)]
+    spent = [n["batch"] for n in held if n["batch"] not in open_to]
+    folders = [f"{home}/arrived/batch={n}" for n in sorted(open_to)] + [stored]
+    due = spark.read.schema(TIMED).parquet(*folders).where(is_change & passed(now) & ~passed(before))
+    for n in spent:
+        if n < batch_id - 1:  # the batch before may still be run again
+            remove(spark, f"{home}/arrived/batch={n}")
+    return late, due
 
 
 def stream_apply_ordered(
@@ -109,16 +92,14 @@ def stream_apply_ordered(
     """
 
     def apply(changes: DataFrame, batch_id: int) -> None:
-        rows = settle(changes)  # the stateful operator runs once for a batch
-        late, due = rows.where("late").drop("late"), rows.where("NOT late").drop("late", "at")
+        late, due = arrive(changes, batch_id, f"{checkpoint}/waiting", bound)
         late.write.mode("overwrite").parquet(f"{root}/{_LATE}/batch={batch_id}")
+        due = due.drop("at")
         if not due.isEmpty():
             apply_once(due, batch_id, root, tables, rule, checkpoint, on_reject, whole_every)
-        release(rows)
 
     return (
-        hold_back(stream, bound)
-        .writeStream.foreachBatch(apply)
+        stream.writeStream.foreachBatch(apply)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -1,12 +1,16 @@
 """What must not grow faster than the input: rows dealt out once, lines numbered once, nothing sorted by one task."""
 
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
 from sitewise.functions import prefix
 from sitewise.operators import maintain as M
 from sitewise.plans import feed as FD
 from sitewise.sources import scripts, snapshots
 from sitewise.sources.tables import stored_lines
+from sitewise.streaming import ordered as OR
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -34,11 +38,6 @@ def test_tables_of_stored_lines_number_them_once(spark):
         assert not exchanges(stored[name])
 
 
-def test_only_lines_that_come_back_look_for_their_order(spark, shuffled):
-    moved = FD.moved_changes(spark, SMALL, FD.change_feed(spark, SMALL))
-    assert not any("op#" in e for e in exchanges(moved))
-
-
 def test_rows_meet_the_sites_lines_by_id_alone(spark, tmp_path, shuffled):
     lines = spark.createDataFrame(
         [(1, 10, 5, 3, None, 1), (1, 10, 5, 4, None, 2), (2, 11, 6, 7, None, 2)],
@@ -52,6 +51,11 @@ def test_rows_meet_the_sites_lines_by_id_alone(spark, tmp_path, shuffled):
     assert exchanges(met) and not any("site" in e for e in exchanges(met))
 
 
+def test_only_lines_that_come_back_look_for_their_order(spark, shuffled):
+    moved = FD.moved_changes(spark, SMALL, FD.change_feed(spark, SMALL))
+    assert not any("op#" in e for e in exchanges(moved))
+
+
 def test_a_single_version_holds_last_states(spark, tmp_path):
     root = str(tmp_path)
     line = "id_ligne_commande long, id_commande long, id_produit long, quantite long, remise decimal(10,4), site int"
@@ -79,3 +83,26 @@ def test_a_script_of_many_pieces_is_cut_into_ranges(spark, tmp_path, monkeypatch
     monkeypatch.setattr(scripts, "FILE_PIECES", 10)
     assert {r.statement for r in scripts.statements(spark, path).collect()} == found and len(found) == 40
     assert ranged
+
+
+def test_arrivals_are_stored_once_and_leave_as_the_clock_passes(spark, tmp_path):
+    begin = dt.datetime(2026, 3, 1, tzinfo=dt.timezone.utc)
+
+    def batch(*minutes, clock=None):
+        rows = [(m, "U", begin + dt.timedelta(minutes=m)) for m in minutes] + ([] if clock is None else [(None, None, begin + dt.timedelta(minutes=clock))])
+        some = spark.createDataFrame(rows, "seq long, op string, at timestamp")
+        return some.select(*[F.col(f.name) if f.name in some.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in OR.TIMED.fields])
+
+    def run(rows, number):
+        late, due = OR.arrive(rows, number, str(tmp_path), dt.timedelta(minutes=10))
+        return sorted(r.seq for r in late.collect()), sorted(r.seq for r in due.collect())
+
+    assert run(batch(20, 12), 0) == ([], [])
+    for _ in range(2):  # run again, it gives the same
+        assert run(batch(11, 25, 30), 1) == ([], [11, 12, 20])
+    assert run(batch(5, 21, clock=31), 2) == ([5], [21])
+    assert run(batch(22, clock=90), 3) == ([], [22, 25, 30])
+    assert run(batch(80, 85), 4) == ([80], [])
+    assert not (tmp_path / "arrived" / "batch=0").exists()  # passed whole
+    with pytest.raises(ValueError, match="without a time"):
+        OR.arrive(batch(95).withColumn("at", F.lit(None).cast("timestamp")), 5, str(tmp_path), dt.timedelta(minutes=10))
