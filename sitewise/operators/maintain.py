@@ -20,7 +20,7 @@ while they are small); what follows is the size of the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -34,7 +34,7 @@ from sitewise.functions.prefix import HOT_ROWS, find_hot, running_sums
 from sitewise.functions.relations import anti, exists_flag, semi
 from sitewise.functions.ties import connected
 from sitewise.operators.changes import classify
-from sitewise.operators.fragments import named_by
+from sitewise.operators.fragments import named_by, union_sites
 from sitewise.rules import NOWHERE, SITES, STRICT, ByQuery, Rule
 from sitewise.session import settle, together
 from sitewise.sources.snapshots import Delta, Deltas, Frags, apply_deltas, merge
@@ -43,9 +43,12 @@ from sitewise.sources.tables import Tables
 QUARANTINE = "quarantine"
 FAIL = "fail"
 
+MANY = 2_000_000  # keys that Spark would not broadcast
+
 _LINE = "id_ligne_commande"
 _GROUP = "_group"
 _VALUES = ("id_produit", "quantite", "remise")
+_MOVES = [f"_move{s}" for s in SITES]
 _REJECTED = ["seq", "kind", _LINE, "id_commande", "id_produit", "site", "error_code"]
 
 
@@ -109,55 +112,69 @@ def _pick(site: Column, name: str) -> Column:
     return chosen
 
 
-def _order_states(frags: Frags, tables: Tables, named: DataFrame, strict: bool) -> DataFrame:
-    """Per order named: presence, line count and client at each site, and what the global row says."""
-    wanted = named.distinct()
-    at = F.col("site")
-    present = (
-        semi(frags["commandes"], wanted, "id_commande")
-        .groupBy("id_commande")
-        .agg(
-            *[F.max(at == s).alias(f"here{s}") for s in SITES],
-            *[F.max(F.when(at == s, F.col("id_client"))).alias(f"client{s}") for s in SITES],
-        )
-    )
-    counted = (
-        semi(frags["lignes_commandes"], wanted, "id_commande")
-        .groupBy("id_commande")
-        .agg(*[F.count_if(at == s).alias(f"n{s}") for s in SITES])
-    )
-    states = wanted.join(present, "id_commande", "left").join(counted, "id_commande", "left")
+def _order_states(frags: Frags, tables: Tables, named: DataFrame | None, strict: bool) -> DataFrame:
+    """Per order (of those named, or all): presence, line count and client at each site, and what the global row says.
+    Orders and lines are totalled together, so that each order is dealt out once."""
+    sources = {"here": frags["commandes"], "n": frags["lignes_commandes"], "revivable": tables["commandes"]}
     if strict:
-        states = states.withColumn("revivable", F.lit(False)).withColumn("client_g", F.lit(None).cast("bigint"))
-    else:
-        whole = semi(tables["commandes"], wanted, "id_commande").select(
+        del sources["revivable"]
+    if named is not None:
+        wanted = named.distinct()
+        sources = {name: semi(df, wanted, "id_commande") for name, df in sources.items()}
+    at, none = F.col("site"), F.lit(None).cast("bigint")
+
+    def rows(name: str) -> DataFrame:
+        whole = name == "revivable"
+        return sources[name].select(
             "id_commande",
-            F.col("id_client").alias("client_g"),
-            (F.col("id_client").isNotNull() & F.col("id_employe").isNotNull()).alias("revivable"),
+            *[((at == s) if name == "here" else F.lit(False)).alias(f"here{s}") for s in SITES],
+            *[(F.when(at == s, F.col("id_client")) if name == "here" else none).alias(f"client{s}") for s in SITES],
+            *[((at == s).cast("bigint") if name == "n" else F.lit(0).cast("bigint")).alias(f"n{s}") for s in SITES],
+            (F.col("id_client") if whole else none).alias("client_g"),
+            (F.col("id_client").isNotNull() & F.col("id_employe").isNotNull() if whole else F.lit(False)).alias("revivable"),
         )
-        states = states.join(whole, "id_commande", "left")
-    return states.select(
-        "id_commande",
-        *[F.coalesce(f"here{s}", F.lit(False)).alias(f"here{s}") for s in SITES],
-        *[F.coalesce(f"n{s}", F.lit(0)).alias(f"n{s}") for s in SITES],
-        *[f"client{s}" for s in SITES],
-        "client_g",
-        F.coalesce("revivable", F.lit(False)).alias("revivable"),
+
+    both = union_sites([rows(name) for name in sources])
+    return both.groupBy("id_commande").agg(
+        *[F.max(f"here{s}").alias(f"here{s}") for s in SITES],
+        *[F.sum(f"n{s}").alias(f"n{s}") for s in SITES],
+        *[F.max(f"client{s}").alias(f"client{s}") for s in SITES],
+        F.max("client_g").alias("client_g"),
+        F.max("revivable").alias("revivable"),
     )
 
 
-def _with_lines(lines: DataFrame, rows: DataFrame) -> DataFrame:
+def _with_states(met: DataFrame, states: DataFrame) -> DataFrame:
+    """Changes with the state of their order; one that is nowhere has no lines. What names no order has no state."""
+    nothing = {"revivable": False, **{f"here{s}": False for s in SITES}, **{f"n{s}": 0 for s in SITES}}
+    named = F.col("id_commande").isNotNull()
+    found = met.join(states, "id_commande", "left")
+    return found.withColumns({c: F.when(named, F.coalesce(c, F.lit(value))) for c, value in nothing.items()})
+
+
+def _lines_named(named: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Gives of lines those that stored rows name, for a join with these by id. Beyond ``MANY`` rows it gives all: the
+    ids would be shuffled, and the lines as well, only to leave out what the join passes over anyway."""
+    many = named.count() > MANY
+    return lambda lines: lines if many else semi(lines, named, _LINE)
+
+
+def _with_lines(lines: DataFrame, rows: DataFrame, named: DataFrame | None = None) -> DataFrame:
     """Rows with the line as it is at ``site_from``, and whether it is at ``site_to``. The lines of each site meet them
-    by id alone, so that rows and lines are dealt out once."""
+    by id alone, so that rows and lines are dealt out once. ``named``: stored rows that name the same lines."""
+    of_rows = _lines_named(rows if named is None else named)
     columns = ["id_commande", *_VALUES, *(["id_client"] if "id_client" in lines.columns else [])]
     met = rows
     for s in SITES:
-        own = semi(lines.where(F.col("site") == s), rows, _LINE)
+        own = of_rows(lines.where(F.col("site") == s))
         met = met.join(own.select(_LINE, *[F.col(c).alias(f"_{c}{s}") for c in columns], F.lit(True).alias(f"_at{s}")), _LINE, "left")
     at_from = F.col("site_from")
+    order_there = _pick(at_from, "_id_commande")
+    if "kind" in rows.columns:  # what goes nowhere keeps the order it names
+        order_there = F.when(F.col("kind") != "N", order_there)
     return met.select(
         *[c for c in rows.columns if c != "id_commande"],
-        F.coalesce(_pick(at_from, "_id_commande"), "id_commande").alias("id_commande"),
+        F.coalesce(order_there, "id_commande").alias("id_commande"),
         *[_pick(at_from, f"_{c}").alias(f"cur_{c}") for c in _VALUES],
         (_pick(at_from, "_id_client") if "id_client" in columns else F.lit(None).cast("bigint")).alias("cur_client"),
         _holds(_pick(at_from, "_at")).alias("at_from"),
@@ -181,17 +198,23 @@ def _unknown_products(frags: Frags, tables: Tables, rows: DataFrame, strict: boo
     return settle(unknown)
 
 
-def _stage(frags: Frags, tables: Tables, rows: DataFrame, policy: str, repeats: bool = False) -> DataFrame:
-    """Every change with the state it meets and the code that no other change can alter; with ``repeats`` also how
-    many changes name its line at its site, ``_calls``."""
-    strict = policy == STRICT
-    met = _with_lines(frags["lignes_commandes"], rows)
+def _meet(frags: Frags, rows: DataFrame, named: DataFrame, repeats: bool = False) -> DataFrame:
+    """Every change with the line it meets, stored; with ``repeats`` also how many changes name its line at its site, ``_calls``."""
+    for code in ("pre_code", "post_code"):
+        if code not in rows.columns:
+            rows = rows.withColumn(code, F.lit(None).cast("int"))
+    met = _with_lines(frags["lignes_commandes"], rows, named)
     if repeats:
         met = met.withColumn("_calls", F.count(F.lit(1)).over(W.partitionBy(_LINE, "site_to")))
-    met = settle(met)
-    unknown = _unknown_products(frags, tables, rows, strict)
-    wanted = met.select("id_commande").where(F.col("id_commande").isNotNull())
-    met = met.join(_order_states(frags, tables, wanted, strict), "id_commande", "left")
+    return settle(met, dense=True)
+
+
+def _stage(frags: Frags, tables: Tables, met: DataFrame, policy: str) -> DataFrame:
+    """Every change with the state it meets and the code that no other change can alter."""
+    strict = policy == STRICT
+    unknown = _unknown_products(frags, tables, met, strict)
+    wanted = None if met.count() > MANY else met.select("id_commande").where(F.col("id_commande").isNotNull())
+    met = _with_states(met, _order_states(frags, tables, wanted, strict))
     met = met.withColumn("here_to", _holds(_pick(F.col("site_to"), "here")))
     met = exists_flag(met.withColumn("_at", _at(F.col("site_to"))), unknown, ["id_produit", "_at"], "_unknown", unique=True)
 
@@ -235,6 +258,64 @@ def _repeat_inserts(staged: DataFrame) -> DataFrame:
     return staged.where(~several).unionByName(judged).drop("_calls")
 
 
+def _open_to() -> Column:
+    """Changes that bring a line to a site and that the loss of its order would refuse."""
+    return F.col("kind").isin("I", "M") & (
+        F.col("error_code").isNull() | F.col("error_code").isin(S.NO_PRODUCT, S.PARENT_NOT_FOUND)
+    )
+
+
+def _late_refused(staged: DataFrame, refused: int) -> DataFrame:
+    """Changes that come after their order was lost, refused; where no order has very many changes.
+
+    The same two running counts as in ``_losses``, as windows over the order by which the changes
+    met its state, so that they are dealt out by order once for all of it.
+    """
+    order = W.partitionBy("id_commande")
+    until = order.orderBy("seq").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counts = F.col("error_code").isNull() & ~F.col("revivable") & F.col("kind").isin("I", "D", "M")
+    frm, to, seq = F.col("_from"), F.col("_to"), F.col("seq")
+
+    def off(count: str) -> Column:
+        """The last line of an order goes off a site."""
+        return _holds((frm != NOWHERE) & (_pick(frm, "n") + _pick(frm, count) == 0))
+
+    def change(s: int) -> Column:
+        return (to == s).cast("bigint") - (frm == s).cast("bigint")
+
+    rows = staged.withColumns(
+        {
+            "_from": F.when(counts & F.col("at_from"), F.col("site_from")).otherwise(F.lit(NOWHERE)),
+            "_to": F.when(counts & (F.col("kind") != "D"), F.col("site_to")).otherwise(F.lit(NOWHERE)),
+        }
+    )
+    rows = rows.withColumns({f"_c{s}": F.sum(change(s)).over(until) for s in SITES})
+    rows = rows.withColumn("_first", F.min(F.when(off("_c"), F.struct("seq", "_from"))).over(order))
+    t1, s1 = F.col("_first.seq"), F.col("_first._from")
+    left = _holds((seq <= t1) | (to != s1))
+    rows = rows.withColumns({f"_e{s}": F.sum(F.when(left, change(s))).over(until) for s in SITES})
+    second = F.when(left & (seq > t1) & (frm != s1) & off("_e"), seq)
+    rows = rows.withColumn("_second", F.min(second).over(order))
+    late = _open_to() & _holds(seq > F.when(s1 == F.col("site_to"), t1).otherwise(F.col("_second")))
+    rows = rows.withColumn("error_code", F.when(late, F.lit(refused)).otherwise(F.col("error_code")))
+    return _marked_moves(rows).select(*staged.columns, *_MOVES)
+
+
+def _marked_moves(judged: DataFrame) -> DataFrame:
+    """One change of every order with what becomes of the order at each site: 0 it loses its last line, 1 it comes, else NULL."""
+    order = W.partitionBy("id_commande")
+    ok, kind = F.col("error_code").isNull(), F.col("kind")
+    one = F.row_number().over(order.orderBy("seq")) == 1
+
+    def move(s: int) -> Column:
+        lost = F.count_if(ok & kind.isin("D", "M") & F.col("at_from") & (F.col("site_from") == s)).over(order)
+        won = F.count_if(ok & kind.isin("I", "M") & (F.col("site_to") == s)).over(order)
+        here, left = F.col(f"here{s}"), F.col(f"n{s}") + won - lost
+        return F.when(one & here & (lost > 0) & (left == 0), F.lit(0)).when(one & ~here & (won > 0) & (left > 0), F.lit(1))
+
+    return judged.withColumns({name: move(s) for name, s in zip(_MOVES, SITES)})
+
+
 def _losses(staged: DataFrame, hot_rows: int) -> DataFrame | None:
     """When an order that cannot come back was lost: ``gone1``, ``gone2`` per order.
     None where no change concerns such an order."""
@@ -253,11 +334,10 @@ def _losses(staged: DataFrame, hot_rows: int) -> DataFrame | None:
 
     if events.isEmpty():
         return None
-    small = find_hot(events, ["id_commande"], hot_rows).isEmpty()
 
     def emptied(rows: DataFrame) -> DataFrame:
         """Changes that take the last line of an order off a site."""
-        counted = running_sums(rows, ["id_commande"], ["seq"], {f"c{s}": f"d{s}" for s in SITES}, hot_rows, known_small=small)
+        counted = running_sums(rows, ["id_commande"], ["seq"], {f"c{s}": f"d{s}" for s in SITES}, hot_rows)
         left = _pick(frm, "n") + _pick(frm, "c")
         return counted.where((frm != NOWHERE) & (left == 0))
 
@@ -277,20 +357,20 @@ def _losses(staged: DataFrame, hot_rows: int) -> DataFrame | None:
 
 
 def _decide(
-    frags: Frags, tables: Tables, rows: DataFrame, policy: str, repeats: bool = False, hot_rows: int = HOT_ROWS
+    frags: Frags, tables: Tables, met: DataFrame, policy: str, repeats: bool = False, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Every change with its final code, NULL where it is accepted."""
-    staged = _stage(frags, tables, rows, policy, repeats)
+    staged = _stage(frags, tables, met, policy)
     if repeats:
         return settle(_repeat_inserts(settle(staged)))
+    refused = S.NO_ORDER if policy == STRICT else S.NO_DATA_FOUND
+    if met.count() <= hot_rows or find_hot(met, ["id_commande"], hot_rows).isEmpty():
+        return settle(_late_refused(staged, refused), dense=True)
     staged = settle(staged)
     lost = _losses(staged, hot_rows)
     if lost is None:
         return staged
-    refused = S.NO_ORDER if policy == STRICT else S.NO_DATA_FOUND
-    open_to = F.col("kind").isin("I", "M") & (
-        F.col("error_code").isNull() | F.col("error_code").isin(S.NO_PRODUCT, S.PARENT_NOT_FOUND)
-    )
+    open_to = _open_to()
     # Changes that come too late are few as a rule: stored, they are marked without dealing out the rest again.
     named = F.coalesce(_LINE, F.lit(0)).alias("_named")
     judged = staged.where(open_to).select("seq", named, "id_commande", "site_to").join(lost, "id_commande")
@@ -325,8 +405,14 @@ def _written(ok: DataFrame, lines: DataFrame) -> DataFrame:
     return updates.unionByName(inserts)
 
 
-def _order_moves(ok: DataFrame) -> DataFrame:
+def _order_moves(decided: DataFrame) -> DataFrame:
     """Orders that lose their last line at a site, and (``gained``) orders that come to a site."""
+    if set(_MOVES) <= set(decided.columns):  # found while the changes lay by order
+        at = F.array(*[F.struct(F.lit(s).alias("site"), F.col(f"client{s}").alias("id_client"), F.col(f"_move{s}").alias("move")) for s in SITES])
+        marked = decided.where(F.coalesce(*_MOVES).isNotNull()).select("id_commande", F.explode(at).alias("at"))
+        gained = (F.col("at.move") == 1).alias("gained")
+        return marked.where(F.col("at.move").isNotNull()).select("at.site", "id_commande", "at.id_client", gained)
+    ok = decided.where(F.col("error_code").isNull())
     lost, won = (F.col("kind").isin("D", "M") & F.col("at_from")), F.col("kind").isin("I", "M")
     totals = ok.groupBy("id_commande").agg(
         *[F.count_if(lost & (F.col("site_from") == s)).alias(f"lost{s}") for s in SITES],
@@ -377,7 +463,7 @@ def _deltas(frags: Frags, tables: Tables, decided: DataFrame, policy: str) -> De
     )
     deltas = {"lignes_commandes": Delta(touched, _written(ok, lines))}
 
-    moves = settle(_order_moves(ok))
+    moves = settle(_order_moves(decided))
     emptied = moves.where(~F.col("gained")).select("site", "id_commande", "id_client")
     wanted = ok.where(F.col("kind").isin("I", "M", "U")).select(F.col("site_to").alias("site"), "id_produit")
     # What is pulled in is the size of the batch and names further parents: found once, in
@@ -452,12 +538,10 @@ def _rejected(decided: DataFrame, policy: str) -> DataFrame:
 
 
 def _run(
-    frags: Frags, tables: Tables, rows: DataFrame, policy: str, repeats: bool = False, hot_rows: int = HOT_ROWS
+    frags: Frags, tables: Tables, met: DataFrame, policy: str, repeats: bool = False, hot_rows: int = HOT_ROWS
 ) -> Outcome:
-    for code in ("pre_code", "post_code"):
-        if code not in rows.columns:
-            rows = rows.withColumn(code, F.lit(None).cast("int"))
-    decided = _decide(frags, tables, rows, policy, repeats, hot_rows)
+    """What changes do that have met their lines (``_meet``)."""
+    decided = _decide(frags, tables, met, policy, repeats, hot_rows)
     taken = None if policy == STRICT else _last_taken(decided)
     return Outcome(_deltas(frags, tables, decided, policy), _rejected(decided, policy), decided, taken)
 
@@ -480,10 +564,11 @@ def _then(first: Outcome | BatchOutcome | None, more: Outcome | BatchOutcome) ->
 def _in_parts(frags: Frags, tables: Tables, parts: Iterator[DataFrame], policy: str) -> tuple[Frags, DataFrame]:
     """Calls in parts, each on what the parts before it left."""
     first = next(parts)
-    total = _run(frags, tables, first, policy)
+    total = _run(frags, tables, _meet(frags, first, first), policy)
     for k, part in enumerate(parts):
         total = total if k else _then(None, total)  # written down only where another part reads it
-        total = _then(total, _run(apply_deltas(frags, total.deltas), tables, part, policy))
+        now = apply_deltas(frags, total.deltas)
+        total = _then(total, _run(now, tables, _meet(now, part, part), policy))
     deltas = _without_unused(frags, total.deltas, total.taken)
     return apply_deltas(frags, deltas), total.rejected
 
@@ -495,7 +580,7 @@ def insert_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) ->
     """
     calls = rows.withColumns({"kind": F.lit("I"), "site_from": F.lit(NOWHERE)}).withColumnRenamed("site", "site_to")
     calls = settle(calls)
-    outcome = _run(frags, tables, calls, policy, repeats=True)
+    outcome = _run(frags, tables, _meet(frags, calls, calls, repeats=True), policy, repeats=True)
     return apply_deltas(frags, outcome.deltas), outcome.rejected
 
 
@@ -533,7 +618,7 @@ def delete_lines(frags: Frags, tables: Tables, rows: DataFrame, policy: str) ->
 def _against_global(changes: DataFrame, tables: Tables) -> DataFrame:
     """Changes that reach a row, with the row as it is now for the side before, and the codes
     of the global table's own constraints."""
-    now = semi(tables["lignes_commandes"], changes, _LINE).select(
+    now = _lines_named(changes)(tables["lignes_commandes"]).select(
         _LINE, *[F.col(c).alias(f"old_{c}") for c in _VALUES], F.lit(True).alias("_known")
     )
     found = changes.drop(*[f"old_{c}" for c in _VALUES]).join(now, _LINE, "left")
@@ -570,22 +655,22 @@ def _one_change_per_line(
     if isinstance(rule, ByQuery):  # of few categories: known to be small once stored
         products = settle(products.where(F.col("id_categorie").isin(rule.categories)).select("id_produit", "id_categorie"))
     named = classify(_against_global(changes, tables), products, rule, keep_all=True)
-    rows = settle(
-        named.select(
-            "seq",
-            "op",
-            _LINE,
-            "id_commande",
-            *[F.col(f"new_{c}").alias(c) for c in _VALUES],
-            F.col("old_site").alias("site_from"),
-            F.col("new_site").alias("site_to"),
-            "kind",
-            "pre_code",
-            "post_code",
-        )
+    rows = named.select(
+        "seq",
+        "op",
+        _LINE,
+        "id_commande",
+        *[F.col(f"new_{c}").alias(c) for c in _VALUES],
+        F.col("old_site").alias("site_from"),
+        F.col("new_site").alias("site_to"),
+        "kind",
+        "pre_code",
+        "post_code",
     )
-    unsited = rows.where(F.col("kind") == "N").withColumn("error_code", F.coalesce("pre_code", "post_code"))
-    outcome = _run(frags, tables, rows.where(F.col("kind") != "N"), rule.policy, hot_rows=hot_rows)
+    # By line, changes meet the global table and the sites in one go, dealt out once.
+    met = _meet(frags, rows, changes)
+    unsited = met.where(F.col("kind") == "N").withColumn("error_code", F.coalesce("pre_code", "post_code"))
+    outcome = _run(frags, tables, met.where(F.col("kind") != "N"), rule.policy, hot_rows=hot_rows)
 
     written = ["op", _LINE, "id_commande", *_VALUES]
     accepted = (
@@ -686,8 +771,8 @@ def decide_batch(
     several orders tie to it, so every such group is cut by itself: there are at most as many turns
     as one group has changes.
     """
-    changes = settle(changes)
-    if _repeats(changes).isEmpty():
+    changes = settle(changes.drop(*[f"old_{c}" for c in _VALUES]), dense=True)
+    if changes.groupBy(_LINE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).isEmpty():
         total = _one_change_per_line(tables, frags, changes, rule, hot_rows)
     else:
         total = None

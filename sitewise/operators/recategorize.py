@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.functions.relations import semi
-from sitewise.operators.maintain import _LINE, _VALUES, _pulled, _run
+from sitewise.operators.maintain import _LINE, _VALUES, _meet, _pulled, _run
 from sitewise.operators.routing import route
 from sitewise.rules import NOWHERE, ByQuery, Rule
 from sitewise.schema import KEYS
@@ -55,7 +55,8 @@ def change_categories(tables: Tables, frags: Frags, moves: DataFrame, rule: Rule
     nothing = frags["categories"].select("site", "id_categorie").where(F.lit(False))
     deltas, refused = {"produits": changed, "categories": Delta(nothing, categories)}, None
     if isinstance(rule, ByQuery):
-        outcome = _run(frags, after, settle(line_moves(tables, frags, moves, rule)), rule.policy)
+        rows = settle(line_moves(tables, frags, moves, rule))
+        outcome = _run(frags, after, _meet(frags, rows, rows), rule.policy)
         own, refused = outcome.deltas, outcome.rejected
         both = own["categories"].added.unionByName(categories).dropDuplicates(["site", KEYS["categories"]])
         deltas = {**own, "produits": merge(changed, own["produits"]), "categories": Delta(nothing, both)}

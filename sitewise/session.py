@@ -70,16 +70,17 @@ def workdir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, dense: bool = False) -> DataFrame:
     """Cut lineage: write the rows to the shared folder and go on from the files.
 
     Used where a result feeds many outputs, or where its partitioning must not be
     computed twice (range bounds come from a sample). The files survive the loss of
     executors, and their size is known when what follows is planned: a small batch of
-    changes is broadcast to the large tables, a large one is not.
+    changes is broadcast to the large tables, a large one is not. ``dense``: as small as
+    they get, for what is large and goes over the disk once or twice.
     """
     path = workdir(df.sparkSession, "settled")
-    df.write.parquet(path)
+    (df.write.option("compression", "zstd") if dense else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

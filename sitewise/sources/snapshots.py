@@ -108,7 +108,7 @@ def _commit(
 def write_table(df: DataFrame, root: str, table: str, version: int = 0) -> DataFrame:
     """One whole table, partitioned by site; gives the stored table. Not visible before the commit."""
     path = f"{root}/full/{table}/v={version}"
-    df.write.mode("overwrite").partitionBy("site").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy("site").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,13 +66,13 @@ def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 LINES_PER_ORDER = 1000
 
 
-def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, sf_dir: str, order: Sequence[str] = _LINE_ORDER) -> DataFrame:
     """Test lines with the derived line id, which numbers the lines within their order.
 
     Ids of two orders would meet from ``LINES_PER_ORDER`` lines an order on: that fails, so a
     window over an order never has many rows to go through.
     """
-    numbered = row_numbers(raw(spark, sf_dir, "lineitem"), ["l_orderkey"], _LINE_ORDER, "rn", known_small=True)
+    numbered = row_numbers(raw(spark, sf_dir, "lineitem"), ["l_orderkey"], order, "rn", known_small=True)
     too_many = F.raise_error(F.concat(F.lit("too many lines for their ids in order "), F.col("l_orderkey").cast("string"))).cast("bigint")
     place = F.when(F.col("rn") < LINES_PER_ORDER, F.col("rn")).otherwise(too_many)
     return numbered.withColumn("id_ligne_commande", (F.col("l_orderkey") + 1) * LINES_PER_ORDER + place).drop("rn")
@@ -82,8 +83,12 @@ _NUMBERED = ["id_ligne_commande", "l_orderkey", "l_partkey", "l_linenumber", "l_
 
 
 def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``numbered_lines``, stored: for queries that go over the lines more than once. The lines of an order lie together."""
-    return settle(numbered_lines(spark, sf_dir).select(*_NUMBERED))
+    """``numbered_lines``, stored: for queries that go over the lines more than once. The lines of an order lie together.
+
+    What the order ends with and is not stored need not be dealt out: rows that only differ there are the same rows here.
+    """
+    last = max(k for k, name in enumerate(_LINE_ORDER) if name in _NUMBERED)
+    return settle(numbered_lines(spark, sf_dir, _LINE_ORDER[: last + 1]).select(*_NUMBERED), dense=True)
 
 
 def as_lines(numbered: DataFrame) -> DataFrame:
@@ -150,5 +155,5 @@ def load_test_tables(spark: SparkSession, sf_dir: str, numbered: DataFrame | Non
 def store_tables(tables: Tables) -> Tables:
     """The tables with those that a join or a grouping derives written down, once for all jobs that read them."""
     names = ["commandes", "produits", "categories", "employes"]
-    written = together(tables["commandes"].sparkSession, [partial(settle, tables[name]) for name in names])
+    written = together(tables["commandes"].sparkSession, [partial(settle, tables[name], dense=name == "commandes") for name in names])
     return {**tables, **dict(zip(names, written))}

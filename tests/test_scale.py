@@ -4,12 +4,16 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from store import change, client, feed, keys_at, line, make_frags, make_tables, order, product
 
+from sitewise import schema as S
 from sitewise.functions import prefix
+from sitewise.operators import fragments as FR
 from sitewise.operators import maintain as M
 from sitewise.plans import feed as FD
+from sitewise.rules import by_query, by_volume
 from sitewise.sources import scripts, snapshots
-from sitewise.sources.tables import stored_lines
+from sitewise.sources.tables import load_test_tables, stored_lines
 from sitewise.streaming import ordered as OR
 
 SMALL = "/root/testdata/sf0.001"
@@ -106,3 +110,47 @@ def test_arrivals_are_stored_once_and_leave_as_the_clock_passes(spark, tmp_path)
     assert not (tmp_path / "arrived" / "batch=0").exists()  # passed whole
     with pytest.raises(ValueError, match="without a time"):
         OR.arrive(batch(95).withColumn("at", F.lit(None).cast("timestamp")), 5, str(tmp_path), dt.timedelta(minutes=10))
+
+
+# Order 7 loses its only line at site 2, so that the insert after it is refused; line 3 goes to the other site.
+REPLAYED = [
+    change(1, "U", line(1, 7, 1, 3, 0), line(1, 7, 1, 500, 0)),
+    change(2, "I", None, line(9, 7, 1, 4, 0)),
+    change(3, "U", line(3, 8, 1, 6, 0), line(3, 8, 1, 7, 0)),
+]
+
+
+def replayed(spark, hot_rows=1000):
+    orders, lines = [order(7, 1, 1), order(8, 1, 1)], [line(1, 7, 1, 3, 0), line(2, 7, 1, 900, 0), line(3, 8, 1, 6, 0)]
+    tables = make_tables(spark, commandes=orders, lignes_commandes=lines, produits=[product(1, 1, 1)], clients=[client(1)])
+    sites = {
+        "commandes": [{**o, "site": s} for o, s in ((orders[0], 1), (orders[0], 2), (orders[1], 2))],
+        "lignes_commandes": [{**x, "site": s} for x, s in zip(lines, (2, 1, 2))],
+        "produits": [{**product(1, 1, 1), "site": s} for s in (1, 2)],
+        "clients": [{**client(1), "site": s} for s in (1, 2)],
+    }
+    frags = make_frags(spark, False, **sites)
+    after, held, rejected = M.apply_batch(tables, frags, feed(spark, REPLAYED), by_volume(100), hot_rows=hot_rows)
+    refused = [(r.seq, r.site, r.error_code) for r in rejected.collect()]
+    return keys_at(held), sorted(r.id_ligne_commande for r in after["lignes_commandes"].collect()), refused
+
+
+def test_a_batch_is_dealt_out_once_by_line_and_once_by_order(spark, shuffled, monkeypatch):
+    dealt, settle = [], M.settle
+
+    def watched(df, *args, **more):
+        dealt.extend(exchanges(df))
+        return settle(df, *args, **more)
+
+    monkeypatch.setattr(M, "settle", watched)
+    held, lines, refused = replayed(spark)
+    assert refused == [(2, 2, S.NO_ORDER)] and lines == [1, 2, 3]
+    assert {row[:2] for row in held["commandes"]} == {(1, 7), (2, 8)}
+    assert dealt and not any("seq#" in e for e in dealt)
+
+
+@pytest.mark.parametrize("hot_rows, many", [(1, 1000), (1000, 0)])
+def test_large_batches_give_what_small_ones_give(spark, monkeypatch, hot_rows, many):
+    usual = replayed(spark)
+    monkeypatch.setattr(M, "MANY", many)
+    assert replayed(spark, hot_rows) == usual
