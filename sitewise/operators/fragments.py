@@ -18,7 +18,7 @@ from sitewise.functions.relations import anti
 from sitewise.operators.routing import placed
 from sitewise.rules import SITES, ByQuery, Rule
 from sitewise.schema import KEYS, SCHEMAS
-from sitewise.session import together
+from sitewise.session import settle, together
 from sitewise.sources.snapshots import Frags, commit_whole, write_table
 from sitewise.sources.tables import Tables
 
@@ -86,7 +86,11 @@ def load_sites(tables: Tables, rule: Rule, root: str, version: int = 0, wanted:
     """Derive all sites and store them, bottom-up: lines are placed once and stored, their
     parents are found from the stored lines, and those of the orders and products from
     the stored orders and products. ``wanted`` of the lines' parents are enough for some queries."""
-    sited = write_table(lines(tables, rule), root, "lignes_commandes", version)
+    placing = tables
+    if isinstance(rule, ByQuery):  # products of few categories: known to be small once stored, the lines then stay where they are
+        few = tables["produits"].where(F.col("id_categorie").isin(rule.categories)).select("id_produit", "id_categorie")
+        placing = {**tables, "produits": settle(few)}
+    sited = write_table(lines(placing, rule), root, "lignes_commandes", version)
 
     def stored(parents: Frags) -> Frags:
         written = together(sited.sparkSession, [partial(write_table, df, root, name, version) for name, df in parents.items()])

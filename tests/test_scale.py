@@ -154,3 +154,17 @@ def test_large_batches_give_what_small_ones_give(spark, monkeypatch, hot_rows, m
     usual = replayed(spark)
     monkeypatch.setattr(M, "MANY", many)
     assert replayed(spark, hot_rows) == usual
+
+
+def test_sites_by_query_place_lines_by_few_stored_products(spark, tmp_path, monkeypatch):
+    met, lines = [], FR.lines
+
+    def watched(tables, rule):
+        met.append(tables["produits"])
+        return lines(tables, rule)
+
+    monkeypatch.setattr(FR, "lines", watched)
+    tables = load_test_tables(spark, SMALL)
+    FR.load_sites(tables, by_query(50, 40, 35, 20), str(tmp_path), wanted=[])
+    assert met[0].columns == ["id_produit", "id_categorie"] and all("/settled-" in f for f in met[0].inputFiles())
+    assert met[0].where("id_categorie NOT IN (35, 50)").isEmpty()
