@@ -356,6 +356,16 @@ def _losses(staged: DataFrame, hot_rows: int) -> DataFrame | None:
     )
 
 
+def _no_hot_order(met: DataFrame, hot_rows: int) -> bool:
+    """Whether no order has more than ``hot_rows`` changes. Orders are counted by crowds first: where no crowd has so
+    many, none of its orders has, and the changes need not be counted by order."""
+    rows = met.count()
+    if rows <= hot_rows:
+        return True
+    crowd = F.pmod(F.xxhash64("id_commande"), F.lit(max(1000, 4 * rows // hot_rows))).alias("crowd")
+    return any(find_hot(met.select(key), [name], hot_rows).isEmpty() for key, name in ((crowd, "crowd"), (F.col("id_commande"), "id_commande")))
+
+
 def _decide(
     frags: Frags, tables: Tables, met: DataFrame, policy: str, repeats: bool = False, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -364,7 +374,7 @@ def _decide(
     if repeats:
         return settle(_repeat_inserts(settle(staged)))
     refused = S.NO_ORDER if policy == STRICT else S.NO_DATA_FOUND
-    if met.count() <= hot_rows or find_hot(met, ["id_commande"], hot_rows).isEmpty():
+    if _no_hot_order(met, hot_rows):
         return settle(_late_refused(staged, refused), dense=True)
     staged = settle(staged)
     lost = _losses(staged, hot_rows)
